@@ -27,7 +27,7 @@ def try_double(c: ColumnOrName) -> Column:
 
 
 def try_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
-    return F.try_to_date(_c(c).cast("string"), F.lit(fmt)) if fmt else _c(c).try_cast("date")
+    return F.try_to_date(_c(c).cast("string"), fmt) if fmt else _c(c).try_cast("date")
 
 
 def is_false(c: ColumnOrName) -> Column:

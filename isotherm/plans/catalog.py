@@ -1,6 +1,6 @@
 """Imports every query module so that the registry is complete."""
 
-from isotherm.plans import q_star  # noqa: F401
+from isotherm.plans import q_audit, q_star  # noqa: F401
 from isotherm.plans.registry import REGISTRY, oracle, spark_query
 
 
