@@ -308,3 +308,153 @@ def stage_profile(spark, sf):
         F.count_if(F.col("average_temperature").isNull()).alias("null_targets"))
     j = pre.crossJoin(top).crossJoin(post)
     return j.withColumn("status", dq.status((F.col("rows_after") > 0) & (F.col("rows_after") <= F.col("top_rows"))))
+
+
+# ---------------------------------------------------------------- grain checks and final audit
+
+def _aggregates(s):
+    from isotherm.plans.q_star import CITY_KEYS, _GLOBAL_AVGS, _UNC
+    return {
+        "global_yearly": (agg.coverage(s.global_view(), ["year"], "land_average_temperature", _GLOBAL_AVGS), ["year"]),
+        "global_decadal": (agg.coverage(s.global_view(), ["decade"], "land_average_temperature", _GLOBAL_AVGS,
+                                        first_last="year"), ["decade"]),
+        "country_yearly": (agg.coverage(s.country_view(), ["country_id", "country_name", "year"],
+                                        "average_temperature", _UNC), ["country_id", "year"]),
+        "city_yearly": (agg.coverage(s.city_view(), CITY_KEYS, "average_temperature", _UNC), ["city_id", "year"]),
+        "major_city_yearly": (agg.coverage(s.major_view(), CITY_KEYS, "average_temperature", _UNC),
+                              ["city_id", "year"]),
+    }
+
+
+def _grain_sql(name: str, cte: str, grain: list[str]) -> str:
+    g = ", ".join(grain)
+    nulls = " OR ".join(f"{c} IS NULL" for c in grain)
+    return f"""SELECT '{name}' AS aggregate_name, count(*) AS row_count,
+  count(*) - count(DISTINCT row({g})) AS duplicate_grain_rows,
+  count(*) FILTER (WHERE {nulls}) AS null_grain_rows,
+  count(*) FILTER (WHERE valid_temperature_months + missing_temperature_months <> observation_months)
+    AS coverage_mismatch_rows FROM {cte}"""
+
+
+def _agg_ctes() -> str:
+    from isotherm.plans.q_star import COUNTRY_YEARLY_BODY, DECADAL_BODY, YEARLY_GLOBAL_BODY, city_yearly_body
+    return (f", a_gy AS ({YEARLY_GLOBAL_BODY}), a_gd AS ({DECADAL_BODY}), a_cy AS ({COUNTRY_YEARLY_BODY}), "
+            f"a_ci AS ({city_yearly_body('city_view')}), a_mc AS ({city_yearly_body('major_view')})\n")
+
+
+_GRAINS = [("global_yearly", "a_gy", ["year"]), ("global_decadal", "a_gd", ["decade"]),
+           ("country_yearly", "a_cy", ["country_id", "year"]), ("city_yearly", "a_ci", ["city_id", "year"]),
+           ("major_city_yearly", "a_mc", ["city_id", "year"])]
+
+GRAIN_SQL = with_star(_agg_ctes() + """, g AS (""" + " UNION ALL ".join(_grain_sql(*x) for x in _GRAINS) + """)
+SELECT *, CASE WHEN row_count > 0 AND duplicate_grain_rows = 0 AND null_grain_rows = 0
+  AND coverage_mismatch_rows = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM g""")
+
+
+@register("aggregate_grain_check", GRAIN_SQL, ids="DQ-11 AGG-07")
+def aggregate_grain_check(spark, sf):
+    s = build_star(spark, sf)
+    return reduce(DataFrame.unionByName,
+                  [dq.grain_check(df, name, grain) for name, (df, grain) in _aggregates(s).items()])
+
+
+FINAL_SQL = with_star(_agg_ctes() + """, g AS (""" + " UNION ALL ".join(_grain_sql(*x) for x in _GRAINS) + """),
+checks AS (
+  SELECT 'enriched_rows_preserved' AS check_name,
+         (SELECT count(*) FROM enriched) = (SELECT count(*) FROM fact_city) AS passed
+  UNION ALL SELECT 'aggregates_grain_ok', bool_and(row_count > 0 AND duplicate_grain_rows = 0
+         AND null_grain_rows = 0 AND coverage_mismatch_rows = 0) FROM g
+  UNION ALL SELECT 'country_names_unique', count(*) = count(DISTINCT country_name) FROM dim_country
+  UNION ALL SELECT 'city_keys_unique', count(*) = count(DISTINCT row(city_name, country_id, latitude, longitude))
+         FROM dim_city
+  UNION ALL SELECT 'dates_cover_facts', NOT EXISTS (SELECT 1 FROM fact_city f WHERE f.date_id NOT IN
+         (SELECT date_id FROM dim_date)))
+SELECT check_name, passed, CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status,
+       CASE WHEN bool_and(passed) OVER () THEN 'READY' ELSE 'NOT READY' END AS overall FROM checks""")
+
+
+@register("final_audit", FINAL_SQL, ids="DQ-12 DQ-13 DQ-14 WIN-02 AGG-09 JON-19")
+def final_audit(spark, sf):
+    s = build_star(spark, sf)
+    aggs = _aggregates(s)
+    grains = reduce(DataFrame.unionByName, [dq.grain_check(df, n, g) for n, (df, g) in aggs.items()])
+    ev, fc = s.enriched().agg(F.count(F.lit(1)).alias("a")), s.fact_city.agg(F.count(F.lit(1)).alias("b"))
+    c1 = ev.crossJoin(fc).select(F.lit("enriched_rows_preserved").alias("check_name"),
+                                 (F.col("a") == F.col("b")).alias("passed"))
+    c2 = grains.agg(F.bool_and(F.col("status") == "PASS").alias("passed")) \
+        .select(F.lit("aggregates_grain_ok").alias("check_name"), "passed")
+    c3 = s.dim_country.agg((F.count(F.lit(1)) == F.count_distinct("country_name")).alias("passed")) \
+        .select(F.lit("country_names_unique").alias("check_name"), "passed")
+    c4 = s.dim_city.agg((F.count(F.lit(1)) == F.count_distinct(
+        F.struct("city_name", "country_id", "latitude", "longitude"))).alias("passed")) \
+        .select(F.lit("city_keys_unique").alias("check_name"), "passed")
+    orphans = s.fact_city.join(s.dim_date, "date_id", "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    c5 = orphans.select(F.lit("dates_cover_facts").alias("check_name"), (F.col("n") == 0).alias("passed"))
+    return dq.final_audit(reduce(DataFrame.unionByName, [c1, c2, c3, c4, c5]))
+
+
+# ---------------------------------------------------------------- look-ups and set checks
+
+BUSIEST_SQL = with_star("""
+, busiest AS (SELECT country_id FROM fact_country GROUP BY country_id ORDER BY count(*) DESC, country_id LIMIT 1)
+SELECT v.country_id, v.country_name, v.observation_date, v.average_temperature
+FROM country_view v JOIN busiest b ON b.country_id = v.country_id""")
+
+
+@register("busiest_entity_history", BUSIEST_SQL, round_cols=["average_temperature"], ids="JON-18 TOP-06")
+def busiest_entity_history(spark, sf):
+    """History of the country with the most rows (ties: smallest id): a one-row top-1 frame,
+    broadcast into an inner join (JON-18)."""
+    s = build_star(spark, sf)
+    busiest = (s.fact_country.groupBy("country_id").agg(F.count(F.lit(1)).alias("n"))
+               .orderBy(F.desc("n"), F.asc("country_id")).limit(1).select("country_id"))
+    v = s.country_view()
+    return v.join(F.broadcast(busiest), "country_id").select(
+        "country_id", "country_name", "observation_date", "average_temperature")
+
+
+EXPECTED_SQL = with_star("""
+, expected AS (
+  SELECT 'city' AS dataset, count(*) AS expected_rows FROM city_src
+  UNION ALL SELECT 'country', count(*) FROM country_src
+  UNION ALL SELECT 'global', count(*) FROM global_src
+  UNION ALL SELECT 'major_city', count(*) FROM major_src),
+actual AS (
+  SELECT 'city' AS dataset, count(*) AS actual_rows FROM fact_city
+  UNION ALL SELECT 'country', count(*) FROM fact_country
+  UNION ALL SELECT 'global', count(*) FROM fact_global
+  UNION ALL SELECT 'major_city', count(*) FROM fact_major)
+SELECT dataset, expected_rows, coalesce(actual_rows, 0) AS actual_rows,
+       coalesce(actual_rows, 0) - expected_rows AS difference,
+       CASE WHEN expected_rows = coalesce(actual_rows, 0) THEN 'PASS' ELSE 'FAIL' END AS status
+FROM expected LEFT JOIN actual USING (dataset)""")
+
+
+@register("expected_vs_actual", EXPECTED_SQL, ids="JON-09 DQ-01 DQ-14 SET-02")
+def expected_vs_actual(spark, sf):
+    """Every staged row must reach its fact (JON-09 / DQ-14): staged counts are the expectation."""
+    s = build_star(spark, sf)
+
+    def counts(pairs, col):
+        return reduce(DataFrame.unionByName,
+                      [df.agg(F.count(F.lit(1)).alias(col)).select(F.lit(n).alias("dataset"), col)
+                       for n, df in pairs])
+    exp = counts([("city", s.city_src), ("country", s.country_src), ("global", s.global_src),
+                  ("major_city", s.major_src)], "expected_rows")
+    act = counts([("city", s.fact_city), ("country", s.fact_country), ("global", s.fact_global),
+                  ("major_city", s.fact_major)], "actual_rows")
+    return dq.expected_vs_actual(spark, exp, act)
+
+
+KEYSET_SQL = """
+SELECT count(*) FILTER (WHERE o.k IS NULL) AS inserted, count(*) FILTER (WHERE o.k IS NOT NULL) AS replaced
+FROM (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderdate >= TIMESTAMP '1999-07-01') n
+LEFT JOIN (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01') o ON o.k = n.k"""
+
+
+@register("key_set_diff", KEYSET_SQL, ids="JON-20 SET-05")
+def key_set_diff(spark, sf):
+    o = table(spark, sf, "orders")
+    old = o.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    new = o.where(F.col("o_orderdate") >= F.lit("1999-07-01").cast("timestamp_ntz"))
+    return jn.key_set_diff(old, new, ["o_orderkey"])

@@ -101,12 +101,13 @@ _COV = """count(*) AS observation_months, count({v}) AS valid_temperature_months
        count(*) FILTER (WHERE {v} IS NULL) AS missing_temperature_months,
        avg({v}) AS average_temperature, min({v}) AS minimum_temperature, max({v}) AS maximum_temperature"""
 
-YEARLY_GLOBAL_SQL = with_star(f"""
+YEARLY_GLOBAL_BODY = (f"""
 SELECT year, {_COV.format(v='land_average_temperature')},
        avg(land_average_temperature_uncertainty) AS average_land_uncertainty,
        avg(land_and_ocean_average_temperature) AS average_land_ocean_temperature,
        avg(land_and_ocean_average_temperature_uncertainty) AS average_land_ocean_uncertainty
 FROM global_view GROUP BY year""")
+YEARLY_GLOBAL_SQL = with_star(YEARLY_GLOBAL_BODY)
 
 _GLOBAL_AVGS = {"average_land_uncertainty": "land_average_temperature_uncertainty",
                 "average_land_ocean_temperature": "land_and_ocean_average_temperature",
@@ -119,12 +120,13 @@ def yearly_coverage_global(spark, sf):
     return agg.coverage(build_star(spark, sf).global_view(), ["year"], "land_average_temperature", _GLOBAL_AVGS)
 
 
-DECADAL_SQL = with_star(f"""
+DECADAL_BODY = (f"""
 SELECT decade, min(year) AS first_year, max(year) AS last_year, {_COV.format(v='land_average_temperature')},
        avg(land_average_temperature_uncertainty) AS average_land_uncertainty,
        avg(land_and_ocean_average_temperature) AS average_land_ocean_temperature,
        avg(land_and_ocean_average_temperature_uncertainty) AS average_land_ocean_uncertainty
 FROM global_view GROUP BY decade""")
+DECADAL_SQL = with_star(DECADAL_BODY)
 
 
 @register("decadal_coverage", DECADAL_SQL, round_cols=COV_DOUBLES + list(_GLOBAL_AVGS), ids="AGG-02")
@@ -133,10 +135,11 @@ def decadal_coverage(spark, sf):
                         _GLOBAL_AVGS, first_last="year")
 
 
-COUNTRY_YEARLY_SQL = with_star(f"""
+COUNTRY_YEARLY_BODY = (f"""
 SELECT country_id, country_name, year, {_COV.format(v='average_temperature')},
        avg(average_temperature_uncertainty) AS average_temperature_uncertainty
 FROM country_view GROUP BY country_id, country_name, year""")
+COUNTRY_YEARLY_SQL = with_star(COUNTRY_YEARLY_BODY)
 _UNC = {"average_temperature_uncertainty": "average_temperature_uncertainty"}
 
 
@@ -151,13 +154,17 @@ CITY_KEYS = ["city_id", "city_name", "country_id", "country_name", "latitude", "
              "is_major_city", "year"]
 
 
-def _city_yearly_sql(view: str) -> str:
-    return with_star(f"""
+def city_yearly_body(view: str) -> str:
+    return (f"""
 SELECT {', '.join(CITY_KEYS)}, {_COV.format(v='average_temperature')},
        avg(average_temperature_uncertainty) AS average_temperature_uncertainty
 FROM {view} GROUP BY {', '.join(CITY_KEYS)}""")
 
 
+def _city_yearly_sql(view: str) -> str:
+    return with_star(city_yearly_body(view))
+
+
 @register("yearly_coverage_city", _city_yearly_sql("city_view"),
           round_cols=COV_DOUBLES + ["average_temperature_uncertainty"], ids="AGG-04")
 def yearly_coverage_city(spark, sf):
