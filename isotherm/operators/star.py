@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isotherm.functions.calendar import calendar_parts
@@ -22,14 +22,23 @@ from isotherm.functions.ids import dense_index
 from isotherm.functions.text import blank_to_null
 
 
+def bounded_index(df: DataFrame, order_cols: list[str], id_col: str) -> DataFrame:
+    """``row_number`` in key order for a frame whose size has a fixed bound (calendar months,
+    country names): the un-partitioned window then runs on a few thousand rows at most."""
+    return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order_cols)).cast("long"))
+
+
 def build_dim_date(*sources: DataFrame, date_col: str = "dt") -> DataFrame:
-    """Distinct non-NULL dates of all sources (UNION) with calendar parts; ``date_id`` in date order."""
+    """Distinct non-NULL dates of all sources (UNION) with calendar parts; ``date_id`` in date order.
+
+    One row per calendar month: bounded (12 per year), so the id uses a plain ordered row number.
+    """
     dates = reduce(DataFrame.union,
                    [s.select(F.col(date_col).alias("full_date")).where(F.col("full_date").isNotNull())
                     for s in sources]).distinct()
     parts = calendar_parts("full_date")
     dim = dates.select("full_date", *[v.alias(k) for k, v in parts.items()])
-    return dense_index(dim, ["full_date"], "date_id").select(
+    return bounded_index(dim, ["full_date"], "date_id").select(
         "date_id", "full_date", "year", "month", "quarter", "decade")
 
 
@@ -37,7 +46,8 @@ def build_dim_country(*sources: DataFrame, country_col: str = "country") -> Data
     names = reduce(DataFrame.union,
                    [s.select(blank_to_null(country_col).alias("country_name")) for s in sources])
     names = names.where(F.col("country_name").isNotNull()).distinct()
-    return dense_index(names, ["country_name"], "country_id").select("country_id", "country_name")
+    # country names are a bounded domain (a few hundred), unlike cities
+    return bounded_index(names, ["country_name"], "country_id").select("country_id", "country_name")
 
 
 def normalised_city_rows(src: DataFrame, is_major: bool, city_col: str = "city",

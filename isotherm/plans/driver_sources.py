@@ -78,54 +78,80 @@ def supplier_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "n_nationkey", "n_regionkey"))
 
 
-def city_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(dt, city, country, latitude, longitude) -> mean value and uncertainty."""
+def monthly_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scan of lineitem -> (supplier, month) partial sums, counts, min and max.
+
+    Every source below is derived from this frame, so lineitem is read and shuffled
+    once; the shuffle carries one partial row per (task, supplier, month).
+    """
     rows = observation_rows(spark, sf_dir)
-    monthly = rows.groupBy("l_suppkey", "dt").agg(
-        F.avg("v").alias("average_temperature"),
-        F.avg("u").alias("average_temperature_uncertainty"))
+    keep = F.col("l_returnflag") != "R"
+    vk = F.when(keep, F.col("v"))
+    uk = F.when(keep, F.col("u"))
+    return rows.groupBy("l_suppkey", "dt").agg(
+        F.sum("v").alias("sv"), F.count("v").alias("nv"), F.min("v").alias("minv"), F.max("v").alias("maxv"),
+        F.sum("u").alias("su"), F.count("u").alias("nu"), F.sum(F.col("u") * F.col("u")).alias("suu"),
+        F.sum("d").alias("sd"), F.count("d").alias("nd"), F.sum(F.col("d") * F.col("d")).alias("sdd"),
+        F.sum("v_all").alias("sva"), F.count("v_all").alias("nva"),
+        F.sum(vk).alias("sv_k"), F.count(vk).alias("nv_k"), F.sum(uk).alias("su_k"), F.count(uk).alias("nu_k"),
+        F.count(F.when(keep, F.lit(1))).alias("n_k"))
+
+
+def _ratio(s: str, n: str) -> F.Column:
+    return F.col(s) / F.nullif(F.col(n), F.lit(0))
+
+
+def _sample_std(ss: str, s: str, n: str) -> F.Column:
+    var = (F.col(ss) - F.col(s) * F.col(s) / F.col(n)) / (F.col(n) - 1)
+    return F.when(F.col(n) > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+
+
+def city_source(spark: SparkSession, sf_dir: str, partials: DataFrame | None = None) -> DataFrame:
+    """(dt, city, country, latitude, longitude) -> mean value and uncertainty."""
+    p = partials if partials is not None else monthly_partials(spark, sf_dir)
     loc = supplier_locations(spark, sf_dir)
-    return (monthly.join(loc, monthly.l_suppkey == loc.suppkey)
-            .select("dt", "average_temperature", "average_temperature_uncertainty",
+    return (p.join(loc, p.l_suppkey == loc.suppkey)
+            .select("dt", _ratio("sv", "nv").alias("average_temperature"),
+                    _ratio("su", "nu").alias("average_temperature_uncertainty"),
                     "city", "country", "latitude", "longitude"))
 
 
-def major_city_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = observation_rows(spark, sf_dir).where(F.col("l_returnflag") != "R")
-    monthly = rows.groupBy("l_suppkey", "dt").agg(
-        F.avg("v").alias("average_temperature"),
-        F.avg("u").alias("average_temperature_uncertainty"))
+def major_city_source(spark: SparkSession, sf_dir: str, partials: DataFrame | None = None) -> DataFrame:
+    """Major suppliers only, returned items left out; a month with only returns has no row."""
+    p = (partials if partials is not None else monthly_partials(spark, sf_dir)).where(F.col("n_k") > 0)
     loc = supplier_locations(spark, sf_dir).where("is_major")
-    return (monthly.join(loc, monthly.l_suppkey == loc.suppkey)
-            .select("dt", "average_temperature", "average_temperature_uncertainty",
+    return (p.join(loc, p.l_suppkey == loc.suppkey)
+            .select("dt", _ratio("sv_k", "nv_k").alias("average_temperature"),
+                    _ratio("su_k", "nu_k").alias("average_temperature_uncertainty"),
                     "city", "country", "latitude", "longitude"))
 
 
-def country_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = observation_rows(spark, sf_dir).where(F.col("dt") < F.lit(COUNTRY_SOURCE_END).cast("date"))
+def country_source(spark: SparkSession, sf_dir: str, partials: DataFrame | None = None) -> DataFrame:
+    p = (partials if partials is not None else monthly_partials(spark, sf_dir)) \
+        .where(F.col("dt") < F.lit(COUNTRY_SOURCE_END).cast("date"))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    per_supp = rows.groupBy("l_suppkey", "dt").agg(
-        F.sum("v").alias("sv"), F.count("v").alias("nv"), F.sum("u").alias("su"), F.count("u").alias("nu"))
     n = table(spark, sf_dir, "nation")
     country_text = F.when(F.pmod(F.col("n_nationkey"), F.lit(PADDED_NATION_EVERY)) == 0,
                           F.concat(F.lit("  "), F.col("n_name"), F.lit(" "))).otherwise(F.col("n_name"))
-    joined = per_supp.join(s, per_supp.l_suppkey == s.s_suppkey)
-    per_nation = joined.groupBy("s_nationkey", "dt").agg(
-        (F.sum("sv") / F.sum("nv")).alias("average_temperature"),
-        (F.sum("su") / F.sum("nu")).alias("average_temperature_uncertainty"))
+    per_nation = p.join(s, p.l_suppkey == s.s_suppkey).groupBy("s_nationkey", "dt").agg(
+        F.sum("sv").alias("sv"), F.sum("nv").alias("nv"), F.sum("su").alias("su"), F.sum("nu").alias("nu"))
     return (per_nation.join(F.broadcast(n), per_nation.s_nationkey == n.n_nationkey)
-            .select("dt", "average_temperature", "average_temperature_uncertainty",
-                    country_text.alias("country")))
-
-
-def global_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = observation_rows(spark, sf_dir)
-    return rows.groupBy("dt").agg(
-        F.avg("v").alias("land_average_temperature"),
-        F.avg("u").alias("land_average_temperature_uncertainty"),
-        F.max("v").alias("land_max_temperature"),
-        F.stddev_samp("u").alias("land_max_temperature_uncertainty"),
-        F.min("v").alias("land_min_temperature"),
-        F.avg("d").alias("land_min_temperature_uncertainty"),
-        F.avg("v_all").alias("land_and_ocean_average_temperature"),
-        F.stddev_samp("d").alias("land_and_ocean_average_temperature_uncertainty"))
+            .select("dt", _ratio("sv", "nv").alias("average_temperature"),
+                    _ratio("su", "nu").alias("average_temperature_uncertainty"), country_text.alias("country")))
+
+
+def global_source(spark: SparkSession, sf_dir: str, partials: DataFrame | None = None) -> DataFrame:
+    p = partials if partials is not None else monthly_partials(spark, sf_dir)
+    g = p.groupBy("dt").agg(*[F.sum(c).alias(c) for c in ("sv", "nv", "su", "nu", "suu", "sd", "nd", "sdd",
+                                                          "sva", "nva")],
+                            F.max("maxv").alias("maxv"), F.min("minv").alias("minv"))
+    return g.select(
+        "dt",
+        _ratio("sv", "nv").alias("land_average_temperature"),
+        _ratio("su", "nu").alias("land_average_temperature_uncertainty"),
+        F.col("maxv").alias("land_max_temperature"),
+        _sample_std("suu", "su", "nu").alias("land_max_temperature_uncertainty"),
+        F.col("minv").alias("land_min_temperature"),
+        _ratio("sd", "nd").alias("land_min_temperature_uncertainty"),
+        _ratio("sva", "nva").alias("land_and_ocean_average_temperature"),
+        _sample_std("sdd", "sd", "nd").alias("land_and_ocean_average_temperature_uncertainty"))

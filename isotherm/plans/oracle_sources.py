@@ -40,8 +40,9 @@ CITY_SRC = """city_src AS (
 MAJOR_SRC = """major_src AS (
   SELECT m.dt, m.average_temperature, m.average_temperature_uncertainty,
          l.city, l.country, l.latitude, l.longitude
-  FROM (SELECT l_suppkey, dt, avg(v) AS average_temperature, avg(u) AS average_temperature_uncertainty
-        FROM obs_rows WHERE l_returnflag <> 'R' GROUP BY l_suppkey, dt) m
+  FROM (SELECT l_suppkey, dt, avg(v) FILTER (WHERE l_returnflag <> 'R') AS average_temperature,
+               avg(u) FILTER (WHERE l_returnflag <> 'R') AS average_temperature_uncertainty
+        FROM obs_rows GROUP BY l_suppkey, dt HAVING count(*) FILTER (WHERE l_returnflag <> 'R') > 0) m
   JOIN locations l ON m.l_suppkey = l.suppkey
   WHERE l.is_major)"""
 
