@@ -186,5 +186,5 @@ def rounded(sql: str, cols: list[str] | tuple[str, ...], digits: int = 6) -> str
     if not cols:
         return sql
     scale = f"CAST({2 ** 20} AS DOUBLE)"
-    repl = ", ".join(f"round(CAST({c} AS DOUBLE) * {scale}) / {scale} AS {c}" for c in cols)
+    repl = ", ".join(f"round(CAST({c} AS DOUBLE) * {scale}) / {scale} + CAST(0 AS DOUBLE) AS {c}" for c in cols)
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS _r"

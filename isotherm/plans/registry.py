@@ -47,7 +47,7 @@ def normalise_types(df: DataFrame, round_cols: Sequence[str] = (), digits: int =
             c = c.cast("double")
         if f.name in round_cols:
             scale = F.lit(float(2 ** GRID_BITS))
-            c = F.round(c.cast("double") * scale) / scale
+            c = F.round(c.cast("double") * scale) / scale + F.lit(0.0)  # + 0.0 turns -0.0 into 0.0
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
