@@ -74,8 +74,9 @@ def past_only_stats(value: str, key: Sequence[str], order: str = "month_index")
     s = F.sum(value).over(w)
     ss = F.sum(F.col(value) * F.col(value)).over(w)
     mean = F.when(n > 0, s / n)
-    var = F.when(n > 1, (ss - s * s / n) / (n - 1))
-    return mean, F.sqrt(F.greatest(var, F.lit(0.0))), n
+    var = (ss - s * s / n) / (n - 1)
+    # greatest() skips NULL, so the n > 1 guard must wrap the sqrt, not the variance
+    return mean, F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))), n
 
 
 def leave_one_out(value: str, key: Sequence[str]) -> tuple[Column, Column]:
@@ -86,8 +87,8 @@ def leave_one_out(value: str, key: Sequence[str]) -> tuple[Column, Column]:
     s = F.sum(value).over(w) - F.coalesce(x, F.lit(0.0))
     ss = F.sum(x * x).over(w) - F.coalesce(x * x, F.lit(0.0))
     mean = F.when(n > 0, s / n)
-    var = F.when(n > 1, (ss - s * s / n) / (n - 1))
-    return mean, F.sqrt(F.greatest(var, F.lit(0.0)))
+    var = (ss - s * s / n) / (n - 1)
+    return mean, F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
 
 
 def grouped_past_mean(df: DataFrame, group: Sequence[str], value: str, out: str,

@@ -132,7 +132,7 @@ ls2 AS (SELECT *, count(t) OVER w AS n, sum(t) OVER w AS s, sum(t * t) OVER w AS
 lsf AS (SELECT {LOC_SQL}, avg(t) AS mf, stddev_samp(t) AS sf FROM ls WHERE year <= {TRAIN_END} GROUP BY ALL),
 locstats AS (SELECT {LOC_SQL}, observation_date, month_index, n AS __n,
     CASE WHEN year <= {TRAIN_END} THEN CASE WHEN n > 0 THEN s / n END ELSE mf END AS loc_mean_temperature,
-    CASE WHEN year <= {TRAIN_END} THEN sqrt(greatest(CASE WHEN n > 1 THEN (ss - s * s / n) / (n - 1) END, 0.0))
+    CASE WHEN year <= {TRAIN_END} THEN CASE WHEN n > 1 THEN sqrt(greatest((ss - s * s / n) / (n - 1), 0.0)) END
          ELSE sf END AS loc_temperature_std
   FROM ls2 LEFT JOIN lsf USING ({LOC_SQL}))
 """
@@ -150,7 +150,7 @@ LOO_SQL = with_clean(f"""
   sum(t) OVER w - coalesce(t, 0.0) AS s, sum(t * t) OVER w - coalesce(t * t, 0.0) AS ss
   FROM clean WINDOW w AS ({_LOCW}, month))
 SELECT {LOC_SQL}, observation_date, month, CASE WHEN n > 0 THEN s / n END AS loo_mean,
-  sqrt(greatest(CASE WHEN n > 1 THEN (ss - s * s / n) / (n - 1) END, 0.0)) AS loo_std FROM x""")
+  CASE WHEN n > 1 THEN sqrt(greatest((ss - s * s / n) / (n - 1), 0.0)) END AS loo_std FROM x""")
 
 
 @register("leave_one_out", LOO_SQL, round_cols=["loo_mean", "loo_std"], ids="WIN-05 WIN-06 FEA-10")
