@@ -44,7 +44,7 @@ def value_counts(df: DataFrame, col: str, top: int | None = None, digits: int =
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("__total"))
     out = (counts.crossJoin(F.broadcast(total))
-           .select(col, "n", F.round(F.col("n") * 100.0 / F.col("__total"), digits).alias("percent")))
+           .select(col, "n", F.round(F.try_divide(F.col("n") * 100.0, F.col("__total")), digits).alias("percent")))
     if top is not None:
         out = out.orderBy(F.desc("n"), F.asc(col)).limit(top)
     return out
@@ -76,7 +76,7 @@ def missing_by(df: DataFrame, key: str, value: str, digits: int = 2) -> DataFram
     return df.groupBy(key).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(value).isNull()).alias("missing"),
-    ).withColumn("missing_percent", F.round(F.col("missing") * 100.0 / F.col("rows"), digits))
+    ).withColumn("missing_percent", F.round(F.try_divide(F.col("missing") * 100.0, F.col("rows")), digits))
 
 
 def mean_of_means(df: DataFrame, inner_key: str, outer_key: Column | str, value: str,

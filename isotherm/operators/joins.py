@@ -38,7 +38,7 @@ def validate_key_join(name: str, left: DataFrame, right: DataFrame, on: Sequence
     return out.select(
         F.lit(name).alias("check_name"), "source_keys", "rows_after_join", "matched_keys", "unmatched_keys",
         "expected_unmatched", mult.alias("row_multiplication"),
-        (F.col("matched_keys") * 100.0 / F.col("source_keys")).alias("match_percent"),
+        F.try_divide(F.col("matched_keys") * 100.0, F.col("source_keys")).alias("match_percent"),
         F.when((mult == 0) & (F.col("unmatched_keys") == F.col("expected_unmatched")), F.lit("PASS"))
          .otherwise(F.lit("FAIL")).alias("status"))
 

@@ -60,7 +60,7 @@ def unique_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
     return (names.join(per_col, "column_name", "left").crossJoin(F.broadcast(total))
             .select("column_name", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
-                    F.round(F.coalesce("distinct_values", F.lit(0)) * 100.0 / F.col("__rows"), digits)
+                    F.round(F.try_divide(F.coalesce("distinct_values", F.lit(0)) * 100.0, F.col("__rows")), digits)
                     .alias("unique_percent")))
 
 
@@ -77,7 +77,7 @@ def categorical_profile(df: DataFrame, cols: Sequence[str], digits: int = 2) ->
         F.sum("n").alias("rows"))
     return miss.join(top, "column_name", "left").select(
         "column_name", F.coalesce("groups", F.lit(0)).alias("groups"), F.col("missing").cast("long").alias("missing"),
-        F.round(F.col("missing") * 100.0 / F.col("rows"), digits).alias("missing_percent"),
+        F.round(F.try_divide(F.col("missing") * 100.0, F.col("rows")), digits).alias("missing_percent"),
         F.col("__top.v").alias("top_value"), (-F.col("__top.neg_n")).alias("top_count"))
 
 

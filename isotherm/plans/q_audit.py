@@ -181,7 +181,7 @@ def _vkj_sql(name: str, left: str, right: str, keys: list[str], expected: str) -
     on = " AND ".join(f"l.{c} IS NOT DISTINCT FROM r.{c}" for c in keys)
     return f"""SELECT '{name}' AS check_name, s.source_keys, j.rows_after_join, j.matched_keys, j.unmatched_keys,
   e.expected_unmatched, j.rows_after_join - s.source_keys AS row_multiplication,
-  CAST(j.matched_keys AS DOUBLE) * 100 / s.source_keys AS match_percent,
+  CAST(j.matched_keys AS DOUBLE) * 100 / NULLIF(s.source_keys, 0) AS match_percent,
   CASE WHEN j.rows_after_join - s.source_keys = 0 AND j.unmatched_keys = e.expected_unmatched
        THEN 'PASS' ELSE 'FAIL' END AS status
 FROM (SELECT count(*) AS source_keys FROM (SELECT DISTINCT {k} FROM ({left}) x) y) s,

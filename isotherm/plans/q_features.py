@@ -265,7 +265,7 @@ def split_summary(spark, sf):
                                         F.max("observation_date").alias("max_date"), F.avg(TARGET).alias("target_mean"))
             .crossJoin(F.broadcast(total))
             .select("data_split", "rows", "min_date", "max_date", "target_mean",
-                    (F.col("rows") * 100.0 / F.col("__total")).alias("share_percent")))
+                    F.try_divide(F.col("rows") * 100.0, F.col("__total")).alias("share_percent")))
 
 
 _LAG_COLS = ["temp_lag_1", "temp_lag_12", "temp_roll_mean_12", "temp_roll_std_12", "temp_anomaly_lag_12"]
@@ -280,7 +280,7 @@ def lag_coverage(spark, sf):
     row = f.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(c) for c in _LAG_COLS])
     spec = ", ".join(f"'{c}', `{c}`" for c in _LAG_COLS)
     return row.selectExpr("__n", f"stack({len(_LAG_COLS)}, {spec}) AS (feature, non_null)").select(
-        "feature", "non_null", (F.col("non_null") / F.col("__n")).alias("rate"))
+        "feature", "non_null", F.try_divide(F.col("non_null").cast("double"), F.col("__n")).alias("rate"))
 
 
 LEAK_SQL = with_features(f"""

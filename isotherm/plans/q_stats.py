@@ -283,8 +283,11 @@ def country_vs_overall(spark, sf):
 
 
 def _extreme_sql(group_sql: str, key: str, k: int) -> str:
-    return f"""SELECT * FROM (SELECT *, 'lowest' AS extreme FROM ({group_sql}) ORDER BY mean_value, {key} LIMIT {k})
-UNION ALL SELECT * FROM (SELECT *, 'highest' AS extreme FROM ({group_sql}) ORDER BY mean_value DESC, {key} LIMIT {k})"""
+    """k lowest ∪ k highest, de-duplicated by key (a key in both lists is kept as 'lowest')."""
+    return f"""SELECT * FROM (
+SELECT * FROM (SELECT *, 'lowest' AS extreme FROM ({group_sql}) ORDER BY mean_value, {key} LIMIT {k})
+UNION ALL SELECT * FROM (SELECT *, 'highest' AS extreme FROM ({group_sql}) ORDER BY mean_value DESC, {key} LIMIT {k})
+) u QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY extreme DESC) = 1"""
 
 
 _LOC_GROUP = (f"SELECT city_name, country_name, latitude, longitude, avg({TARGET}) AS mean_value FROM clean "
