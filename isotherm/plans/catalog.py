@@ -1,6 +1,6 @@
 """Imports every query module so that the registry is complete."""
 
-from isotherm.plans import q_audit, q_clean, q_features, q_intake, q_star, q_stats  # noqa: F401
+from isotherm.plans import q_audit, q_clean, q_features, q_intake, q_model, q_star, q_stats  # noqa: F401
 from isotherm.plans.registry import REGISTRY, oracle, spark_query
 
 
