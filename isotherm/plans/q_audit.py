@@ -210,7 +210,7 @@ VKJ_SQL = with_star("SELECT * FROM (" + " UNION ALL ".join([
 ]) + ") t")
 
 
-@register("validate_key_join", VKJ_SQL, round_cols=["match_percent"], ids="JON-11 JON-12 JON-13 SET-04")
+@register("validate_key_join", VKJ_SQL, round_cols=["match_percent"], ids="JON-11 JON-12 JON-13 SET-04 UDF-03")
 def validate_key_join(spark, sf):
     s = build_star(spark, sf)
     city, country, glob, major = s.city_src, s.country_src, s.global_src, s.major_src
@@ -351,7 +351,7 @@ SELECT *, CASE WHEN row_count > 0 AND duplicate_grain_rows = 0 AND null_grain_ro
   AND coverage_mismatch_rows = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM g""")
 
 
-@register("aggregate_grain_check", GRAIN_SQL, ids="DQ-11 AGG-07")
+@register("aggregate_grain_check", GRAIN_SQL, ids="DQ-11 AGG-07 SCA-09")
 def aggregate_grain_check(spark, sf):
     s = build_star(spark, sf)
     return reduce(DataFrame.unionByName,

@@ -406,3 +406,87 @@ FROM clean GROUP BY ALL""")
 @register("coordinate_variants", VARIANTS_SQL, ids="AGG-37")
 def coordinate_variants(spark, sf):
     return ol.coordinate_variants(clean_frame(spark, sf))
+
+
+SLICE_MONTH = 7
+SLICE_SQL = with_clean(f"""
+SELECT city_name, country_name, latitude, longitude, observation_date, city_average_temperature FROM clean
+WHERE month = {SLICE_MONTH}
+QUALIFY row_number() OVER (PARTITION BY city_name, country_name, latitude, longitude ORDER BY observation_date) = 1""")
+
+
+@register("month_slice", SLICE_SQL, round_cols=["city_average_temperature"], ids="FLT-07")
+def month_slice(spark, sf):
+    """month = m, then the first row per location: ``min(struct(date, value))`` per location."""
+    loc = ["city_name", "country_name", "latitude", "longitude"]
+    c = clean_frame(spark, sf).where(F.col("month") == SLICE_MONTH)
+    first = c.groupBy(*loc).agg(F.min(F.struct("observation_date", "city_average_temperature")).alias("__f"))
+    return first.select(*loc, "__f.observation_date", "__f.city_average_temperature")
+
+
+SAMPLE_SQL = with_star("""SELECT * FROM enriched
+ORDER BY observation_date, country_name, city_name, latitude, longitude LIMIT 10""")
+
+
+@register("enriched_sample", SAMPLE_SQL, round_cols=ENRICHED_DOUBLES, ids="TOP-01")
+def enriched_sample(spark, sf):
+    """Multi-key ORDER BY + LIMIT 10 (a TakeOrderedAndProject: per-task top 10, no global sort)."""
+    return build_star(spark, sf).enriched().orderBy(
+        "observation_date", "country_name", "city_name", "latitude", "longitude").limit(10)
+
+
+CONTRACT_SQL = with_clean("""
+, actual AS (
+  SELECT 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM clean
+  UNION ALL SELECT 'countries', CAST(count(DISTINCT country_name) AS DOUBLE) FROM clean
+  UNION ALL SELECT 'dates', CAST(count(DISTINCT observation_date) AS DOUBLE) FROM clean),
+expected AS (
+  SELECT 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM enriched WHERE city_average_temperature IS NOT NULL
+  UNION ALL SELECT 'countries', CAST(count(*) AS DOUBLE) FROM dim_country
+  UNION ALL SELECT 'dates', CAST(count(DISTINCT d.full_date) AS DOUBLE) FROM dim_date d
+    WHERE d.date_id IN (SELECT date_id FROM fact_city))
+SELECT metric, e.value AS expected, a.value AS actual, coalesce(e.value = a.value, FALSE) AS match
+FROM expected e FULL JOIN actual a USING (metric)""")
+
+
+@register("source_contract", CONTRACT_SQL, ids="DQ-24 DQ-04")
+def source_contract(spark, sf):
+    """Expected / Actual / Match: the clean table against the contract derived from the star."""
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+    s = build_star(spark, sf)
+    c = clean_frame(spark, sf)
+
+    def m(name, df, expr):
+        return df.agg(expr.cast("double").alias("value")).select(F.lit(name).alias("metric"), "value")
+    actual = reduce(DataFrame.unionByName, [m("rows", c, F.count(F.lit(1))),
+                                            m("countries", c, F.count_distinct("country_name")),
+                                            m("dates", c, F.count_distinct("observation_date"))])
+    used_dates = s.dim_date.join(s.fact_city.select("date_id").distinct(), "date_id", "left_semi")
+    expected = reduce(DataFrame.unionByName, [
+        m("rows", s.enriched().where(F.col("city_average_temperature").isNotNull()), F.count(F.lit(1))),
+        m("countries", s.dim_country, F.count(F.lit(1))),
+        m("dates", used_dates, F.count_distinct("full_date"))])
+    return dq.compare_contract(actual, expected)
+
+
+@register("object_check", None, ids="JON-10 DQ-12")
+def object_check(spark, sf):
+    """Expected stage names LEFT JOIN the session catalog (re-aimed from the index catalogue)."""
+    s = build_star(spark, sf)
+    stages = {"dim_date": s.dim_date, "dim_country": s.dim_country, "dim_city": s.dim_city,
+              "fact_city": s.fact_city, "fact_country": s.fact_country, "fact_global": s.fact_global,
+              "fact_major_city": s.fact_major, "city_enriched": s.enriched()}
+    for name, df in stages.items():
+        df.createOrReplaceTempView(f"isotherm_{name}")
+    found = spark.createDataFrame([(t.name,) for t in spark.catalog.listTables()], "table_name string")
+    expected = spark.createDataFrame([(f"isotherm_{n}", g) for n, g in
+                                      [("dim_date", "dimension"), ("dim_country", "dimension"),
+                                       ("dim_city", "dimension"), ("fact_city", "fact"), ("fact_country", "fact"),
+                                       ("fact_global", "fact"), ("fact_major_city", "fact"),
+                                       ("city_enriched", "view")]], "table_name string, object_group string")
+    j = expected.join(found.withColumn("__found", F.lit(True)), "table_name", "left")
+    return j.groupBy("object_group").agg(F.count(F.lit(1)).alias("expected"),
+                                         F.count_if(F.col("__found").isNotNull()).alias("found")) \
+        .withColumn("status", dq.status(F.col("expected") == F.col("found")))

@@ -374,3 +374,26 @@ def step_difference(spark, sf):
     """Previous step minus this one, on the yearly frame (one row per year)."""
     y = clean_frame(spark, sf).groupBy("year").agg(F.avg(TARGET).alias("mean_value"))
     return y.withColumn("step_difference", F.lag("mean_value").over(Window.orderBy("year")) - F.col("mean_value"))
+
+
+# ---------------------------------------------------------------- anomaly-based warming rate
+
+WARMING_SQL = with_clean(CLIM_CTES + f"""
+, an AS (SELECT latitude_zone, year(observation_date) AS year, avg({TARGET} - loc_month_climatology) AS anomaly
+         FROM clim WHERE is_train_period GROUP BY ALL)
+SELECT latitude_zone, CASE WHEN count(anomaly) >= 5 THEN regr_slope(anomaly, year) END AS slope_per_year,
+  count(anomaly) AS points,
+  CASE WHEN count(anomaly) >= 5 THEN regr_slope(anomaly, year) END * 100 AS slope_per_century
+FROM an GROUP BY latitude_zone""")
+
+
+@register("warming_rate", WARMING_SQL, round_cols=["slope_per_year", "slope_per_century"],
+          ids="AGG-32 FEA-17 UDF-04")
+def warming_rate(spark, sf):
+    """Slope of the yearly mean anomaly (target - past-only climatology) per latitude zone on train
+    rows; NULL below the minimum number of years (five for the seven-year driver tables)."""
+    from isotherm.operators.stats import slope_by_group
+    c = climatology_frame(spark, sf).where("is_train_period")
+    an = c.groupBy("latitude_zone", F.year("observation_date").cast("long").alias("year")).agg(
+        F.avg(F.col(TARGET) - F.col("loc_month_climatology")).alias("anomaly"))
+    return slope_by_group(an, "latitude_zone", "year", "anomaly", 5)

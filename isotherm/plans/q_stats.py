@@ -88,7 +88,7 @@ SELECT bt.feature, bt.groups, CASE WHEN total_ss > 0 AND nd > 1 THEN between_ss
 FROM bt JOIN tt USING (feature)""")
 
 
-@register("eta_squared", ETA_SQL, round_cols=["eta2"], ids="FSEL-03")
+@register("eta_squared", ETA_SQL, round_cols=["eta2"], ids="FSEL-03 UDF-02")
 def eta_squared(spark, sf):
     return stt.eta_squared(clean_frame(spark, sf), RANK_FEATURES, TARGET)
 
