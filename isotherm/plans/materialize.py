@@ -10,6 +10,7 @@ recomputation from the raw scan.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from isotherm.session import cut_lineage
 
 _STAGES: dict[tuple, DataFrame] = {}
+_LOCK = threading.RLock()
 
 
 def _app_key(spark: SparkSession):
@@ -28,8 +30,9 @@ def _app_key(spark: SparkSession):
 
 def stage(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
     key = (_app_key(spark), name, sf_dir)
-    df = _STAGES.get(key)
-    if df is None:
-        df = cut_lineage(build())
-        _STAGES[key] = df
+    with _LOCK:  # queries may be launched from several driver threads
+        df = _STAGES.get(key)
+        if df is None:
+            df = cut_lineage(build())
+            _STAGES[key] = df
     return df

@@ -36,15 +36,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; a scratch one only when unset."""
+    """Shared checkpoint folder named by the cluster; a scratch one only when unset (local tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext._jsc.sc().getCheckpointDir()
-        configured = configured.get() if configured.isDefined() else None
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the conf setting is used
+        sc = None
+    if not configured and sc is not None:
+        current = sc._jsc.sc().getCheckpointDir()
+        configured = current.get() if current.isDefined() else None
     if not configured:
         configured = tempfile.mkdtemp(prefix="isotherm-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
