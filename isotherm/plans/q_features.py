@@ -160,27 +160,39 @@ def leave_one_out(spark, sf):
     return c.select(*LOC, "observation_date", "month", m.alias("loo_mean"), s.alias("loo_std"))
 
 
-GLOBAL_LAG_SQL = with_star("""
-, g AS (SELECT observation_date, month, year(observation_date) * 12 + month(observation_date) AS month_index,
-  land_average_temperature AS v FROM global_view)
+GLOBAL_LAG_SQL = with_star(f"""
+, g AS (SELECT observation_date, year, month, year(observation_date) * 12 + month(observation_date) AS month_index,
+  land_average_temperature AS v FROM global_view),
+base AS (SELECT g.*, CASE WHEN year <= {TRAIN_END}
+    THEN avg(v) OVER (PARTITION BY month ORDER BY month_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ELSE (SELECT avg(v) FROM g g2 WHERE g2.month = g.month AND g2.year <= {TRAIN_END}) END AS baseline FROM g),
+an AS (SELECT *, v - baseline AS land_anomaly FROM base)
 SELECT observation_date, v AS land_temperature,
   max(v) OVER (ORDER BY month_index RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS land_temperature_lag_1,
-  v - avg(v) OVER (PARTITION BY month ORDER BY month_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-    AS land_anomaly FROM g""")
+  land_anomaly,
+  max(land_anomaly) OVER (ORDER BY month_index RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS land_anomaly_lag_1
+FROM an""")
 
 
-@register("global_lag", GLOBAL_LAG_SQL, round_cols=["land_temperature", "land_temperature_lag_1", "land_anomaly"],
+@register("global_lag", GLOBAL_LAG_SQL,
+          round_cols=["land_temperature", "land_temperature_lag_1", "land_anomaly", "land_anomaly_lag_1"],
           ids="WIN-10 FEA-14")
 def global_lag(spark, sf):
-    """One value per month (the global series is already monthly): windows run on ~12 rows/year."""
+    """The global series has one value per month, so its windows run on ~12 rows per year.  The
+    same-month baseline is past-only on train years and the fixed train mean afterwards; the
+    temperature and the anomaly are lagged by one calendar month."""
     g = build_star(spark, sf).global_view().select(
-        "observation_date", "month", month_index("observation_date").alias("month_index"),
+        "observation_date", "year", "month", month_index("observation_date").alias("month_index"),
         F.col("land_average_temperature").alias("v"))
-    lag = F.max("v").over(Window.orderBy("month_index").rangeBetween(-1, -1))
     past = F.avg("v").over(Window.partitionBy("month").orderBy("month_index")
                            .rowsBetween(Window.unboundedPreceding, -1))
-    return g.select("observation_date", F.col("v").alias("land_temperature"), lag.alias("land_temperature_lag_1"),
-                    (F.col("v") - past).alias("land_anomaly"))
+    fixed = g.where(F.col("year") <= TRAIN_END).groupBy("month").agg(F.avg("v").alias("__fixed"))
+    an = (g.join(F.broadcast(fixed), "month", "left")  # 12 rows
+          .withColumn("land_anomaly", F.col("v") - F.when(F.col("year") <= TRAIN_END, past).otherwise(F.col("__fixed"))))
+    lag = Window.orderBy("month_index").rangeBetween(-1, -1)
+    return an.select("observation_date", F.col("v").alias("land_temperature"),
+                     F.max("v").over(lag).alias("land_temperature_lag_1"), "land_anomaly",
+                     F.max("land_anomaly").over(lag).alias("land_anomaly_lag_1"))
 
 
 # ---------------------------------------------------------------- feature table
