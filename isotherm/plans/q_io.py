@@ -249,3 +249,44 @@ def select_features(spark, sf):
     out = dec.join(met, "feature", "left").withColumn(
         "nonlinearity", F.col("eta2") - F.col("r") * F.col("r"))
     return out
+
+
+PROBLEM_FEATURES = ["month_sin", "month_cos", "climatic_month_sin", "climatic_month_cos", "years_since_start",
+                    "abs_latitude", "loc_month_climatology", "loc_mean_temperature", "loc_temperature_std",
+                    "temp_lag_1", "temp_lag_12", "temp_roll_mean_12", "temp_roll_std_12", "temp_anomaly_lag_12"]
+
+
+def _problems_sql() -> str:
+    from isotherm.plans.q_features import with_features
+    parts = [f"""SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) AS missing,
+  count(*) FILTER (WHERE isinf({c})) AS infinite, count(DISTINCT {c}) AS distinct_values,
+  count(DISTINCT {c}) <= 1 AS constant FROM features""" for c in PROBLEM_FEATURES]
+    return with_features(" UNION ALL ".join(parts))
+
+
+@register("feature_problems", _problems_sql(), ids="DQ-26 DQ-25 PRJ-10")
+def feature_problems(spark, sf):
+    """Missing / infinite / distinct / constant per feature; the feature contract is checked on the
+    driver first (names, target, order, availability) and the query fails if it is broken."""
+    from isotherm.plans.q_features import feature_frame
+    from isotherm.plans.q_model import CATEGORICAL, NUMERIC
+    checks = dq.feature_contract(NUMERIC + CATEGORICAL, "city_average_temperature", NUMERIC, CATEGORICAL,
+                                 {f: CATALOG[f][1] for f in CATALOG}, ("static", "fit_stat", "history"))
+    broken = [name for name, ok in checks if not ok]
+    if broken:
+        raise ValueError(f"feature contract broken: {broken}")
+    return dq.feature_problems(feature_frame(spark, sf), PROBLEM_FEATURES)
+
+
+@register("selection_crosstab", None, ids="AGG-48")
+def selection_crosstab(spark, sf):
+    """Feature group × keep / drop counts of the selection decisions (a ~20-row frame)."""
+    d = select_features(spark, sf)
+    return d.groupBy("feature_group").pivot("decision", ["keep", "drop"]).agg(F.count(F.lit(1))).na.fill(0)
+
+
+@register("nonlinear_top5", None, ids="TOP-05")
+def nonlinear_top5(spark, sf):
+    """The five features with the largest eta2 - r2 (non-linear signal)."""
+    return select_features(spark, sf).where(F.col("nonlinearity").isNotNull()) \
+        .orderBy(F.desc("nonlinearity"), "feature").limit(5)
