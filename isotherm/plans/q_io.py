@@ -229,7 +229,12 @@ def select_features_rules(metrics: list[dict], redundant: list[tuple[str, str, f
 @register("select_features", None, ids="FSEL-06 FSEL-07 FEA-18 AGG-48 TOP-05 DQ-26")
 def select_features(spark, sf):
     """Metrics computed on the train rows in Spark (r, eta2, distinct values, nonlinearity); the
-    rules run on the driver over that ~20-row frame, as in the reference."""
+    rules run on the driver over that ~20-row frame, as in the reference.  Materialised once."""
+    from isotherm.plans.materialize import stage
+    return stage(spark, "feature_selection", sf, lambda: _select_features(spark, sf))
+
+
+def _select_features(spark, sf):
     from isotherm.operators import stats as stt
     from isotherm.plans.q_features import feature_frame
     feats = list(CATALOG)
@@ -237,7 +242,7 @@ def select_features(spark, sf):
         "city_average_temperature", *[F.col(c).cast("double").alias(c) for c in feats])
     r = stt.corr_with_target(f, feats, "city_average_temperature")
     eta = stt.eta_squared(f, feats, "city_average_temperature")
-    distinct = f.agg(*[F.count_distinct(c).alias(c) for c in feats]).first().asDict()
+    distinct = {r["feature"]: r["distinct_values"] for r in dq.feature_problems(f, feats).collect()}
     metrics = [dict(row.asDict(), distinct=distinct[row["feature"]]) for row in r.join(eta, "feature", "left").collect()]
     red = [(x["feature_a"], x["feature_b"], x["r"]) for x in
            stt.redundant_pairs(stt.corr_matrix(f, feats), REDUNDANT_R).collect()]
