@@ -35,9 +35,14 @@ CORR_SQL = with_clean(" UNION ALL ".join(
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {_r_sql(a, b)} AS r FROM clean" for a, b in _PAIRS))
 
 
+def corr_matrix_frame(spark, sf):
+    from isotherm.plans.materialize import stage
+    return stage(spark, "corr_matrix", sf, lambda: stt.corr_matrix(clean_frame(spark, sf), NUMERIC))
+
+
 @register("corr_matrix", CORR_SQL, round_cols=["r"], ids="AGG-22 FSEL-01")
 def corr_matrix(spark, sf):
-    return stt.corr_matrix(clean_frame(spark, sf), NUMERIC)
+    return corr_matrix_frame(spark, sf)
 
 
 _OTHERS = [c for c in NUMERIC if c != TARGET]
@@ -55,7 +60,7 @@ REDUNDANT_SQL = f"SELECT *, abs(r) AS abs_r FROM ({CORR_SQL}) m WHERE abs(r) > 0
 
 @register("redundant_pairs", REDUNDANT_SQL, round_cols=["r", "abs_r"], ids="FSEL-05")
 def redundant_pairs(spark, sf):
-    return stt.redundant_pairs(stt.corr_matrix(clean_frame(spark, sf), NUMERIC), 0.95)
+    return stt.redundant_pairs(corr_matrix_frame(spark, sf), 0.95)
 
 
 def _long_sql() -> str:
