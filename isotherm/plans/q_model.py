@@ -308,7 +308,21 @@ def batch_features_q(spark, sf):
     return batch_features(spark, sf)
 
 
-@register("request_validation", None, ids="SCO-02")
+REQUEST_SQL = with_features(STATS_CTE + f"""
+, locs AS (SELECT DISTINCT city_name, country_name FROM stats),
+req AS (SELECT city_name || ' (' || country_name || ')' AS city_label, 2002 AS year, m AS month
+        FROM locs, range(1, 13) t(m)
+        UNION ALL SELECT city_name || ' (' || country_name || ')', y, m FROM locs,
+          (VALUES (2002, 13), (2102, 1), (2000, 5)) v(y, m))
+SELECT city_label, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month,
+  CASE WHEN month BETWEEN 1 AND 12 THEN make_date(year, month, 1) END AS target_date,
+  CASE WHEN NOT (month BETWEEN 1 AND 12) THEN 'invalid month'
+       WHEN make_date(year, month, 1) < DATE '{AS_OF}' THEN 'month is in the past'
+       WHEN year > 2001 + 100 THEN 'beyond the 100-year horizon' END AS rejection_reason
+FROM req""")
+
+
+@register("request_validation", REQUEST_SQL, ids="SCO-02")
 def request_validation(spark, sf):
     return validate_requests(requests(spark, sf), AS_OF)
 
