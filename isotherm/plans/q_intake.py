@@ -17,12 +17,16 @@ FIRST_BATCH_END, SECOND_BATCH_START = "2024-01-16", "2024-01-10"
 
 
 def incoming(spark, sf, where=None):
-    """events -> an incoming observation file with faults: mid-month and pre-start dates, future
-    months, blank city, NULL country, latitude / temperature out of range, negative uncertainty,
-    duplicate keys inside the batch."""
     e = table(spark, sf, "events")
     if where is not None:
         e = e.where(where)
+    return incoming_from_events(e)
+
+
+def incoming_from_events(e):
+    """events -> an incoming observation file with faults: mid-month and pre-start dates, future
+    months, blank city, NULL country, latitude / temperature out of range, negative uncertainty,
+    duplicate keys inside the batch."""
     day = F.dayofmonth("ts")
     obs = F.when(F.col("event_type") == "error", F.to_date("ts")).otherwise(
         F.make_date((F.lit(2023) + ((day - 1) / 12).cast("int")), ((day - 1) % 12 + 1), F.lit(1)))
@@ -208,3 +212,26 @@ def bernoulli_scan(spark, sf):
     parts = [sm.bernoulli_scan(f, F.col("data_split") == s, n, share, seed=42)
              for s, n, share in [("train", 3000, 0.6), ("validation", 1000, 0.2), ("test", 1000, 0.2)]]
     return reduce(DataFrame.unionByName, parts)
+
+
+STREAM_SQL = f"""WITH {_validated_sql('v')}
+{_ACC}, CAST(0 AS BIGINT) AS ingested_batch, CAST(0 AS BIGINT) AS source_row FROM v WHERE validation_error = ''"""
+
+
+@register("intake_stream", STREAM_SQL, ids="ING-06 SNK-08 ING-01 ING-02")
+def intake_stream(spark, sf):
+    """Structured Streaming: the events file is read with ``readStream`` (availableNow), each
+    micro-batch is re-shaped, validated and upserted through ``foreachBatch`` into a versioned
+    pending table in the shared scratch folder; the newest version is returned."""
+    import os
+    import uuid
+
+    from isotherm.session import scratch_path
+    base = scratch_path(spark, f"intake_stream_{uuid.uuid4().hex[:12]}")
+    schema = table(spark, sf, "events").schema
+    q = ik.run_stream(spark, sf, schema, os.path.join(base, "pending"), os.path.join(base, "checkpoint"),
+                      GAP_START, AS_OF, transform=incoming_from_events, path_glob="events.parquet")
+    q.awaitTermination()
+    pending = spark.read.parquet(os.path.join(base, "pending"))
+    latest = pending.agg(F.max("version")).first()[0]
+    return pending.where(F.col("version") == latest).drop("version")

@@ -125,7 +125,8 @@ def upsert_counts(existing: DataFrame, incoming: DataFrame, merged: DataFrame) -
 
 
 def run_stream(spark: SparkSession, source_dir: str, schema, pending_dir: str, checkpoint_location: str,
-               gap_start: str, as_of: str | None = None, trigger_available_now: bool = True):
+               gap_start: str, as_of: str | None = None, trigger_available_now: bool = True,
+               transform=None, path_glob: str | None = None):
     """Structured Streaming intake: each micro-batch is validated and merged (last wins) into the
     pending table.  Every batch writes a complete new ``version=<batch_id>`` partition with dynamic
     partition overwrite, so a retried batch rewrites only its own version (idempotent) and readers
@@ -133,6 +134,8 @@ def run_stream(spark: SparkSession, source_dir: str, schema, pending_dir: str, c
     as_of = as_of or date.today().replace(day=1).isoformat()
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        if transform is not None:  # e.g. raw events -> incoming observation columns
+            batch = transform(batch)
         acc = (accepted(validate(batch, gap_start, as_of))
                .withColumn("ingested_batch", F.lit(batch_id).cast("long"))
                .withColumn("source_row", F.lit(0).cast("long")))  # keys are unique inside an accepted batch
@@ -149,7 +152,10 @@ def run_stream(spark: SparkSession, source_dir: str, schema, pending_dir: str, c
         (merged.withColumn("version", F.lit(batch_id).cast("long")).write
          .option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("version").parquet(pending_dir))
 
-    stream = spark.readStream.schema(schema).parquet(source_dir)
+    reader = spark.readStream.schema(schema)
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    stream = reader.parquet(source_dir)
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if trigger_available_now else writer
     return writer.start()
