@@ -39,16 +39,18 @@ def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]],
     or with a constant side, get NULL.
     """
     a_name, b_name = names
-    recs = F.array(*[F.struct(F.lit(a).alias(a_name), F.lit(b).alias(b_name),
-                              F.col(a).cast("double").alias("__x"), F.col(b).cast("double").alias("__y"))
-                     for a, b in pairs])
+    recs = F.array(*[F.struct(F.lit(i).alias("__pair"), F.col(a).cast("double").alias("__x"),
+                              F.col(b).cast("double").alias("__y"))
+                     for i, (a, b) in enumerate(pairs)])
     long = df.select(F.inline(recs)).where(F.col("__x").isNotNull() & F.col("__y").isNotNull()
                                            & ~F.isnan("__x") & ~F.isnan("__y"))
-    r = long.groupBy(a_name, b_name).agg(
+    # an integer pair id keeps the per-record hashing cheap; names are joined back afterwards
+    r = long.groupBy("__pair").agg(
         F.try_divide(F.covar_samp("__x", "__y"), F.stddev_samp("__x") * F.stddev_samp("__y")).alias("r"))
     spark = df.sparkSession
-    all_pairs = spark.createDataFrame(list(pairs), f"{a_name} string, {b_name} string")
-    return all_pairs.join(r, [a_name, b_name], "left")
+    all_pairs = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
+                                      f"__pair int, {a_name} string, {b_name} string")
+    return all_pairs.join(r, "__pair", "left").select(a_name, b_name, "r")  # pair table: bounded by #pairs
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -22,7 +22,7 @@ from isotherm.sources.tables import table
 
 def clean_frame(spark, sf) -> DataFrame:
     from isotherm.plans.materialize import stage
-    return stage(spark, "clean", sf, lambda: cl.clean(build_star(spark, sf).enriched()))
+    return stage(spark, "clean", sf, lambda: cl.clean(build_star(spark, sf).enriched()), spread=True)
 
 
 _NOTNULL = " AND ".join(f"{c} IS NOT NULL" for c in cl.CRITICAL)

@@ -115,7 +115,7 @@ clim AS (SELECT d2.{LOC.__getitem__(0)}, d2.country_name, d2.latitude, d2.longit
 
 def climatology_frame(spark, sf):
     return stage(spark, "climatology", sf,
-                 lambda: fe.climatology(clean_frame(spark, sf), TARGET, TRAIN_END, VALIDATION_END))
+                 lambda: fe.climatology(clean_frame(spark, sf), TARGET, TRAIN_END, VALIDATION_END), spread=True)
 
 
 @register("past_only_climatology", with_clean(CLIM_CTES + "SELECT * FROM clim"),
@@ -226,7 +226,7 @@ def feature_frame(spark, sf) -> DataFrame:
         out = out.withColumn("temp_anomaly_lag_12", F.col("temp_lag_12") - F.col("loc_month_climatology"))
         return out.select(*LOC, "observation_date", "year", "month", TARGET, *FEATURE_COLUMNS, "data_split",
                           "is_train_period")
-    return stage(spark, "features", sf, build)
+    return stage(spark, "features", sf, build, spread=True)
 
 
 _LAGW = f"{_LOCW} ORDER BY month_index"
