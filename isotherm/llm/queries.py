@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import bytecnn, simhash
+from isotherm.llm import bytecnn, mixing, simhash, wavelet
 from isotherm.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,11 +19,29 @@ def query(fn):
     return fn
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.allot(table(spark, sf_dir, "documents"), share=1.5, weights=(3, 1, 2), cap=2.0)
+    return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+@query
+def op9_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = wavelet.write(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+    return wavelet.read_documents(files)
+
+
 @query
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bytecnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", 0.3)
