@@ -12,7 +12,7 @@ Shard format (little endian): magic ``WVM1``, then u64 tokens, u32 bits, u32 doc
 significant first: u64 zeros, the packed bits, and u32 ranks of the blocks.
 
 Cases: a NULL text is empty and gets the end id alone; documents of equal id follow each other in
-an order fixed by their ids' bytes; a NULL ``doc_id`` comes after all others; a document above
+an order fixed by their texts' crc32; a NULL ``doc_id`` comes after all others; a document above
 ``SHARD_TOKENS`` gets a shard of its own; an empty table gives no shard; other columns are not read.
 """
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,57 +31,114 @@ from pyspark.sql import functions as F
 from isotherm.llm.common import parts_for, ship, stage
 
 MAGIC, BLOCK = b"WVM1", 512
-SHARD_TOKENS, RANGE_TOKENS, MEMO = 2_000_000, 8_000_000, 400_000
+SHARD_TOKENS, RANGE_BYTES, MEMO = 500_000, 24_000_000, 600_000
+TAIL = ".,!?;:"
 
-_CODERS: dict[str, tuple] = {}
+_CODERS: dict[str, Coder] = {}
 
 
-def _coder(path: str):
-    """The tokenizer and its memo of pieces, one per worker process; the memo starts anew when full."""
-    if path not in _CODERS:
-        from tokenizers import Tokenizer
-        _CODERS[path] = (Tokenizer.from_file(path), {})
-    return _CODERS[path]
-
-
-def encode_texts(path: str, texts: list[str | None], end_id: int) -> list[np.ndarray]:
-    """Ids of each whole text and the end id.
+class Coder:
+    """A tokenizer with a memo of blank-separated pieces; one per worker process.
 
     The vocabulary's tokenizer drops white space and never joins across it, so a text's ids are
-    those of its blank-separated pieces; each distinct piece is encoded once per memo.
-    """
-    tokenizer, memo = _coder(path)
-    pieces = [(t or "").replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\v", " ").replace("\f", " ").split(" ")
-              for t in texts]
-    if len(memo) > MEMO:
-        memo.clear()
-    memo[""] = ()
-    new = list({p for ps in pieces for p in ps if p not in memo})
-    for p, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-        memo[p] = tuple(e.ids)
-    out = []
-    for ps in pieces:
-        ids = [i for p in ps for i in memo[p]]
-        ids.append(end_id)
-        out.append(np.array(ids, np.uint32))
-    return out
-
-
-def encoded(docs: DataFrame, path: str, end_id: int, rows_at_once: int = 256) -> DataFrame:
-    """(doc_id, n, ids): the ids as little-endian unsigned 32-bit integers."""
+    those of its pieces; letters and the marks that follow them are parted as well.  ``codes``
+    maps a piece, as bytes, to a number whose ids are ``flat[start: start + size]``.  A memo of
+    ``MEMO`` pieces starts anew, so its memory is bounded."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, rows_at_once):
-                part = b.slice(lo, rows_at_once)
-                ids = encode_texts(path, part.column(1).to_pylist(), end_id)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], names=["doc_id", "n", "ids"])
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)     # ids that end a word
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.clear()
+
+    def clear(self) -> None:
+        self.codes: dict[bytes, int] = {}
+        self.cores: dict[str, int] = {}                                # piece without marks -> place in spans
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.spans = np.zeros((1 << 17, 2), np.int64)                   # start, size by number
+        self.count = 0
+
+    def _add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Store pieces' ids one after the other; returns the first one's number."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.count + len(sizes) > len(self.spans):
+            self.spans = np.concatenate([self.spans, np.zeros_like(self.spans)])
+        self.flat[self.used: self.used + len(ids)] = ids
+        rows = self.spans[self.count: self.count + len(sizes)]
+        rows[:, 0], rows[:, 1] = self.used + np.cumsum(sizes) - sizes, sizes
+        first, self.count, self.used = self.count, self.count + len(sizes), self.used + len(ids)
+        return first
+
+    def _encode(self, texts: list[str]) -> None:
+        """Encode pieces that ``cores`` lacks; those of letters alone are single words to the
+        tokenizer, go many to a call, and are told apart by the ids that end a word."""
+        letters = [k for k, t in enumerate(texts) if t.isalpha()]
+        rest = [k for k, t in enumerate(texts) if not t.isalpha()]
+        for lo in range(0, len(letters), 400):
+            part = letters[lo: lo + 400]
+            ids = np.array(self.tokenizer.encode(" ".join([texts[k] for k in part]), add_special_tokens=False).ids, np.int64)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):          # letters by another Unicode table
+                rest += part
+                continue
+            first = self._add(ids, np.diff(ends, prepend=0))
+            self.cores.update(zip([texts[k] for k in part], range(first, first + len(part))))
+        for k in rest:
+            ids = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.int64)
+            self.cores[texts[k]] = self._add(ids, np.array([len(ids)]))
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered pieces in a row, and their sizes."""
+        start, size = self.spans[numbers].T
+        ends = np.cumsum(size)
+        return self.flat[np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)], size
+
+    def learn(self, words: list[bytes]) -> None:
+        cores, tails = [], []
+        for w in words:
+            text = w.decode("utf-8", "replace")
+            core = text.rstrip(TAIL)
+            if not core or not core[-1].isalpha() or "<" in core:
+                core = text
+            cores.append(core.lower() if core.isascii() and "<" not in core else core)
+            tails.append(text[len(core):])
+        self._encode(list(dict.fromkeys(p for p in chain(cores, set(tails)) if p not in self.cores)))
+        number = np.fromiter(map(self.cores.__getitem__, cores), np.int64, len(cores))
+        ended = np.array([k for k, t in enumerate(tails) if t], np.int64)
+        if len(ended):
+            marks = np.fromiter((self.cores[tails[k]] for k in ended.tolist()), np.int64, len(ended))
+            ids, sizes = self._gather(np.stack([number[ended], marks], axis=1).ravel())
+            number[ended] = self._add(ids, sizes.reshape(-1, 2).sum(axis=1)) + np.arange(len(ended))
+        self.codes.update(zip(words, number.tolist()))
+
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and the end of each word's."""
+        if len(self.codes) > MEMO:
+            self.clear()
+        code = np.fromiter(map(self.codes.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(code < 0).tolist()
+        if new:
+            lacking = [words[k] for k in new]
+            self.learn(list(dict.fromkeys(lacking)))
+            code[new] = list(map(self.codes.__getitem__, lacking))
+        ids, size = self._gather(code)
+        return ids, np.cumsum(size)
 
-    ship(docs.sparkSession)
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, ids binary")
+
+def encode_texts(path: str, texts: list[str | None], end_id: int) -> list[np.ndarray]:
+    """Ids of each whole text and the end id."""
+    if path not in _CODERS:
+        _CODERS[path] = Coder(path)
+    per_text = [t.encode("utf-8", "replace").split() if t else [] for t in texts]   # the six ASCII blanks
+    words = list(chain.from_iterable(per_text))
+    if not words:
+        return [np.array([end_id], np.uint32) for _ in texts]
+    ids, ends = _CODERS[path].ids(words)
+    bounds = np.concatenate([[0], ends])[np.cumsum([0] + [len(p) for p in per_text])]
+    return [np.append(ids[lo:hi], np.uint32(end_id)) for lo, hi in zip(bounds[:-1], bounds[1:])]
 
 
 class Wavelet:
@@ -91,13 +149,14 @@ class Wavelet:
 
     @classmethod
     def build(cls, ids: np.ndarray, doc_ids: list, ends: np.ndarray) -> Wavelet:
-        ids = np.asarray(ids, np.uint32)
-        planes, bits = [], max(1, int(ids.max(initial=0)).bit_length())
+        planes, bits = [], max(1, int(np.max(ids, initial=0)).bit_length())
+        kind = np.uint16 if bits <= 16 else np.uint32
+        ids = np.asarray(ids, kind)
         for level in range(bits - 1, -1, -1):
-            one = ((ids >> np.uint32(level)) & np.uint32(1)).astype(bool)
+            one = (ids & kind(1 << level)) != 0
             packed = np.packbits(one, bitorder="little")
             planes.append((int(len(one) - np.count_nonzero(one)), packed, cls._ranks(packed)))
-            ids = np.concatenate([ids[~one], ids[one]])
+            ids = np.concatenate([ids.compress(~one), ids.compress(one)])
         return cls(len(ids), planes, list(doc_ids), np.asarray(ends, np.uint64))
 
     @staticmethod
@@ -195,22 +254,26 @@ class Wavelet:
 
     def decode(self) -> np.ndarray:
         """All ids, by undoing the planes' stable partitions from the last to the first."""
-        ids = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        ids = np.zeros(self.n, kind)
         for k, (zeros, packed, _) in enumerate(reversed(self.planes)):
-            one = np.unpackbits(packed, count=self.n, bitorder="little").astype(bool)
+            one = np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
             back = np.empty_like(ids)
-            back[~one] = ids[:zeros]
-            back[one] = ids[zeros:] | np.uint32(1 << k)
+            back[np.flatnonzero(~one)] = ids[:zeros]
+            back[np.flatnonzero(one)] = ids[zeros:] | kind(1 << k)
             ids = back
-        return ids
+        return ids.astype(np.uint32)
 
 
-def shards(encoded_docs: DataFrame, shard_tokens: int = SHARD_TOKENS, range_tokens: int = RANGE_TOKENS) -> DataFrame:
-    """(part, seq, n_tokens, payload): the shards, (part, seq) in document order."""
-    total = encoded_docs.agg(F.sum("n")).first()[0] or 0
-    order = [F.isnull("doc_id"), F.col("doc_id").asc(), F.crc32("ids"), F.col("n")]
-    placed = (encoded_docs.repartitionByRange(parts_for(total, range_tokens), *order)
-              .sortWithinPartitions(*order).select("doc_id", "ids"))
+def shards(docs: DataFrame, path: str, end_id: int, shard_tokens: int = SHARD_TOKENS,
+           range_bytes: int = RANGE_BYTES, texts_at_once: int = 512) -> DataFrame:
+    """(part, seq, n_tokens, payload): the shards, (part, seq) in document order.
+
+    The texts are placed by range before they are encoded, once, inside the shards' task."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    order = [F.isnull("doc_id"), F.col("doc_id").asc(), F.crc32(F.col("text").cast("binary"))]
+    placed = (docs.select("doc_id", "text").repartitionByRange(parts_for(total, range_bytes), *order)
+              .sortWithinPartitions(*order))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -218,31 +281,31 @@ def shards(encoded_docs: DataFrame, shard_tokens: int = SHARD_TOKENS, range_toke
         names, parts, size = [], [], 0
 
         def flush():
-            ids = np.concatenate(parts)
-            payload = Wavelet.build(ids, names, np.cumsum([len(x) for x in parts])).to_bytes()
+            payload = Wavelet.build(np.concatenate(parts), names, np.cumsum([len(x) for x in parts])).to_bytes()
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([len(ids)], pa.int64()),
-                 pa.array([payload], pa.large_binary())], names=["part", "seq", "n_tokens", "payload"])
-
-        for b in batches:
-            for name, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.frombuffer(raw.as_buffer(), "<u4")
-                if parts and size + len(ids) > shard_tokens:
-                    yield flush()
-                    names, parts, size, seq = [], [], 0, seq + 1
-                names.append(name)
-                parts.append(ids)
-                size += len(ids)
+                [pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([size], pa.int64()),
+                 pa.array([payload], pa.binary())], names=["part", "seq", "n_tokens", "payload"])
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, texts_at_once):
+                piece = batch.slice(lo, texts_at_once)
+                for name, ids in zip(piece.column(0).to_pylist(), encode_texts(path, piece.column(1).to_pylist(), end_id)):
+                    if parts and size + len(ids) > shard_tokens:
+                        yield flush()
+                        names, parts, size, seq = [], [], 0, seq + 1
+                    names.append(name)
+                    parts.append(ids)
+                    size += len(ids)
         if parts:
             yield flush()
 
-    ship(encoded_docs.sparkSession)
+    ship(docs.sparkSession)
     return placed.mapInArrow(run, "part int, seq bigint, n_tokens bigint, payload binary")
 
 
 def write(docs: DataFrame, path: str, end_id: int, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Encode, shard and write; returns the shard table read back from the files."""
-    return stage(shards(stage(encoded(docs, path, end_id), "token-ids"), shard_tokens), "wavelet-shards")
+    return stage(shards(docs, path, end_id, shard_tokens), "wavelet-shards")
 
 
 def read_documents(shard_table: DataFrame) -> DataFrame:
