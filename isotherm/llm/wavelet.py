@@ -18,6 +18,7 @@ an order fixed by their texts' crc32; a NULL ``doc_id`` comes after all others;
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -32,7 +33,8 @@ from isotherm.llm.common import parts_for, ship, stage
 
 MAGIC, BLOCK = b"WVM1", 512
 SHARD_TOKENS, RANGE_BYTES, MEMO = 500_000, 24_000_000, 600_000
-TAIL = ".,!?;:"
+#: Punctuation that ends a piece after a letter: a token run of its own.
+MARKS = re.compile(r"(?<=[^\W\d_])[!-/:;=-@\[-`{-~]+(?= |$)")
 
 _CODERS: dict[str, Coder] = {}
 
@@ -97,22 +99,20 @@ class Coder:
         return self.flat[np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)], size
 
     def learn(self, words: list[bytes]) -> None:
-        cores, tails = [], []
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            core = text.rstrip(TAIL)
-            if not core or not core[-1].isalpha() or "<" in core:
-                core = text
-            cores.append(core.lower() if core.isascii() and "<" not in core else core)
-            tails.append(text[len(core):])
+        plain = [w for w in words if b"<" not in w]                     # special tokens begin with it
+        texts = b" ".join(plain).lower().decode().split(" ") if plain else []      # A-Z only
+        cores = MARKS.sub("", " ".join(texts)).split(" ") if plain else []
+        odd = [w for w in words if b"<" in w]
+        ended = [k for k, (c, t) in enumerate(zip(cores, texts)) if len(c) != len(t)]
+        tails = [texts[k][len(cores[k]):] for k in ended]
+        cores += [w.decode() for w in odd]
         self._encode(list(dict.fromkeys(p for p in chain(cores, set(tails)) if p not in self.cores)))
         number = np.fromiter(map(self.cores.__getitem__, cores), np.int64, len(cores))
-        ended = np.array([k for k, t in enumerate(tails) if t], np.int64)
-        if len(ended):
-            marks = np.fromiter((self.cores[tails[k]] for k in ended.tolist()), np.int64, len(ended))
+        if ended:
+            marks = np.fromiter(map(self.cores.__getitem__, tails), np.int64, len(tails))
             ids, sizes = self._gather(np.stack([number[ended], marks], axis=1).ravel())
             number[ended] = self._add(ids, sizes.reshape(-1, 2).sum(axis=1)) + np.arange(len(ended))
-        self.codes.update(zip(words, number.tolist()))
+        self.codes.update(zip(plain + odd, number.tolist()))
 
     def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and the end of each word's."""
