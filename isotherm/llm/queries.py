@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import bytecnn, mixing, simhash, wavelet
+from isotherm.llm import bytecnn, decontam, mixing, simhash, wavelet
 from isotherm.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+@query
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = wavelet.write(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
