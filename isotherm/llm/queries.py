@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import bytecnn, decontam, mixing, simhash, wavelet
+from isotherm.llm import bytecnn, decontam, interpolation, mixing, permutation, simhash, wavelet
 from isotherm.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,17 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+@query
+def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score(table(spark, sf_dir, "documents"), folds=10)
+
+
+@query
+def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = permutation.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 @query
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
