@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import bytecnn, decontam, interpolation, mixing, permutation, simhash, wavelet
+from isotherm.llm import bytecnn, decontam, interpolation, mixing, passages, permutation, pii, runs, simhash, wavelet
 from isotherm.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,12 @@ def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score(table(spark, sf_dir, "documents"), folds=10)
 
 
+@query
+def op4_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passages.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", "removed_spans", "removed_words")
+
+
 @query
 def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = permutation.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 50 == 0, k=5)
@@ -52,6 +58,18 @@ def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the key is a parameter of the job; a secret store would supply it
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="isotherm-demo-key")
+
+
+@query
+def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runs.remove(table(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=2)
+    return out.select("doc_id", "text", "removed_runs", "deepest_run")
+
+
 @query
 def op9_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = wavelet.write(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
