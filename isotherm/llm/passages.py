@@ -35,8 +35,8 @@ MIN_WORDS = 8
 PIECE = re.compile(r"\S+(?:(?<![.!?。！？])[^\S\n]+(?![A-ZÀ-ÖØ-ÞΑ-ΩА-Я])\S+)*")
 
 
-def units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """(first piece, last piece, start, end, digest) of every unit; offsets in characters."""
+def units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, bytes]]:
+    """(first piece, last piece, digest) of every unit."""
     spans = [m.span() for m in PIECE.finditer(text)]
     norm = [" ".join(text[a:b].lower().split()) for a, b in spans]
     count = [n.count(" ") + 1 for n in norm]
@@ -48,62 +48,64 @@ def units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int
         if words < min_words:
             return
         digest = xxhash.xxh3_128_digest(" ".join(norm[first: last + 1]).encode("utf-8", "replace"))
-        yield first, last, spans[first][0], spans[last][1], digest
+        yield first, last, digest
         words -= count[first]
 
 
 def unit_table(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, row, unit, first, last, start, stop, d1, d2): all units of all documents."""
+    """(doc_id, row, first, d1, d2): the units of all documents, by their first piece."""
     ship(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "row", "first", "last", "start", "stop", "d1", "d2"]
         for b in batches:
             for lo in range(0, b.num_rows, 500):
                 part = b.slice(lo, 500)
-                take, cols, digests = [], [], []
+                take, firsts, digests = [], [], []
                 for k, text in enumerate(part.column(1).to_pylist()):
-                    for f, e, s, t, d in units(text or "", min_words):
+                    for f, _, d in units(text or "", min_words):
                         take.append(k)
-                        cols.append((f, e, s, t))
+                        firsts.append(f)
                         digests.append(d)
                 if not take:
                     continue
-                number = np.array(cols, np.int32)
                 digest = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 idx = pa.array(take, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(idx), part.column(2).take(idx), *(pa.array(number[:, j]) for j in range(4)),
-                     pa.array(digest[:, 0]), pa.array(digest[:, 1])], names=names)
+                    [part.column(0).take(idx), part.column(2).take(idx), pa.array(firsts, pa.int32()),
+                     pa.array(digest[:, 0]), pa.array(digest[:, 1])], names=["doc_id", "row", "first", "d1", "d2"])
 
     row = F.crc32(F.col("text").cast("binary"))
     return (docs.select("doc_id", "text", row.alias("row"))
-            .mapInArrow(run, f"doc_id {kind}, row bigint, first int, last int, start int, stop int, d1 bigint, d2 bigint"))
+            .mapInArrow(run, f"doc_id {kind}, row bigint, first int, d1 bigint, d2 bigint"))
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, row, spans): the character spans to remove of every document that has any."""
+    """(doc_id, row, u): the repeated units (first piece, whether it stays) of every document that has a
+    later copy."""
     all_units = stage(unit_table(docs, min_words), "units")
+    # most units are unique: half a digest, counted alone, tells which ones need not travel further
+    seen = all_units.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1")
+    some = stage(all_units.join(seen.hint("shuffle_merge"), "d1", "left_semi"), "repeated-units")
     place = F.struct(F.isnull("doc_id").alias("late"), "doc_id", "row", "first")
-    firsts = (all_units.groupBy("d1", "d2").agg(F.min(place).alias("head"), F.max(place).alias("tail"))
-              .where("head != tail").select("d1", "d2", "head"))
-    hit = (all_units.join(firsts, ["d1", "d2"])
-           .select("doc_id", "row", "first", "last", "start", "stop", (place == F.col("head")).alias("kept")))
-    # pieces of one document only: a document's own units are the bound of what is gathered
-    found = hit.groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "last", "start", "stop", "kept")).alias("u"))
+    firsts = (some.groupBy("d1", "d2").agg(F.min(place).alias("head"), F.max(place).alias("tail"))
+              .where("head != tail").select("d1", "d2", "head").hint("shuffle_merge"))
+    hit = some.join(firsts, ["d1", "d2"]).select("doc_id", "row", "first", (place == F.col("head")).alias("kept"))
+    # a document's own units are the bound of what is gathered
+    found = hit.groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "kept")).alias("u"))
     return stage(found.where(F.exists("u", lambda x: ~x["kept"])), "repeats")
 
 
-def _cut(text: str, found: list[dict]) -> tuple[str, list[dict], int]:
+def _cut(text: str, found: list[dict], min_words: int) -> tuple[str, list[dict], int]:
     """The text without the repeated pieces, the spans removed, and their words."""
     pieces = [m.span() for m in PIECE.finditer(text)]
     gone = np.zeros(len(pieces) + 1, np.int32)
     need = np.zeros(len(pieces) + 1, np.int32)
+    last = {first: end for first, end, _ in units(text, min_words)}
     for u in found:
         mark = need if u["kept"] else gone
         mark[u["first"]] += 1
-        mark[u["last"] + 1] -= 1
+        mark[last[u["first"]] + 1] -= 1
     drop = (np.cumsum(gone)[:-1] > 0) & (np.cumsum(need)[:-1] == 0)
     spans, words = [], 0
     for k in np.flatnonzero(drop).tolist():
@@ -122,7 +124,7 @@ def _cut(text: str, found: list[dict]) -> tuple[str, list[dict], int]:
 def remove(docs: DataFrame, min_words: int = MIN_WORDS, text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``, and removed_spans (character offsets in the
     original text) and removed_words appended."""
-    found = repeats(docs, min_words)
+    found = repeats(docs, min_words).hint("shuffle_merge")
     keyed = docs.withColumn("__row", F.crc32(F.col("text").cast("binary"))).alias("d")
     r = found.alias("r")
     joined = keyed.join(r, F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.__row").eqNullSafe(F.col("r.row")), "left")
@@ -136,7 +138,7 @@ def remove(docs: DataFrame, min_words: int = MIN_WORDS, text_col: str = "text")
         for b in batches:
             texts, spans, words = [], [], []
             for text, found_units in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
-                cut = _cut(text, found_units) if found_units and text else (text, [], 0)
+                cut = _cut(text, found_units, min_words) if found_units and text else (text, [], 0)
                 for out, x in zip((texts, spans, words), cut):
                     out.append(x)
             cols = list(b.columns[:-1])
