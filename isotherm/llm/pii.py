@@ -40,29 +40,37 @@ CANDIDATE = r"(?<![\w.+-])(?:" + "|".join(
     p.replace(r"([./])", r"(?<sep>[./])").replace(r"\1", r"\k<sep>") for _, p in PATTERNS) + r")(?![\w-]|\.\d)"
 
 
-def _prf(key: str, kind: Column, turn: Column, other: Column, place: Column) -> Column:
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body``; a repeated sub-expression would run each time."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _prf(key: str, text: Column, place: Column) -> Column:
     """A keyed hash as a non-negative number below 2^52."""
-    text = F.concat_ws("|", F.lit(key), kind, turn.cast("string"), place.cast("string"), F.array_join(other.cast("array<string>"), ","), F.lit(key))
-    return F.conv(F.substring(F.sha2(text, 256), 1, 13), 16, 10).cast("long")
+    return F.conv(F.substring(F.sha2(F.concat_ws("|", text, place.cast("string"), F.lit(key)), 256), 1, 13), 16, 10).cast("long")
 
 
 def feistel(symbols: Column, radices: Column, kind: Column, key: str, rounds: int = ROUNDS) -> Column:
     """Permute an array of symbols, each below its radix; lengths below 2 are returned as they are."""
-    half = F.floor(F.size(symbols) / 2).cast("int")
-    rest = F.size(symbols) - half
+    def permute(given: Column) -> Column:
+        half = given["half"]
+
+        def turn(state: Column, r: Column) -> Column:
+            def move(part: Column, other: Column, shift: Column) -> Column:
+                text = F.concat_ws("|", F.lit(key), kind, r.cast("string"), F.array_join(other.cast("array<string>"), ","))
+                return _let(text, lambda t: F.transform(part, lambda v, i: F.pmod(v + _prf(key, t, i), F.get(given["radices"], shift + i))))
 
-    def turn(state: Column, r: Column) -> Column:
-        left, right = state["l"], state["r"]
-        moved_left = F.transform(left, lambda v, i: F.pmod(
-            v + _prf(key, kind, r, right, i), F.get(radices, i).cast("long")))
-        moved_right = F.transform(right, lambda v, i: F.pmod(
-            v + _prf(key, kind, r, left, i), F.get(radices, half + i).cast("long")))
-        even = r % 2 == 0
-        return F.struct(F.when(even, moved_left).otherwise(left).alias("l"), F.when(even, right).otherwise(moved_right).alias("r"))
+            even = r % 2 == 0
+            return F.struct(F.when(even, move(state["l"], state["r"], F.lit(0))).otherwise(state["l"]).alias("l"),
+                            F.when(even, state["r"]).otherwise(move(state["r"], state["l"], half)).alias("r"))
 
-    start = F.struct(F.slice(symbols, F.lit(1), half).alias("l"), F.slice(symbols, half + 1, rest).alias("r"))
-    done = F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), start, turn, lambda s: F.concat(s["l"], s["r"]))
-    return F.when(F.size(symbols) < 2, symbols).otherwise(done)
+        start = F.struct(F.slice(given["symbols"], F.lit(1), half).alias("l"),
+                         F.slice(given["symbols"], half + 1, F.size(given["symbols"])).alias("r"))
+        done = F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), start, turn, lambda s: F.concat(s["l"], s["r"]))
+        return F.when(half < 1, given["symbols"]).otherwise(done)
+
+    return _let(F.struct(symbols.alias("symbols"), radices.alias("radices"),
+                         F.floor(F.size(symbols) / 2).cast("int").alias("half")), permute)
 
 
 def _characters(text: Column) -> Column:
@@ -85,15 +93,18 @@ def _base(c: Column) -> Column:
 
 def permute_text(text: Column, kind: Column, key: str) -> Column:
     """Permute a text's ASCII digits and letters, each within its class; other characters stay."""
-    chars = _characters(text)
-    free = F.filter(chars, lambda c: _value(c) >= 0)
-    new = feistel(F.transform(free, _value), F.transform(free, _radix), kind, key)
-    state = F.aggregate(
-        chars, F.struct(F.lit("").alias("out"), F.lit(0).alias("at"), new.alias("new")),
-        lambda s, c: F.when(_value(c) < 0, F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"), s["new"].alias("new")))
-        .otherwise(F.struct(F.concat(s["out"], F.char(F.get(s["new"], s["at"]) + _base(c))).alias("out"),
-                            (s["at"] + 1).alias("at"), s["new"].alias("new"))), lambda s: s["out"])
-    return state
+    def moved(chars: Column) -> Column:
+        free = F.filter(chars, lambda c: _value(c) >= 0)
+        return F.struct(chars.alias("chars"), feistel(F.transform(free, _value), F.transform(free, _radix), kind, key).alias("new"))
+
+    def write(x: Column) -> Column:
+        return F.aggregate(
+            x["chars"], F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
+            lambda s, c: F.when(_value(c) < 0, F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at")))
+            .otherwise(F.struct(F.concat(s["out"], F.char(F.get(x["new"], s["at"]) + _base(c))).alias("out"),
+                                (s["at"] + 1).alias("at"))), lambda s: s["out"])
+
+    return _let(_let(_characters(text), moved), write)
 
 
 def luhn_sum(digits: Column) -> Column:
@@ -116,30 +127,42 @@ def _fill(text: Column, digits: Column) -> Column:
 
 
 def _card(value: Column, key: str) -> Column:
-    d = _digits(value)
-    body = F.slice(d, F.lit(2), F.size(d) - 2)
-    new = F.concat(F.slice(d, 1, 1), feistel(body, F.transform(body, lambda x: F.lit(10).cast("long")), F.lit("card"), key))
-    check = F.pmod(F.lit(10) - luhn_sum(F.concat(new, F.array(F.lit(0).cast("long")))) % 10, F.lit(10)).cast("long")
-    return _fill(value, F.concat(new, F.array(check)))
+    def moved(d: Column) -> Column:
+        body = F.slice(d, F.lit(2), F.size(d) - 2)
+        return F.concat(F.slice(d, 1, 1), feistel(body, F.transform(body, lambda x: F.lit(10).cast("long")), F.lit("card"), key))
+
+    def checked(new: Column) -> Column:
+        zero = F.lit(0).cast("long")
+        check = F.pmod(F.lit(10) - luhn_sum(F.concat(new, F.array(zero))) % 10, F.lit(10)).cast("long")
+        return F.concat(new, F.array(check))
+
+    return _let(_let(_let(_digits(value), moved), checked), lambda d: _fill(value, d))
 
 
 def _phone(value: Column, key: str) -> Column:
-    """Country code kept; area and exchange codes keep a first digit from 2 to 9 where they have one."""
+    """Country code kept; a digit from 2 to 9 that opens a group moves among those eight."""
     plus = F.regexp_extract(value, r"^\+\d{1,3}(?=[ .(-])|^\+1", 0)
+
+    def marked(chars: Column) -> Column:
+        opens = F.transform(chars, lambda c, i: F.struct(
+            c.alias("c"), (c.isin(*DIGITS[2:]) & ~F.coalesce(F.when(i > 0, F.get(chars, i - 1)), F.lit("")).isin(*DIGITS)).alias("o")))
+        return F.transform(F.filter(opens, lambda x: x["c"].isin(*DIGITS)), lambda x: F.struct(
+            x["c"].cast("long").alias("v"), F.when(x["o"], F.lit(2)).otherwise(F.lit(0)).cast("long").alias("low")))
+
+    def moved(m: Column) -> Column:
+        new = feistel(F.transform(m, lambda x: x["v"] - x["low"]), F.transform(m, lambda x: F.lit(10) - x["low"]),
+                      F.concat(F.lit("phone"), plus), key)
+        return F.zip_with(new, m, lambda a, b: a + b["low"])
+
     local = F.substr(value, F.length(plus) + 1)
-    # a digit that opens a group and is 2..9 moves among those eight
-    chars = _characters(local)
-    opens = F.transform(chars, lambda c, i: c.isin(*DIGITS[2:]) & ~F.coalesce(F.get(chars, i - 1), F.lit("")).isin(*DIGITS))
-    marked = F.filter(F.arrays_zip(chars.alias("c"), opens.alias("o")), lambda x: x["c"].isin(*DIGITS))
-    low = F.transform(marked, lambda x: F.when(x["o"], F.lit(2)).otherwise(F.lit(0)).cast("long"))
-    new = feistel(F.transform(marked, lambda x, i: x["c"].cast("long") - F.get(low, i)),
-                  F.transform(low, lambda x: F.lit(10) - x), F.concat(F.lit("phone"), plus), key)
-    return F.concat(plus, _fill(local, F.zip_with(new, low, lambda a, b: a + b)))
+    digits = _let(_let(_characters(local), marked), moved)
+    return F.concat(plus, _let(digits, lambda d: _fill(local, d)))
 
 
 def _ipv4(value: Column, key: str) -> Column:
     octets = F.transform(F.split(value, r"\."), lambda x: x.cast("long"))
-    return F.array_join(feistel(octets, F.transform(octets, lambda x: F.lit(256).cast("long")), F.lit("ipv4"), key).cast("array<string>"), ".")
+    radices = F.array(*[F.lit(256).cast("long")] * 4)
+    return F.array_join(feistel(octets, radices, F.lit("ipv4"), key).cast("array<string>"), ".")
 
 
 def _day(value: Column) -> Column:
@@ -152,13 +175,14 @@ def _day(value: Column) -> Column:
 
 
 def _date(value: Column, key: str) -> Column:
-    n = F.datediff(_day(value), F.lit(CYCLE_START).cast("date")).cast("long")
-    pair = feistel(F.array(n % SMALL, F.floor(n / SMALL).cast("long")),
-                   F.array(F.lit(SMALL), F.lit(CYCLE // SMALL)).cast("array<bigint>"), F.lit("date"), key)
-    day = F.date_add(F.lit(CYCLE_START).cast("date"), (F.get(pair, 0) + F.get(pair, 1) * SMALL).cast("int"))
+    first = F.lit(CYCLE_START).cast("date")
     mark = F.substring(F.regexp_extract(value, r"[./]", 0), 1, 1)
-    return F.when(value.rlike(r"^\d{4}-"), F.date_format(day, "yyyy-MM-dd")).otherwise(
-        F.concat(F.date_format(day, "dd"), mark, F.date_format(day, "MM"), mark, F.date_format(day, "yyyy")))
+    radices = F.array(F.lit(SMALL), F.lit(CYCLE // SMALL)).cast("array<bigint>")
+    pair = _let(F.datediff(_day(value), first).cast("long"), lambda n: feistel(
+        F.array(n % SMALL, F.floor(n / SMALL).cast("long")), radices, F.lit("date"), key))
+    day = _let(pair, lambda p: F.date_add(first, (F.get(p, 0) + F.get(p, 1) * SMALL).cast("int")))
+    return _let(day, lambda d: F.when(value.rlike(r"^\d{4}-"), F.date_format(d, "yyyy-MM-dd")).otherwise(
+        F.concat(F.date_format(d, "dd"), mark, F.date_format(d, "MM"), mark, F.date_format(d, "yyyy"))))
 
 
 def kind_of(value: Column) -> Column:
@@ -194,9 +218,10 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     """``docs`` with the personal data of ``text_col`` replaced, and ``pii`` appended: an array of
     (kind, start, original_length, pseudonym), ``start`` counted in characters from 0 of the original text."""
     text = F.col(f"`{text_col}`")
-    has = text.rlike(CANDIDATE)
+    # every candidate holds one of these; most texts are passed over by this one cheap scan
+    has = text.rlike("[0-9@=]|AKIA")
     found = F.when(has, F.regexp_extract_all(text, F.lit(CANDIDATE), 0)).otherwise(F.array().cast("array<string>"))
-    between = F.when(has, F.split(text, CANDIDATE, -1)).otherwise(F.array(text))
+    between = F.when(has, F.split(text, CANDIDATE, -1)).otherwise(F.array(F.lit("")))
     with_kind = F.transform("__found", lambda v: F.struct(v.alias("v"), kind_of(v).alias("kind")))
     replaced = F.transform("__kinds", lambda x: F.struct(
         x["v"].alias("v"), x["kind"].alias("kind"), pseudonym(x["v"], x["kind"], key).alias("new")))
