@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from isotherm.llm.common import parts_for, ship, stage
 
 MAGIC, BLOCK = b"WVM1", 512
-SHARD_TOKENS, RANGE_BYTES, MEMO = 500_000, 24_000_000, 600_000
+SHARD_TOKENS, RANGE_BYTES, MEMO = 500_000, 24_000_000, 250_000
 #: Punctuation that ends a piece after a letter: a token run of its own.
 MARKS = re.compile(r"(?<=[^\W\d_])[!-/:;=-@\[-`{-~]+(?= |$)")
 
@@ -266,7 +266,7 @@ class Wavelet:
 
 
 def shards(docs: DataFrame, path: str, end_id: int, shard_tokens: int = SHARD_TOKENS,
-           range_bytes: int = RANGE_BYTES, texts_at_once: int = 512) -> DataFrame:
+           range_bytes: int = RANGE_BYTES, texts_at_once: int = 256) -> DataFrame:
     """(part, seq, n_tokens, payload): the shards, (part, seq) in document order.
 
     The texts are placed by range before they are encoded, once, inside the shards' task."""
