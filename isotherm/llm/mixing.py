@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isotherm.functions.ids import dense_index
-from isotherm.llm.common import WORD, cut, null_safe, ship, stage
+from isotherm.llm.common import WORD, cut, fresh, ship, stage
 
 BUCKETS = 256
 MAX_STEPS = 80
@@ -174,10 +174,11 @@ def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[int] = (3, 1, 2),
     # a text that occurs n times has n allotted rows of one key: they are dealt to its rows by their number
     given = (allot(docs, share, weights, cap).groupBy("doc_id", "key")
              .agg(F.sum("copies").alias("given"), F.count(F.lit(1)).alias("rows")))
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", F.col("source").cast("string"), "text")).alias("d")
+    name = fresh(docs, "__mix")
+    keyed = docs.withColumn(name, F.xxhash64("doc_id", F.col("source").cast("string"), "text")).alias("d")
     g = given.alias("g")
     whole = F.expr("given div rows")
-    joined = keyed.join(g, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.__key") == F.col("g.key")))
+    joined = keyed.join(g, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col(f"d.{name}") == F.col("g.key")))
     often = F.when((F.col("rows") > 1) & (F.col("given") % F.col("rows") > 0), whole + 1).otherwise(whole).cast("int")
-    return (joined.where(often > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), often)))
+    return (joined.where(often > 0).withColumn(f"{name}_copy", F.explode(F.sequence(F.lit(1), often)))
             .select(*[F.col(f"d.`{c}`") for c in docs.columns]))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isotherm.llm.common import ship, stage
+from isotherm.llm.common import fresh, ship, stage
 
 MIN_WORDS = 8
 #: A piece: words joined by blanks that neither follow a sentence mark nor precede a capital.
@@ -125,9 +125,10 @@ def remove(docs: DataFrame, min_words: int = MIN_WORDS, text_col: str = "text")
     """``docs`` with the repeated passages cut out of ``text``, and removed_spans (character offsets in the
     original text) and removed_words appended."""
     found = repeats(docs, min_words).hint("shuffle_merge")
-    keyed = docs.withColumn("__row", F.crc32(F.col("text").cast("binary"))).alias("d")
+    name = fresh(docs, "__row")
+    keyed = docs.withColumn(name, F.crc32(F.col("text").cast("binary"))).alias("d")
     r = found.alias("r")
-    joined = keyed.join(r, F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.__row").eqNullSafe(F.col("r.row")), "left")
+    joined = keyed.join(r, F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col(f"d.{name}").eqNullSafe(F.col("r.row")), "left")
     wide = joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("r.u").alias("__units"))
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("removed_spans", span), T.StructField("removed_words", T.LongType())])

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isotherm.llm.common import fresh
+
 ROUNDS = 8
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: 400 Gregorian years are 146097 = 189 * 773 days; the cycle that holds today's dates.
@@ -222,11 +224,13 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     has = text.rlike("[0-9@=]|AKIA")
     found = F.when(has, F.regexp_extract_all(text, F.lit(CANDIDATE), 0)).otherwise(F.array().cast("array<string>"))
     between = F.when(has, F.split(text, CANDIDATE, -1)).otherwise(F.array(F.lit("")))
-    with_kind = F.transform("__found", lambda v: F.struct(v.alias("v"), kind_of(v).alias("kind")))
-    replaced = F.transform("__kinds", lambda x: F.struct(
+    prefix = fresh(docs, "__pii")
+    names = {n: f"{prefix}_{n}" for n in ("found", "between", "kinds", "new", "done")}
+    with_kind = F.transform(names["found"], lambda v: F.struct(v.alias("v"), kind_of(v).alias("kind")))
+    replaced = F.transform(names["kinds"], lambda x: F.struct(
         x["v"].alias("v"), x["kind"].alias("kind"), pseudonym(x["v"], x["kind"], key).alias("new")))
     starts = F.aggregate(
-        F.arrays_zip(F.col("__between").alias("gap"), F.col("__new").alias("x")),
+        F.arrays_zip(F.col(names["between"]).alias("gap"), F.col(names["new"]).alias("x")),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:int,original_length:int,pseudonym:string>>").alias("out"),
                  F.lit("").alias("text")),
         lambda s, z: F.struct(
@@ -236,8 +240,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
                 F.length(z["x"]["v"]).alias("original_length"), z["x"]["new"].alias("pseudonym"))))).otherwise(s["out"]).alias("out"),
             F.concat(s["text"], z["gap"], F.coalesce(z["x"]["new"], F.lit(""))).alias("text")))
     none = F.array().cast("array<struct<kind:string,start:int,original_length:int,pseudonym:string>>")
-    plain = docs.select("*", found.alias("__found"), between.alias("__between"))
-    steps = plain.withColumn("__kinds", with_kind).withColumn("__new", replaced)
-    done = steps.withColumn("__done", F.when(F.size("__found") > 0, starts))
-    return done.select(*[F.coalesce(F.col("__done.text"), text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-                       F.coalesce(F.col("__done.out"), none).alias("pii"))
+    plain = docs.select("*", found.alias(names["found"]), between.alias(names["between"]))
+    steps = plain.withColumn(names["kinds"], with_kind).withColumn(names["new"], replaced)
+    done = steps.withColumn(names["done"], F.when(F.size(names["found"]) > 0, starts))
+    return done.select(*[F.coalesce(F.col(names["done"] + ".text"), text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
+                       F.coalesce(F.col(names["done"] + ".out"), none).alias("pii"))

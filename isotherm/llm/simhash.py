@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import ship, stage
+from isotherm.llm.common import fresh, ship, stage
 from isotherm.llm.components import connected_components
 
 SEED = 42
@@ -140,11 +140,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     the one of the smallest row hash.  A component of NULL ids only keeps its rows of the smallest hash."""
     found = near_duplicates(docs, shingle, max_bits)
     heads = found.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    hashed = docs.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    row = fresh(docs, "__row")
+    hashed = docs.withColumn(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     keep = heads.select("doc_id", "fingerprint").distinct()
     # the few ids or hashes that repeat are told apart by the row's hash, all others join once
-    first = (hashed.groupBy("doc_id").agg(F.min("__row").alias("__row")))
-    ids = keep.alias("k").join(first.alias("f"), F.col("k.doc_id").eqNullSafe(F.col("f.doc_id"))).select("k.doc_id", "__row").distinct()
+    first = (hashed.groupBy("doc_id").agg(F.min(row).alias(row)))
+    ids = keep.alias("k").join(first.alias("f"), F.col("k.doc_id").eqNullSafe(F.col("f.doc_id"))).select("k.doc_id", row).distinct()
     d, k = hashed.alias("d"), ids.alias("k")
-    kept = d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.__row") == F.col("k.__row")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{row}") == F.col(f"k.{row}")), "left_semi")
+    return kept.dropDuplicates(["doc_id", row]).select(*[F.col(f"`{c}`") for c in docs.columns])
