@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isotherm.llm import bytecnn, decontam, mixing, simhash, wavelet
-from isotherm.llm.common import stage, table
+from isotherm.llm.common import fresh, stage, table
 from isotherm.llm.queries import vocabulary
 
 #: The stages train a model, follow links to their end and solve for multipliers: no SQL twin.
@@ -23,7 +23,8 @@ ORACLE_SQL = None
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     model = bytecnn.train(bytecnn.training_rows(docs, table(spark, sf_dir, "labels"), "quality"))
-    return bytecnn.score(docs, model, "__score").where(F.col("__score") >= 0.3).select(*docs.columns)
+    score = fresh(docs, "__score")
+    return bytecnn.score(docs, model, score).where(F.col(score) >= 0.3).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
