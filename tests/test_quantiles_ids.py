@@ -39,3 +39,15 @@ def test_dense_index_is_rank_in_key_order(spark):
     got = out.sort_values("id")[["name", "grp"]].itertuples(index=False, name=None)
     assert list(got) == expect
     assert out.id.tolist() and sorted(out.id.tolist()) == list(range(1, 501))
+
+
+def test_dense_index_with_payload_at_size(spark):
+    """Counts and rows must see the same range boundaries, also when only the rows carry a payload."""
+    from pyspark.sql import functions as F
+
+    from isotherm.functions.ids import dense_index
+    n = 500_000
+    keys = spark.range(n).select(F.hash("id").cast("long").alias("h"), "id", F.repeat(F.lit("x"), 20).alias("payload"))
+    out = dense_index(keys, ["h", "id"], "n", num_partitions=16)
+    r = out.agg(F.count("n").alias("rows"), F.countDistinct("n").alias("ids"), F.min("n").alias("lo"), F.max("n").alias("hi")).first()
+    assert (r.rows, r.ids, r.lo, r.hi) == (n, n, 1, n)
