@@ -124,6 +124,13 @@ def upsert_counts(existing: DataFrame, incoming: DataFrame, merged: DataFrame) -
     return c.crossJoin(merged.agg(F.count(F.lit(1)).alias("total")))
 
 
+def _has_versions(spark: SparkSession, pending_dir: str) -> bool:
+    """Whether the pending table has a published version, asked of its own file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{pending_dir.rstrip('/')}/version=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def run_stream(spark: SparkSession, source_dir: str, schema, pending_dir: str, checkpoint_location: str,
                gap_start: str, as_of: str | None = None, trigger_available_now: bool = True,
                transform=None, path_glob: str | None = None):
@@ -139,11 +146,10 @@ def run_stream(spark: SparkSession, source_dir: str, schema, pending_dir: str, c
         acc = (accepted(validate(batch, gap_start, as_of))
                .withColumn("ingested_batch", F.lit(batch_id).cast("long"))
                .withColumn("source_row", F.lit(0).cast("long")))  # keys are unique inside an accepted batch
-        try:
+        latest = None
+        if _has_versions(spark, pending_dir):  # a table that is there but cannot be read fails the batch
             pending = spark.read.parquet(pending_dir).where(F.col("version") < batch_id)
             latest = pending.agg(F.max("version")).first()[0]
-        except Exception:  # noqa: BLE001 - no pending table yet
-            latest = None
         if latest is None:
             merged = acc
         else:
