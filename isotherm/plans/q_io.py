@@ -48,8 +48,7 @@ def scan_csv_roundtrip(spark, sf):
 
 @register("file_catalog", None, ids="SRC-06 AGG-19")
 def file_catalog(spark, sf):
-    return reduce(DataFrame.unionByName, [io.file_catalog(table(spark, sf, t), t) for t in TABLES
-                                          if t not in ("embeddings",)])
+    return reduce(DataFrame.unionByName, [io.file_catalog(table(spark, sf, t), t) for t in TABLES])
 
 
 LOAD_SQL = with_sources("""
