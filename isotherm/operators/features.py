@@ -91,16 +91,6 @@ def leave_one_out(value: str, key: Sequence[str]) -> tuple[Column, Column]:
     return mean, F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
 
 
-def grouped_past_mean(df: DataFrame, group: Sequence[str], value: str, out: str,
-                      order: str = "month_index") -> DataFrame:
-    """Past-only mean over a large group (zone, globe): aggregate to (group, order) first,
-    cumulate on that small frame, return (group, order, out) to join back (WIN-10 pattern)."""
-    g = list(group)
-    per = df.groupBy(*g, order).agg(F.sum(value).alias("__s"), F.count(value).alias("__n"))
-    w = Window.partitionBy(*g).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return per.select(*g, order, F.try_divide(F.sum("__s").over(w), F.sum("__n").over(w)).alias(out))
-
-
 def split_columns(year: str, train_end: int, validation_end: int) -> list[Column]:
     lab = split_label_for_year(year, train_end, validation_end)
     return [lab.alias("data_split"), (F.col(year) <= train_end).alias("is_train_period")]
@@ -111,7 +101,7 @@ def climatology(df: DataFrame, target: str, train_end: int, validation_end: int,
     """loc_month_climatology with two regimes (FEA-09, FEA-11, JON-16):
 
     * train rows: past-only mean of the same (location, month); else the location's
-      past-only mean; else the zone-month past mean; else the global-month past mean;
+      past-only mean; else NULL;
     * later rows: the fixed train mean of (location, month); else zone-month; else
       global-month (train means).
 
@@ -125,18 +115,14 @@ def climatology(df: DataFrame, target: str, train_end: int, validation_end: int,
     l_mean, _, _ = past_only_stats(target, loc)
     d = d.withColumn("__lm", lm_mean).withColumn("__l", l_mean)
     train = d.where("is_train_period")
-    zm_past = grouped_past_mean(train, ["latitude_zone", "month"], target, "__zm")
-    gm_past = grouped_past_mean(train, ["month"], target, "__gm")
     zm_fixed = train.groupBy("latitude_zone", "month").agg(F.avg(target).alias("__zmf"))
     gm_fixed = train.groupBy("month").agg(F.avg(target).alias("__gmf"))
     lm_fixed = train.groupBy(*loc, "month").agg(F.avg(target).alias("__lmf"))
-    j = (d.join(zm_past, ["latitude_zone", "month", "month_index"], "left")
-         .join(gm_past, ["month", "month_index"], "left")
-         .join(zm_fixed, ["latitude_zone", "month"], "left")
+    j = (d.join(zm_fixed, ["latitude_zone", "month"], "left")
          .join(F.broadcast(gm_fixed), ["month"], "left")  # 12 rows
          .join(lm_fixed, loc + ["month"], "left"))
     is_train = F.col("is_train_period")
-    value = F.when(is_train, F.coalesce("__lm", "__l", "__zm", "__gm")).otherwise(
+    value = F.when(is_train, F.coalesce("__lm", "__l")).otherwise(
         F.coalesce("__lmf", "__zmf", "__gmf"))
     imputed = F.when(is_train, F.col("__lm").isNull()).otherwise(F.col("__lmf").isNull())
     return j.select(*loc, "observation_date", "month_index", "data_split", "is_train_period", "latitude_zone",
@@ -144,15 +130,20 @@ def climatology(df: DataFrame, target: str, train_end: int, validation_end: int,
 
 
 def location_stats(df: DataFrame, target: str, train_end: int, location: Sequence[str] = LOCATION) -> DataFrame:
-    """loc_mean_temperature / loc_temperature_std: past-only in train, fixed train values later (FEA-12)."""
+    """loc_mean_temperature / loc_temperature_std: past-only in train; later the location's train
+    values, else its latitude zone's, else the train values of all rows, each on its own (FEA-12)."""
     loc = list(location)
-    d = with_month_index(df).select(*loc, "observation_date", "year", "month_index", target)
+    d = with_month_index(df).select(*loc, "observation_date", "year", "month_index", target,
+                                    latitude_zone(F.abs("latitude")).alias("__zone"))
     m, s, n = past_only_stats(target, loc)
+    train = d.where(F.col("year") <= train_end)
+
+    def level(suffix, *keys):
+        return train.groupBy(*keys).agg(F.avg(target).alias(f"__m{suffix}"), F.stddev_samp(target).alias(f"__s{suffix}"))
     d = d.withColumn("__m", m).withColumn("__s", s).withColumn("__n", n)
-    fixed = d.where(F.col("year") <= train_end).groupBy(*loc).agg(
-        F.avg(target).alias("__mf"), F.stddev_samp(target).alias("__sf"))
-    j = d.join(fixed, loc, "left")
+    j = (d.join(level("f", *loc), loc, "left").join(F.broadcast(level("z", "__zone")), "__zone", "left")  # four zones
+         .crossJoin(F.broadcast(level("g"))))
     is_train = F.col("year") <= train_end
     return j.select(*loc, "observation_date", "month_index", "__n",
-                    F.when(is_train, F.col("__m")).otherwise(F.col("__mf")).alias("loc_mean_temperature"),
-                    F.when(is_train, F.col("__s")).otherwise(F.col("__sf")).alias("loc_temperature_std"))
+                    F.when(is_train, F.col("__m")).otherwise(F.coalesce("__mf", "__mz", "__mg")).alias("loc_mean_temperature"),
+                    F.when(is_train, F.col("__s")).otherwise(F.coalesce("__sf", "__sz", "__sg")).alias("loc_temperature_std"))

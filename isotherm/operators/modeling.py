@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,8 @@ def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], targe
     elif kind == "gbt":
         est = GBTRegressor(featuresCol="features", labelCol=target, maxIter=params.get("maxIter", 100),
                            maxDepth=params.get("maxDepth", 8), stepSize=params.get("stepSize", 0.05),
+                           subsamplingRate=params.get("subsamplingRate", 1.0),
+                           featureSubsetStrategy=params.get("featureSubsetStrategy", "all"),
                            validationIndicatorCol=params.get("validationIndicatorCol"), seed=42)
     else:
         raise ValueError(kind)
@@ -71,19 +73,14 @@ def predict(model: PipelineModel, df: DataFrame, numeric: Sequence[str]) -> Data
 
 
 def metrics(pred: DataFrame, label: str, prediction: str = "prediction", group: Sequence[str] = ()) -> DataFrame:
-    """MAE, RMSE, R2 and bias (mean residual) as one aggregate (ML-07)."""
+    """MAE, RMSE, R2 and bias (mean residual) as one aggregate, no window and one pass (ML-07).
+    R2 is 1 - SSE / (n * population variance); NULL for a constant label."""
     err = F.col(label) - F.col(prediction)
     valid = pred.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
-    mean_y = F.avg(label).over(Window.partitionBy(*group)) if group else None
-    if group:
-        valid = valid.withColumn("__mean", mean_y)
-    else:
-        valid = valid.crossJoin(F.broadcast(valid.agg(F.avg(label).alias("__mean"))))
-    out = valid.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"),
-        (1 - F.try_divide(F.sum(err * err), F.sum((F.col(label) - F.col("__mean")) ** 2))).alias("r2"),
-        F.avg(err).alias("bias"))
-    return out
+    n = F.count(F.lit(1))
+    return valid.groupBy(*group).agg(
+        n.alias("n"), F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"),
+        (1 - F.try_divide(F.sum(err * err), n * F.var_pop(label))).alias("r2"), F.avg(err).alias("bias"))
 
 
 def coefficients(model: PipelineModel, names: Sequence[str]) -> list[tuple[str, float]]:

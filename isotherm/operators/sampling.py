@@ -32,23 +32,13 @@ def stratified_sample(df: DataFrame, stratum: str, fraction: float, strata: Sequ
     return df.sampleBy(stratum, {s: fraction for s in strata}, seed)
 
 
-def bernoulli_scan(df: DataFrame, condition: Column, target_rows: int, share: float, oversample: float = 1.35,
-                   seed: int = 42) -> DataFrame:
-    """Rows of one split sampled at ``oversample × share`` then capped at ``target_rows`` (SRC-10);
-    the cap is the feature (a sized training sample), not a way around skew."""
-    frac = min(1.0, share * oversample)
-    return df.where(condition).sample(False, frac, seed).limit(target_rows)
-
-
-def head_without_partial_group(df: DataFrame, order: Sequence[str], group: Sequence[str], n: int) -> DataFrame:
-    """FAST_MODE scan (SRC-09): the first ``n`` rows in (group, time) order, minus the last group,
-    whose series the limit may have cut.  ``n`` bounds the rows by design."""
-    head = df.orderBy(*order).limit(n)
-    last = head.orderBy(*[F.col(c).desc() for c in order]).limit(1).select(*group)
-    return head.join(F.broadcast(last), list(group), "left_anti")
-
-
-def proportional_sizes(counts: Mapping[str, int], total: int) -> dict[str, int]:
-    """Helper for split-proportional caps (driver-side, on a few split counts)."""
-    n = sum(counts.values())
-    return {k: int(round(total * v / n)) for k, v in counts.items()} if n else {}
+def bernoulli_scan(df: DataFrame, fractions: Mapping[str, float], split: str = "data_split", seed: int = 42) -> DataFrame:
+    """Seeded Bernoulli sample with one fraction per split, in one pass (SRC-10); splits that are not
+    named give no rows."""
+    return df.sampleBy(split, dict(fractions), seed)
+
+
+def range_scan(df: DataFrame, columns: Sequence[str], column: str, start: str, end: str) -> DataFrame:
+    """Some columns of the rows with ``start <= column < end`` (SRC-08, SRC-09): both reach the scan,
+    and whole periods are kept, so no series is cut by a row count."""
+    return df.where((F.col(column) >= F.lit(start).cast("date")) & (F.col(column) < F.lit(end).cast("date"))).select(*columns)

@@ -70,7 +70,7 @@ def build_dim_city(city_src: DataFrame, major_src: DataFrame, dim_country: DataF
     rows = normalised_city_rows(city_src, False).union(normalised_city_rows(major_src, True))
     rows = rows.where(F.col("city_name").isNotNull() & F.col("country_name").isNotNull()
                       & F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    keyed = rows.join(F.broadcast(dim_country), "country_name")
+    keyed = rows.join(dim_country, "country_name")
     grouped = keyed.groupBy("city_name", "country_id", "latitude", "longitude").agg(
         F.bool_or("is_major_city").alias("is_major_city"))
     return dense_index(grouped, ["city_name", "country_id", "latitude", "longitude"], "city_id").select(
@@ -87,7 +87,7 @@ def build_fact_city(src: DataFrame, dim_date: DataFrame, dim_city: DataFrame, di
         signed_coordinate("latitude", "N", "S").alias("latitude"),
         signed_coordinate("longitude", "E", "W").alias("longitude"))
     dd = F.broadcast(dim_date.select("date_id", F.col("full_date").alias("dt")))
-    dc = F.broadcast(dim_country)
+    dc = dim_country
     return (norm.join(dd, "dt").join(dc, "country_name")
             .join(dim_city.select("city_id", "city_name", "country_id", "latitude", "longitude"),
                   ["city_name", "country_id", "latitude", "longitude"])
@@ -98,7 +98,7 @@ def build_fact_country(src: DataFrame, dim_date: DataFrame, dim_country: DataFra
                        value_cols=("average_temperature", "average_temperature_uncertainty")) -> DataFrame:
     dd = F.broadcast(dim_date.select("date_id", F.col("full_date").alias("dt")))
     norm = src.select("dt", *value_cols, blank_to_null("country").alias("country_name"))
-    return (norm.join(dd, "dt").join(F.broadcast(dim_country), "country_name")
+    return (norm.join(dd, "dt").join(dim_country, "country_name")
             .select("date_id", "country_id", *value_cols))
 
 
@@ -125,7 +125,7 @@ def star_view_global(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def star_view_country(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame) -> DataFrame:
     return (fact.alias("f").join(F.broadcast(dim_date).alias("d"), "date_id")
-            .join(F.broadcast(dim_country).alias("c"), "country_id")
+            .join(dim_country.alias("c"), "country_id")
             .select("date_id", *_date_cols(), "country_id", "c.country_name",
                     "f.average_temperature", "f.average_temperature_uncertainty"))
 
@@ -135,7 +135,7 @@ def star_view_city(fact: DataFrame, dim_date: DataFrame, dim_city: DataFrame,
     """fact ⋈ date ⋈ city ⋈ country (JON-05; JON-06 is the same shape on the major fact)."""
     return (fact.alias("f").join(F.broadcast(dim_date).alias("d"), "date_id")
             .join(dim_city.alias("ci"), "city_id")
-            .join(F.broadcast(dim_country).alias("c"), F.col("ci.country_id") == F.col("c.country_id"))
+            .join(dim_country.alias("c"), F.col("ci.country_id") == F.col("c.country_id"))
             .select("date_id", *_date_cols(), "city_id", "ci.city_name", F.col("c.country_id"),
                     "c.country_name", "ci.latitude", "ci.longitude", "ci.is_major_city",
                     "f.average_temperature", "f.average_temperature_uncertainty"))
@@ -161,7 +161,7 @@ def enrich_left(fact_city: DataFrame, dim_date: DataFrame, dim_city: DataFrame,
                            F.col("average_temperature_uncertainty").alias("major_city_average_temperature_uncertainty"))
     base = (fact_city.alias("ci").join(F.broadcast(dim_date).alias("d"), "date_id")
             .join(dim_city.alias("city"), "city_id")
-            .join(F.broadcast(dim_country).alias("country"),
+            .join(dim_country.alias("country"),
                   F.col("city.country_id") == F.col("country.country_id")))
     out = (base
            .join(co, (F.col("co_date_id") == F.col("date_id")) & (F.col("co_country_id") == F.col("city.country_id")), "left")

@@ -139,11 +139,15 @@ def yearly_trend(df: DataFrame, year: str, value: str) -> DataFrame:
     """Yearly mean, count, centred moving average (window min(10, n), min periods 1), least-squares
     line and residual (AGG-27, AGG-31, WIN-12).  Windows run on the yearly frame only."""
     yearly = df.groupBy(year).agg(F.avg(value).alias("mean_value"), F.count(value).alias("n"))
-    n_years = yearly.count()  # metric-sized: one row per year
-    w = max(1, min(10, n_years))
-    after = (w - 1) // 2
-    before = w - 1 - after
-    ma = F.avg("mean_value").over(Window.orderBy(year).rowsBetween(-before, after))
+    every = Window.orderBy(year).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    at = F.row_number().over(Window.orderBy(year)).cast("int")
+    years = F.count(F.lit(1)).over(every).cast("int")
+    width = F.least(F.lit(10), years)
+    after = F.floor((width - 1) / 2).cast("int")
+    first, last = F.greatest(F.lit(1), at - (width - 1 - after)), F.least(years, at + after)
+    near = F.filter(F.slice(F.collect_list(F.struct("mean_value")).over(every), first, last - first + 1)["mean_value"],
+                    lambda v: v.isNotNull())
+    ma = F.try_divide(F.aggregate(near, F.lit(0.0), lambda acc, v: acc + v), F.size(near).cast("double"))
     fit = yearly.agg(F.regr_slope("mean_value", year).alias("__slope"),
                      F.regr_intercept("mean_value", year).alias("__icpt"), F.count(F.lit(1)).alias("__k"))
     out = yearly.withColumn("moving_average", ma).crossJoin(F.broadcast(fit))
@@ -193,7 +197,8 @@ def histogram(df: DataFrame, value: str, n_bins: int | None = None) -> DataFrame
     stats = df.agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.count(value).alias("__n"))
     nb = (F.lit(n_bins) if n_bins else F.greatest(F.lit(20), F.least(F.lit(100), (F.col("__n") / 100).cast("long") + 30)))
     stats = stats.withColumn("__nb", nb.cast("long")).withColumn("__w", (F.col("__hi") - F.col("__lo")) / F.col("__nb"))
-    b = F.least(F.floor((F.col(value) - F.col("__lo")) / F.col("__w")), F.col("__nb") - 1).cast("long")
+    b = F.coalesce(F.least(F.floor(F.try_divide(F.col(value) - F.col("__lo"), F.col("__w"))), F.col("__nb") - 1),
+                   F.lit(0)).cast("long")  # a constant column: bin 0
     counts = (df.where(F.col(value).isNotNull()).crossJoin(F.broadcast(stats))
               .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     grid = stats.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("__nb") - 1)).alias("bin"), "__lo", "__w")
@@ -206,8 +211,10 @@ def histogram(df: DataFrame, value: str, n_bins: int | None = None) -> DataFrame
 def density_grid(df: DataFrame, x: str, y: str, gridsize: int = 45) -> DataFrame:
     """2-D counts on a gridsize × gridsize square grid; empty cells dropped (AGG-43, re-aimed)."""
     s = df.agg(F.min(x).alias("__x0"), F.max(x).alias("__x1"), F.min(y).alias("__y0"), F.max(y).alias("__y1"))
-    bx = F.least(F.floor((F.col(x) - F.col("__x0")) * gridsize / (F.col("__x1") - F.col("__x0"))), F.lit(gridsize - 1))
-    by = F.least(F.floor((F.col(y) - F.col("__y0")) * gridsize / (F.col("__y1") - F.col("__y0"))), F.lit(gridsize - 1))
+    def cell(c, lo, hi):  # a constant column: cell 0
+        at = F.floor(F.try_divide((F.col(c) - F.col(lo)) * gridsize, F.col(hi) - F.col(lo)))
+        return F.coalesce(F.least(at, F.lit(gridsize - 1)), F.lit(0))
+    bx, by = cell(x, "__x0", "__x1"), cell(y, "__y0", "__y1")
     d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).crossJoin(F.broadcast(s))
     return d.groupBy(bx.cast("long").alias("x_bin"), by.cast("long").alias("y_bin")).agg(F.count(F.lit(1)).alias("count"))
 

@@ -21,37 +21,19 @@ _STAGES: dict[tuple, DataFrame] = {}
 _LOCK = threading.RLock()
 
 
-def _app_key(spark: SparkSession):
+def app_key(spark: SparkSession):
     try:
         return spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001 - e.g. a Connect session
         return id(spark)
 
 
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def stage(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
-          spread: bool = False) -> DataFrame:
-    """Compute and checkpoint a stage once per application.
-
-    ``spread``: when AQE has coalesced a small stage into fewer partitions than there are
-    cores, re-distribute it so that CPU-heavy consumers (row expansion for correlations,
-    windows) use every core.  A large stage already has more partitions than cores, so
-    this never adds a shuffle at scale.
-    """
-    key = (_app_key(spark), name, sf_dir)
+def stage(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Compute and checkpoint a stage once per application."""
+    key = (app_key(spark), name, sf_dir)
     with _LOCK:  # queries may be launched from several driver threads
         df = _STAGES.get(key)
         if df is None:
             df = cut_lineage(build())
-            if spread:
-                n = _parallelism(spark)
-                if df.rdd.getNumPartitions() < n:
-                    df = cut_lineage(df.repartition(n))
             _STAGES[key] = df
     return df

@@ -22,7 +22,7 @@ from isotherm.sources.tables import table
 
 def clean_frame(spark, sf) -> DataFrame:
     from isotherm.plans.materialize import stage
-    return stage(spark, "clean", sf, lambda: cl.clean(build_star(spark, sf).enriched()), spread=True)
+    return stage(spark, "clean", sf, lambda: cl.clean(build_star(spark, sf).enriched()))
 
 
 _NOTNULL = " AND ".join(f"{c} IS NOT NULL" for c in cl.CRITICAL)
@@ -104,6 +104,12 @@ def _domain_sql() -> str:
     parts += [f"count(*) FILTER (WHERE {c} < 0) AS {c}_negative" for c in cl.UNCERTAINTY]
     parts += [f"count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') AS {c}_blank"
               for c in ("city_name", "country_name")]
+    parts += ["count(*) FILTER (WHERE (year, month, quarter, decade) <> (year(observation_date), month(observation_date), "
+              "quarter(observation_date), year(observation_date) - year(observation_date) % 10)) AS calendar_mismatch_rows",
+              "count(*) FILTER (WHERE land_min_temperature > land_average_temperature AND land_max_temperature IS NOT NULL "
+              "OR land_average_temperature > land_max_temperature AND land_min_temperature IS NOT NULL) AS land_order_rows",
+              "count(*) FILTER (WHERE is_major_city AND NOT major_city_matched) AS major_without_match_rows",
+              "count(*) FILTER (WHERE major_city_matched AND NOT is_major_city) AS match_without_major_rows"]
     return "SELECT " + ",\n  ".join(parts) + " FROM enriched"
 
 
@@ -111,8 +117,13 @@ def _domain_sql() -> str:
 def domain_checks(spark, sf):
     e = build_star(spark, sf).enriched()
     required = ["latitude", "longitude", "month", "quarter", "city_average_temperature"]
-    return dq.domain_checks(e, _RANGES, non_negative=cl.UNCERTAINTY, not_blank=["city_name", "country_name"],
-                            null_is_outside=required)
+    major, matched = F.col("is_major_city"), F.col("major_city_matched")
+    return dq.domain_checks(
+        e, _RANGES, non_negative=cl.UNCERTAINTY, not_blank=["city_name", "country_name"], null_is_outside=required,
+        broken={"calendar_mismatch_rows": ~dq.calendar_consistency(),
+                "land_order_rows": ~dq.order_consistency("land_min_temperature", "land_average_temperature",
+                                                         "land_max_temperature"),
+                "major_without_match_rows": major & ~matched, "match_without_major_rows": matched & ~major})
 
 
 LINEAGE_SQL = with_clean(f"""
@@ -121,7 +132,7 @@ SELECT count(*) FILTER (WHERE {' OR '.join(f'c.{k} IS NULL' for k in cl.BUSINESS
   count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM enriched e WHERE {' AND '.join(f'e.{k} = c.{k}' for k in cl.BUSINESS_KEY)}))
     AS rows_not_in_source,
   min(c.observation_date) AS min_date, max(c.observation_date) AS max_date,
-  count(*) FILTER (WHERE NOT (c.is_major_city = c.major_city_matched) AND c.major_city_matched) AS flag_mismatch_rows,
+  count(*) FILTER (WHERE c.is_major_city <> c.major_city_matched) AS flag_mismatch_rows,
   count(*) FILTER (WHERE c.country_temperature_available AND c.country_average_temperature IS NULL) AS availability_errors
 FROM clean c""")
 
@@ -136,7 +147,7 @@ def clean_lineage_check(spark, sf):
     stats = c.agg(F.count_if(any_null).alias("null_key_rows"),
                   (F.count(F.lit(1)) - F.count_distinct(F.struct(*key))).alias("duplicate_key_rows"),
                   F.min("observation_date").alias("min_date"), F.max("observation_date").alias("max_date"),
-                  F.count_if((F.col("is_major_city") != F.col("major_city_matched")) & F.col("major_city_matched"))
+                  F.count_if(F.col("is_major_city") != F.col("major_city_matched"))
                   .alias("flag_mismatch_rows"),
                   F.count_if(F.col("country_temperature_available") & F.col("country_average_temperature").isNull())
                   .alias("availability_errors"))

@@ -95,27 +95,20 @@ d2 AS (SELECT *,
     CASE WHEN count(t) OVER lw > 0 THEN sum(t) OVER lw / count(t) OVER lw END AS l
   FROM d WINDOW lmw AS ({_LOCW}, month ORDER BY month_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
                 lw AS ({_LOCW} ORDER BY month_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-zmp AS (SELECT latitude_zone, month, month_index, sum(s) OVER w / sum(n) OVER w AS zm FROM (
-    SELECT latitude_zone, month, month_index, sum(t) AS s, count(t) AS n FROM d WHERE is_train_period GROUP BY ALL) x
-  WINDOW w AS (PARTITION BY latitude_zone, month ORDER BY month_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-gmp AS (SELECT month, month_index, sum(s) OVER w / sum(n) OVER w AS gm FROM (
-    SELECT month, month_index, sum(t) AS s, count(t) AS n FROM d WHERE is_train_period GROUP BY ALL) x
-  WINDOW w AS (PARTITION BY month ORDER BY month_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 zmf AS (SELECT latitude_zone, month, avg(t) AS zmf FROM d WHERE is_train_period GROUP BY ALL),
 gmf AS (SELECT month, avg(t) AS gmf FROM d WHERE is_train_period GROUP BY ALL),
 lmf AS (SELECT {LOC_SQL}, month, avg(t) AS lmf FROM d WHERE is_train_period GROUP BY ALL),
 clim AS (SELECT d2.{LOC.__getitem__(0)}, d2.country_name, d2.latitude, d2.longitude, d2.observation_date, d2.month_index,
     d2.data_split, d2.is_train_period, d2.latitude_zone, d2.t AS {TARGET},
-    CASE WHEN d2.is_train_period THEN coalesce(lm, l, zm, gm) ELSE coalesce(lmf, zmf, gmf) END AS loc_month_climatology,
+    CASE WHEN d2.is_train_period THEN coalesce(lm, l) ELSE coalesce(lmf, zmf, gmf) END AS loc_month_climatology,
     CASE WHEN d2.is_train_period THEN lm IS NULL ELSE lmf IS NULL END AS loc_climatology_imputed
-  FROM d2 LEFT JOIN zmp USING (latitude_zone, month, month_index) LEFT JOIN gmp USING (month, month_index)
-  LEFT JOIN zmf USING (latitude_zone, month) LEFT JOIN gmf USING (month) LEFT JOIN lmf USING ({LOC_SQL}, month))
+  FROM d2 LEFT JOIN zmf USING (latitude_zone, month) LEFT JOIN gmf USING (month) LEFT JOIN lmf USING ({LOC_SQL}, month))
 """
 
 
 def climatology_frame(spark, sf):
     return stage(spark, "climatology", sf,
-                 lambda: fe.climatology(clean_frame(spark, sf), TARGET, TRAIN_END, VALIDATION_END), spread=True)
+                 lambda: fe.climatology(clean_frame(spark, sf), TARGET, TRAIN_END, VALIDATION_END))
 
 
 @register("past_only_climatology", with_clean(CLIM_CTES + "SELECT * FROM clim"),
@@ -126,15 +119,17 @@ def past_only_climatology(spark, sf):
 
 LOCSTATS_CTES = f"""
 , ls AS (SELECT {LOC_SQL}, observation_date, year, year(observation_date) * 12 + month(observation_date) AS month_index,
-    {TARGET} AS t FROM clean),
+    {TARGET} AS t, {_ZONE_SQL} AS zone FROM clean),
 ls2 AS (SELECT *, count(t) OVER w AS n, sum(t) OVER w AS s, sum(t * t) OVER w AS ss FROM ls
   WINDOW w AS ({_LOCW} ORDER BY month_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 lsf AS (SELECT {LOC_SQL}, avg(t) AS mf, stddev_samp(t) AS sf FROM ls WHERE year <= {TRAIN_END} GROUP BY ALL),
+lsz AS (SELECT zone, avg(t) AS mz, stddev_samp(t) AS sz FROM ls WHERE year <= {TRAIN_END} GROUP BY zone),
+lsg AS (SELECT avg(t) AS mg, stddev_samp(t) AS sg FROM ls WHERE year <= {TRAIN_END}),
 locstats AS (SELECT {LOC_SQL}, observation_date, month_index, n AS __n,
-    CASE WHEN year <= {TRAIN_END} THEN CASE WHEN n > 0 THEN s / n END ELSE mf END AS loc_mean_temperature,
+    CASE WHEN year <= {TRAIN_END} THEN CASE WHEN n > 0 THEN s / n END ELSE coalesce(mf, mz, mg) END AS loc_mean_temperature,
     CASE WHEN year <= {TRAIN_END} THEN CASE WHEN n > 1 THEN sqrt(greatest((ss - s * s / n) / (n - 1), 0.0)) END
-         ELSE sf END AS loc_temperature_std
-  FROM ls2 LEFT JOIN lsf USING ({LOC_SQL}))
+         ELSE coalesce(sf, sz, sg) END AS loc_temperature_std
+  FROM ls2 LEFT JOIN lsf USING ({LOC_SQL}) LEFT JOIN lsz USING (zone), lsg)
 """
 
 
@@ -226,7 +221,7 @@ def feature_frame(spark, sf) -> DataFrame:
         out = out.withColumn("temp_anomaly_lag_12", F.col("temp_lag_12") - F.col("loc_month_climatology"))
         return out.select(*LOC, "observation_date", "year", "month", TARGET, *FEATURE_COLUMNS, "data_split",
                           "is_train_period")
-    return stage(spark, "features", sf, build, spread=True)
+    return stage(spark, "features", sf, build)
 
 
 _LAGW = f"{_LOCW} ORDER BY month_index"
@@ -393,9 +388,9 @@ def step_difference(spark, sf):
 WARMING_SQL = with_clean(CLIM_CTES + f"""
 , an AS (SELECT latitude_zone, year(observation_date) AS year, avg({TARGET} - loc_month_climatology) AS anomaly
          FROM clim WHERE is_train_period GROUP BY ALL)
-SELECT latitude_zone, CASE WHEN count(anomaly) >= 5 THEN regr_slope(anomaly, year) END AS slope_per_year,
+SELECT latitude_zone, CASE WHEN count(anomaly) >= 10 THEN regr_slope(anomaly, year) END AS slope_per_year,
   count(anomaly) AS points,
-  CASE WHEN count(anomaly) >= 5 THEN regr_slope(anomaly, year) END * 100 AS slope_per_century
+  CASE WHEN count(anomaly) >= 10 THEN regr_slope(anomaly, year) END * 100 AS slope_per_century
 FROM an GROUP BY latitude_zone""")
 
 
@@ -403,9 +398,9 @@ FROM an GROUP BY latitude_zone""")
           ids="AGG-32 FEA-17 UDF-04")
 def warming_rate(spark, sf):
     """Slope of the yearly mean anomaly (target - past-only climatology) per latitude zone on train
-    rows; NULL below the minimum number of years (five for the seven-year driver tables)."""
+    rows; NULL below ten years."""
     from isotherm.operators.stats import slope_by_group
     c = climatology_frame(spark, sf).where("is_train_period")
     an = c.groupBy("latitude_zone", F.year("observation_date").cast("long").alias("year")).agg(
         F.avg(F.col(TARGET) - F.col("loc_month_climatology")).alias("anomaly"))
-    return slope_by_group(an, "latitude_zone", "year", "anomaly", 5)
+    return slope_by_group(an, "latitude_zone", "year", "anomaly")

@@ -202,16 +202,9 @@ def sample_stratified(spark, sf):
 
 @register("bernoulli_scan", None, ids="SRC-10 SET-03")
 def bernoulli_scan(spark, sf):
-    """A sized training sample per split (the cap is the feature), then the splits concatenated."""
-    from functools import reduce
-
-    from pyspark.sql import DataFrame
-
+    """A training sample: one fraction per split."""
     from isotherm.plans.q_features import feature_frame
-    f = feature_frame(spark, sf)
-    parts = [sm.bernoulli_scan(f, F.col("data_split") == s, n, share, seed=42)
-             for s, n, share in [("train", 3000, 0.6), ("validation", 1000, 0.2), ("test", 1000, 0.2)]]
-    return reduce(DataFrame.unionByName, parts)
+    return sm.bernoulli_scan(feature_frame(spark, sf), {"train": 0.6, "validation": 0.2, "test": 0.2}, seed=42)
 
 
 STREAM_SQL = f"""WITH {_validated_sql('v')}

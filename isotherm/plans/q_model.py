@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from isotherm.functions.labels import climatic_month, latitude_zone, split_label_for_year
 from isotherm.functions.text import compose_label
 from isotherm.operators import modeling as ml
-from isotherm.plans.materialize import stage
+from isotherm.plans.driver_star import build_star
+from isotherm.plans.materialize import app_key, stage
 from isotherm.plans.q_clean import clean_frame, with_clean
 from isotherm.plans.q_features import FEATURE_CTES, TRAIN_END, VALIDATION_END, feature_frame, with_features
 from isotherm.plans.registry import register
@@ -19,12 +20,12 @@ from isotherm.session import scratch_path
 
 TARGET = "city_average_temperature"
 NUMERIC = ["month_sin", "month_cos", "climatic_month_sin", "climatic_month_cos", "years_since_start", "abs_latitude",
-           "hemisphere_north", "abslat_x_month_sin", "abslat_x_month_cos", "loc_month_climatology",
-           "loc_climatology_imputed", "loc_mean_temperature", "loc_temperature_std", "temp_lag_12"]
+           "hemisphere_north", "latitude", "longitude", "abslat_x_month_sin", "abslat_x_month_cos",
+           "loc_month_climatology", "loc_mean_temperature", "loc_temperature_std"]
 CATEGORICAL = ["country_name"]
-# Driver-scale model sizes (the operator defaults follow the reference: 100 trees, depth 18).
-FOREST = {"numTrees": 40, "maxDepth": 10, "minLeaf": 5, "featureSubsetStrategy": "0.75", "subsamplingRate": 0.8}
-GBT = {"maxIter": 40, "maxDepth": 6, "stepSize": 0.08}
+# Model sizes; boosting stops early on the validation rows.
+FOREST = {"numTrees": 100, "maxDepth": 18, "minLeaf": 5, "featureSubsetStrategy": "0.6"}
+GBT = {"maxIter": 500, "maxDepth": 8, "stepSize": 0.08, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 
 
 def _train(spark, sf):
@@ -39,7 +40,7 @@ def _model(spark, sf, kind):
                 "__is_val", F.col("data_split") == "validation")
             return ml.fit(data, NUMERIC, CATEGORICAL, TARGET, "gbt", validationIndicatorCol="__is_val", **GBT)
         return ml.fit(_train(spark, sf), NUMERIC, CATEGORICAL, TARGET, kind, **(FOREST if kind == "forest" else {}))
-    key = ("model", kind, sf, id(spark))
+    key = (app_key(spark), kind, sf)
     if key not in _MODELS:
         _MODELS[key] = build()
     return _MODELS[key]
@@ -137,20 +138,21 @@ def ablation(spark, sf):
     return out.withColumn("rmse_improvement", F.lag("rmse").over(Window.orderBy("step")) - F.col("rmse"))
 
 
-# Rolling origins for the driver tables (train up to the origin, score the next 12 months).
-ORIGINS = ["1998-06-01", "1998-12-01", "1999-06-01"]
+# Rolling origins from the end of the train years on: the climatology of later rows is fitted on train only.
+ORIGINS = ["1998-12-01", "1999-03-01", "1999-06-01", "1999-09-01"]
 
 
 @register("backtest", None, ids="ML-11 FLT-08")
 def backtest(spark, sf):
-    """Rolling-origin backtest: for each origin, fit on rows up to the origin, score the next 12
-    months (linear model and climatology); metrics by origin, method and horizon."""
+    """Rolling-origin backtest: for each origin, fit on rows up to the origin, score the validation
+    rows of the next 12 months (linear model and climatology); metrics by origin, method and horizon."""
     f = feature_frame(spark, sf)
     out = []
     for origin in ORIGINS:
         o = F.lit(origin).cast("date")
         train = f.where(F.col("observation_date") <= o)
-        test = f.where((F.col("observation_date") > o) & (F.col("observation_date") <= F.add_months(o, 12)))
+        test = f.where((F.col("data_split") == "validation") & (F.col("observation_date") > o)
+                       & (F.col("observation_date") <= F.add_months(o, 12)))
         horizon = F.months_between("observation_date", o).cast("long")
         m = ml.fit(train, NUMERIC, CATEGORICAL, TARGET, "linear")
         lin = ml.predict(m, test, NUMERIC).withColumn("method", F.lit("linear_regression"))
@@ -176,7 +178,7 @@ def refit_test(spark, sf):
 @register("model_reload_check", None, ids="SNK-07 DQ-29")
 def model_reload_check(spark, sf):
     m = _model(spark, sf, "linear")
-    path = scratch_path(spark, f"model_linear_{abs(hash(sf)) % 10**8}")
+    path = scratch_path(spark, f"model_linear_{uuid.uuid4().hex}")
     reloaded = ml.save_and_reload(m, path)
     f = feature_frame(spark, sf)
     key = ["city_name", "country_name", "latitude", "longitude", "observation_date"]
@@ -230,13 +232,13 @@ def requests(spark, sf) -> DataFrame:
     derived from the same rows (month 13, year + 101, a past month)."""
     locs = statistics_table(spark, sf).select(*LOC).distinct()
     months = spark.range(1, 13).select(F.col("id").cast("int").alias("month"))
-    ok = locs.crossJoin(months).select(compose_label("city_name", "country_name").alias("city_label"),
-                                       F.lit(2002).alias("year"), "month")
-    bad = locs.select(compose_label("city_name", "country_name").alias("city_label")).select(
-        "city_label", F.explode(F.array(F.struct(F.lit(2002).alias("year"), F.lit(13).alias("month")),
+    label = compose_label("city_name", "country_name").alias("city_label")
+    ok = locs.crossJoin(months).select(label, *LOC, F.lit(2002).alias("year"), "month")
+    bad = locs.select(
+        label, *LOC, F.explode(F.array(F.struct(F.lit(2002).alias("year"), F.lit(13).alias("month")),
                                         F.struct(F.lit(2102).alias("year"), F.lit(1).alias("month")),
                                         F.struct(F.lit(2000).alias("year"), F.lit(5).alias("month")))).alias("r")) \
-        .select("city_label", "r.year", "r.month")
+        .select("city_label", *LOC, "r.year", "r.month")
     return ok.unionByName(bad)
 
 
@@ -252,14 +254,10 @@ def validate_requests(req: DataFrame, as_of: str) -> DataFrame:
 
 
 def batch_features(spark, sf) -> DataFrame:
-    """SCO-01: requests ⋈ statistics on the full location key + month; the 15 features are
-    expressions of the statistics row (no UDF, no per-request lookup)."""
+    """SCO-01: requests ⋈ statistics on the full location key + month; the deployed features
+    (14 numbers, of which none needs history, and the country) are expressions of the statistics row (no UDF, no per-request lookup)."""
     req = validate_requests(requests(spark, sf), AS_OF).where(F.col("rejection_reason").isNull())
-    pattern = r"^(.*) \((.*)\)$"
-    req = req.withColumn("city_name", F.regexp_extract("city_label", pattern, 1)) \
-             .withColumn("country_name", F.regexp_extract("city_label", pattern, 2))
-    st = statistics_table(spark, sf)
-    j = req.join(st, ["city_name", "country_name", "month"])
+    j = req.join(statistics_table(spark, sf), [*LOC, "month"])
     cm = climatic_month("month", "latitude")
     import math
     ang = F.lit(2 * math.pi / 12)
@@ -272,29 +270,26 @@ def batch_features(spark, sf) -> DataFrame:
         (F.col("latitude") >= 0).alias("hemisphere_north"),
         (F.abs("latitude") * F.sin(ang * cm)).alias("abslat_x_month_sin"),
         (F.abs("latitude") * F.cos(ang * cm)).alias("abslat_x_month_cos"),
-        "loc_month_climatology", F.lit(False).alias("loc_climatology_imputed"), "loc_mean_temperature",
-        "loc_temperature_std", F.lit(None).cast("double").alias("temp_lag_12"),
+        "loc_month_climatology", "loc_mean_temperature", "loc_temperature_std",
         horizon.alias("validated_horizon_months"), (horizon > 12).alias("is_long_term_reference"))
 
 
 _ANG = "0.5235987755982988"
 BATCH_SQL = with_features(STATS_CTE + f"""
-, locs AS (SELECT DISTINCT city_name, country_name FROM stats),
-req AS (SELECT city_name || ' (' || country_name || ')' AS city_label, 2002 AS year, m AS month
-        FROM locs, range(1, 13) t(m)),
+, req AS (SELECT DISTINCT city_name, country_name, latitude, longitude,
+          city_name || ' (' || country_name || ')' AS city_label, 2002 AS year, m AS month
+        FROM stats, range(1, 13) t(m)),
 r2 AS (SELECT *, make_date(year, month, 1) AS target_date FROM req WHERE month BETWEEN 1 AND 12
        AND make_date(year, month, 1) >= DATE '{AS_OF}' AND year <= 2001 + 100),
-j AS (SELECT r2.*, s.latitude, s.longitude, s.loc_month_climatology, s.loc_mean_temperature, s.loc_temperature_std,
-        CASE WHEN s.latitude < 0 THEN ((r2.month + 5) % 12) + 1 ELSE r2.month END AS cm, s.city_name, s.country_name
-      FROM r2 JOIN stats s ON s.city_name || ' (' || s.country_name || ')' = r2.city_label AND s.month = r2.month)
+j AS (SELECT *, CASE WHEN latitude < 0 THEN ((month + 5) % 12) + 1 ELSE month END AS cm
+      FROM r2 JOIN stats USING (city_name, country_name, latitude, longitude, month))
 SELECT city_label, city_name, country_name, latitude, longitude, CAST(year AS BIGINT) AS year,
   CAST(month AS BIGINT) AS month, target_date,
   sin({_ANG} * month) AS month_sin, cos({_ANG} * month) AS month_cos, sin({_ANG} * cm) AS climatic_month_sin,
   cos({_ANG} * cm) AS climatic_month_cos, CAST(year - {START_YEAR} AS BIGINT) AS years_since_start,
   abs(latitude) AS abs_latitude, latitude >= 0 AS hemisphere_north,
   abs(latitude) * sin({_ANG} * cm) AS abslat_x_month_sin, abs(latitude) * cos({_ANG} * cm) AS abslat_x_month_cos,
-  loc_month_climatology, FALSE AS loc_climatology_imputed, loc_mean_temperature, loc_temperature_std,
-  CAST(NULL AS DOUBLE) AS temp_lag_12,
+  loc_month_climatology, loc_mean_temperature, loc_temperature_std,
   CAST(datediff('month', DATE '{AS_OF}', target_date) AS BIGINT) AS validated_horizon_months,
   datediff('month', DATE '{AS_OF}', target_date) > 12 AS is_long_term_reference FROM j""")
 
@@ -309,12 +304,12 @@ def batch_features_q(spark, sf):
 
 
 REQUEST_SQL = with_features(STATS_CTE + f"""
-, locs AS (SELECT DISTINCT city_name, country_name FROM stats),
-req AS (SELECT city_name || ' (' || country_name || ')' AS city_label, 2002 AS year, m AS month
+, locs AS (SELECT DISTINCT city_name, country_name, latitude, longitude FROM stats),
+req AS (SELECT locs.*, city_name || ' (' || country_name || ')' AS city_label, 2002 AS year, m AS month
         FROM locs, range(1, 13) t(m)
-        UNION ALL SELECT city_name || ' (' || country_name || ')', y, m FROM locs,
+        UNION ALL SELECT locs.*, city_name || ' (' || country_name || ')', y, m FROM locs,
           (VALUES (2002, 13), (2102, 1), (2000, 5)) v(y, m))
-SELECT city_label, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month,
+SELECT city_label, city_name, country_name, latitude, longitude, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month,
   CASE WHEN month BETWEEN 1 AND 12 THEN make_date(year, month, 1) END AS target_date,
   CASE WHEN NOT (month BETWEEN 1 AND 12) THEN 'invalid month'
        WHEN make_date(year, month, 1) < DATE '{AS_OF}' THEN 'month is in the past'
@@ -378,9 +373,10 @@ def requestable_locations(spark, sf):
 
 @register("city_comparison", None, ids="SCO-05")
 def city_comparison(spark, sf):
-    """Five requested cities (the first five labels), scored for the same month; kept when at
+    """The requested cities (here every listed major city), scored for the same month; kept when at
     least two are valid."""
-    labels = requestable_locations(spark, sf).orderBy("city_label").limit(5)
-    scored = batch_score(spark, sf).where("month = 7").join(labels, "city_label")
+    asked = build_star(spark, sf).dim_city.where("is_major_city").join(build_star(spark, sf).dim_country, "country_id") \
+        .select(compose_label("city_name", "country_name").alias("city_label")).distinct()
+    scored = batch_score(spark, sf).where("month = 7").join(asked, "city_label")
     n_valid = scored.agg(F.count(F.lit(1)).alias("__n"))
     return scored.crossJoin(n_valid).where("__n >= 2").drop("__n")

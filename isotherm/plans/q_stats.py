@@ -121,18 +121,11 @@ t AS (SELECT y.year, y.mean_value, y.n,
 """
 
 
-def _ma_bounds(n: int) -> tuple[int, int]:
-    w = max(1, min(10, n))
-    after = (w - 1) // 2
-    return w - 1 - after, after
-
-
-# the driver tables span seven years (1995-2001): the centred window is rows -3..+3
-_B, _A = _ma_bounds(7)
 TREND_SQL = with_clean(_trend_sql() + f"""
-SELECT year, mean_value, n,
-  avg(mean_value) OVER (ORDER BY year ROWS BETWEEN {_B} PRECEDING AND {_A} FOLLOWING) AS moving_average,
-  linear_trend, mean_value - linear_trend AS residual, CAST(slope AS DOUBLE) AS slope FROM t""")
+, numbered AS (SELECT *, row_number() OVER (ORDER BY year) AS i, least(10, count(*) OVER ()) AS width FROM t)
+SELECT a.year, a.mean_value, a.n, (SELECT avg(b.mean_value) FROM numbered b
+    WHERE b.i - a.i BETWEEN (a.width - 1) // 2 + 1 - a.width AND (a.width - 1) // 2) AS moving_average,
+  a.linear_trend, a.mean_value - a.linear_trend AS residual, CAST(a.slope AS DOUBLE) AS slope FROM numbered a""")
 
 
 @register("yearly_trend", TREND_SQL, round_cols=["mean_value", "moving_average", "linear_trend", "residual", "slope"],
@@ -330,9 +323,8 @@ def uncertainty_by_decade(spark, sf):
         F.avg("city_average_temperature_uncertainty").alias("mean_uncertainty"), F.count(F.lit(1)).alias("rows"))
 
 
-# The driver tables span seven years; the reference's 10-year minimum would leave every
-# slope NULL, so the driver plan asks for five points (the operator default stays 10).
-MIN_POINTS = 5
+# Fixed value: the driver tables span seven years, so slopes are NULL on them.
+MIN_POINTS = 10
 ZONE_TREND_SQL = with_clean(f""", z AS (SELECT *, {_ZONE_SQL} AS latitude_zone FROM clean),
 zy AS (SELECT latitude_zone, year, avg({TARGET}) AS mean_value FROM z GROUP BY ALL)
 SELECT latitude_zone, year, mean_value,

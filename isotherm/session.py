@@ -3,7 +3,7 @@
 Library code never creates its own session; these helpers exist for tests,
 ``bench.py`` and command-line use.  ``checkpoint_dir`` honours the cluster's
 ``spark.checkpoint.dir`` and only falls back to a scratch folder when the
-setting is absent (local tests).
+setting is absent in local mode; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -47,6 +47,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = sc._jsc.sc().getCheckpointDir()
         configured = current.get() if current.isDefined() else None
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
         configured = tempfile.mkdtemp(prefix="isotherm-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:
