@@ -197,8 +197,8 @@ def histogram(df: DataFrame, value: str, n_bins: int | None = None) -> DataFrame
     stats = df.agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.count(value).alias("__n"))
     nb = (F.lit(n_bins) if n_bins else F.greatest(F.lit(20), F.least(F.lit(100), (F.col("__n") / 100).cast("long") + 30)))
     stats = stats.withColumn("__nb", nb.cast("long")).withColumn("__w", (F.col("__hi") - F.col("__lo")) / F.col("__nb"))
-    b = F.coalesce(F.least(F.floor(F.try_divide(F.col(value) - F.col("__lo"), F.col("__w"))), F.col("__nb") - 1),
-                   F.lit(0)).cast("long")  # a constant column: bin 0
+    at = F.coalesce(F.floor(F.try_divide(F.col(value) - F.col("__lo"), F.col("__w"))), F.lit(0))  # a constant column: bin 0
+    b = F.least(at, F.col("__nb") - 1).cast("long")
     counts = (df.where(F.col(value).isNotNull()).crossJoin(F.broadcast(stats))
               .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     grid = stats.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("__nb") - 1)).alias("bin"), "__lo", "__w")
@@ -213,7 +213,7 @@ def density_grid(df: DataFrame, x: str, y: str, gridsize: int = 45) -> DataFrame
     s = df.agg(F.min(x).alias("__x0"), F.max(x).alias("__x1"), F.min(y).alias("__y0"), F.max(y).alias("__y1"))
     def cell(c, lo, hi):  # a constant column: cell 0
         at = F.floor(F.try_divide((F.col(c) - F.col(lo)) * gridsize, F.col(hi) - F.col(lo)))
-        return F.coalesce(F.least(at, F.lit(gridsize - 1)), F.lit(0))
+        return F.least(F.coalesce(at, F.lit(0)), F.lit(gridsize - 1))
     bx, by = cell(x, "__x0", "__x1"), cell(y, "__y0", "__y1")
     d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).crossJoin(F.broadcast(s))
     return d.groupBy(bx.cast("long").alias("x_bin"), by.cast("long").alias("y_bin")).agg(F.count(F.lit(1)).alias("count"))
