@@ -188,7 +188,7 @@ def sample_hash(spark, sf):
     return sm.hash_sample(table(spark, sf, "lineitem"), "l_orderkey", 0.10)
 
 
-@register("sample_simple", None, ids="SAM-01 ML-13")
+@register("sample_simple", None, ids="SAM-01")
 def sample_simple(spark, sf):
     return sm.simple_sample(clean_frame(spark, sf), 0.2, seed=42)
 
