@@ -66,7 +66,7 @@ def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = runs.remove(table(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=2)
+    out = runs.remove(table(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=1)
     return out.select("doc_id", "text", "removed_runs", "deepest_run")
 
 

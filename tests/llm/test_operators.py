@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from isotherm.llm import bytecnn, decontam, interpolation, mixing, passages, permutation, pii, runs, simhash, wavelet
+from isotherm.llm import bytecnn, decontam, interpolation, mixing, passages, permutation, pii, queries, runs, simhash, wavelet
 from isotherm.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -181,6 +181,15 @@ def test_line_runs_against_brute_force(docs, odd, empty):
     assert len(rows(runs.remove(odd))) == 6 and rows(runs.remove(empty)) == []
 
 
+def test_line_query_removes_single_lines(spark, tmp_path):
+    long = " ".join(f"word{k}" for k in range(60))
+    rows_ = [(1, "only line of the text"), (2, "only line of the text"), (3, f"a\n{long}\nb"), (4, f"c\n\n{long}\nd"), (None, "only line of the text")]
+    spark.createDataFrame(rows_, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in rows(queries.op8_line_runs(spark, str(tmp_path)))}
+    assert {i: r["text"] for i, r in got.items()} == {1: rows_[0][1], 2: "", 3: rows_[2][1], 4: "c\n\nd", None: ""}
+    assert got[4]["removed_runs"] == [{"line": 2, "lines": 1}] and got[3]["removed_runs"] == []
+
+
 def test_permutation_index_recall_and_cases(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     got = collections.defaultdict(list)
