@@ -21,7 +21,7 @@ only has a NULL ``component_id``); other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
@@ -55,17 +55,19 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, fp) and the columns ``keep``: the fingerprint as a signed 64-bit integer."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]],
+                                             names=["doc_id", "fp", *keep])
 
     ship(docs.sparkSession)
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    kinds = dict(docs.dtypes)
+    schema = ", ".join([f"doc_id {kinds['doc_id']}", "fp bigint", *[f"`{c}` {kinds[c]}" for c in keep]])
+    return docs.select("doc_id", "text", *keep).mapInArrow(run, schema)
 
 
 def _signed(x: int) -> int:
@@ -118,10 +120,8 @@ def links(points: DataFrame, max_bits: int = 3) -> DataFrame:
             .select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b")))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """One row per document: doc_id, fingerprint (hex), component_id, links (distinct texts' fingerprints
-    within ``max_bits``)."""
-    prints = stage(fingerprints(docs, shingle), "fingerprints")
+def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root, component_id, links) of every distinct fingerprint; ``root`` names its component."""
     points = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "points")
     pairs = stage(links(points, max_bits).distinct(), "links")
     degree = (pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp")))
@@ -130,22 +130,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Dat
     classes = (points.join(roots, "fp", "left").join(degree, "fp", "left")
                .select("fp", "least_id", F.coalesce("root", "fp").alias("root"), F.coalesce("links", F.lit(0)).alias("links")))
     heads = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = stage(classes.join(heads, "root").select("fp", "component_id", "links"), "classes")
-    return (prints.join(classes, "fp")
+    return stage(classes.join(heads, "root").select("fp", "root", "component_id", "links"), "classes")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """One row per document: doc_id, fingerprint (hex), component_id, links (distinct texts' fingerprints
+    within ``max_bits``)."""
+    prints = stage(fingerprints(docs, shingle), "fingerprints")
+    return (prints.join(_classes(prints, max_bits).drop("root"), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "links"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest id, and of rows with that id
-    the one of the smallest row hash.  A component of NULL ids only keeps its rows of the smallest hash."""
-    found = near_duplicates(docs, shingle, max_bits)
-    heads = found.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+    """``docs`` with one row of each component: that of the smallest id (a NULL id after all others), and
+    of rows with that id the one of the smallest row hash."""
     row = fresh(docs, "__row")
-    hashed = docs.withColumn(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    keep = heads.select("doc_id", "fingerprint").distinct()
-    # the few ids or hashes that repeat are told apart by the row's hash, all others join once
-    first = (hashed.groupBy("doc_id").agg(F.min(row).alias(row)))
-    ids = keep.alias("k").join(first.alias("f"), F.col("k.doc_id").eqNullSafe(F.col("f.doc_id"))).select("k.doc_id", row).distinct()
-    d, k = hashed.alias("d"), ids.alias("k")
-    kept = d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{row}") == F.col(f"k.{row}")), "left_semi")
-    return kept.dropDuplicates(["doc_id", row]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the flags tell apart rows that differ only in which column is NULL
+    hashed = docs.withColumn(row, F.xxhash64(*[x for c in docs.columns for x in (F.isnull(f"`{c}`"), F.col(f"`{c}`"))]))
+    prints = stage(fingerprints(hashed, shingle, [row]), "fingerprints")
+    least = F.min(F.struct(F.isnull("doc_id").alias("late"), "doc_id", row))
+    # a minimum per fingerprint first: a text that a third of all rows share is one row of the join
+    firsts = prints.groupBy("fp").agg(least.alias("least"))
+    heads = (firsts.join(_classes(prints, max_bits).select("fp", "root"), "fp")
+             .groupBy("root").agg(F.min("least").alias("least")).select(F.col(f"least.{row}").alias(row)))
+    kept = hashed.join(heads, row, "left_semi")      # the hash covers every column, the id too
+    return kept.dropDuplicates([row]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -87,6 +87,14 @@ def test_simhash_against_all_pairs(docs, odd, empty):
     assert rows(simhash.near_duplicates(empty)) == [] and rows(simhash.keep_one(empty)) == []
 
 
+def test_keep_one_keeps_a_row_of_every_component(spark):
+    texts = [" ".join(f"{w}{k}" for k in range(40)) for w in ("ash", "birch", "cedar", "date", "elm")]
+    given = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4])]
+    kept = rows(simhash.keep_one(spark.createDataFrame(given, "doc_id bigint, text string")))
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted(
+        [("None", texts[0]), ("None", texts[1]), ("5", texts[2]), ("7", texts[3]), ("7", texts[4])])
+
+
 def test_simhash_links_of_close_points(spark):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
