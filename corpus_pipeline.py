@@ -34,7 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return decontam.remove(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.remove(docs, table(spark, sf_dir, "benchmark"), null_ids=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,9 +11,11 @@ The two masks weigh four tokens; together (each alone too) they hit every 20-tok
 up to 4 substitutions and every 15-token one with up to 3, whatever their places.
 
 Cases: NULL and token-less texts have no seeds; items below ``min_tokens`` tokens are not looked
-for; a NULL ``doc_id`` or ``item_id`` row takes no part in ``matches`` and is kept by
-``remove``; rows that repeat give one match; empty tables give an empty result; other columns are
-not read by ``matches`` and kept by ``remove``.
+for; a NULL ``item_id`` row takes no part; rows of NULL ``doc_id`` are searched, each text by itself,
+with ``null_ids`` (the query and the pipeline set it), else they take no part in ``matches`` and are
+kept by ``remove``; a row is named by its id and text, so of an id with several texts only the
+contaminated ones go; rows that repeat give one match; empty tables give an empty result; other
+columns are not read by ``matches`` and kept by ``remove``.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import broadcast_if_small, stage
+from isotherm.llm.common import broadcast_if_small, fresh, stage
 
 #: Positions a mask looks at; the others may differ.
 MASKS = ((0, 1, 3, 4), (0, 1, 2, 5))
@@ -55,22 +57,26 @@ def _seeds(df: DataFrame, keep: Sequence[str], masks: Sequence[Sequence[int]]) -
             .select(*keep, F.posexplode_outer("list").alias("pos", "seed")).where("seed is not null"))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, masks: Sequence[Sequence[int]] = MASKS,
-            window: int = WINDOW, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """(doc_id, item_id, start, aligned, same): the best alignment of every contaminated pair.
+def _row() -> Column:
+    """One number for a document: its id and text."""
+    return F.xxhash64(F.isnull("doc_id"), "doc_id", "text")
 
-    ``start`` is the token of the document under the item's first token (negative when the item
-    begins before the document), ``aligned`` the tokens compared, ``same`` those that agree."""
+
+def _found(docs: DataFrame, benchmark: DataFrame, masks: Sequence[Sequence[int]] = MASKS, window: int = WINDOW,
+           similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS, null_ids: bool = False) -> DataFrame:
+    """The columns of ``matches``, and ``row``, the document's number."""
     items = stage(benchmark.select("item_id", "text").where("item_id is not null")
                   .where(F.size(tokens("text")) >= min_tokens).distinct(), "items")
     targets = stage(_seeds(items, ["item_id"], masks).withColumnRenamed("pos", "item_pos"), "item-seeds")
-    mine = docs.select("doc_id", "text").where("doc_id is not null")
-    hits = _seeds(mine, ["doc_id"], masks).join(broadcast_if_small(targets, MAX_SEEDS), "seed")
-    lines = stage(hits.select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("start")).distinct(), "hits")
-    suspects = lines.select("doc_id").distinct()
-    near = mine.join(broadcast_if_small(suspects, MAX_IDS), "doc_id", "left_semi")
-    texts = near.select("doc_id", tokens("text").alias("words")).distinct()
-    pairs = (lines.join(texts, "doc_id")
+    mine = docs.select(_row().alias("row"), "doc_id", "text")
+    if not null_ids:
+        mine = mine.where("doc_id is not null")
+    hits = _seeds(mine, ["row"], masks).join(broadcast_if_small(targets, MAX_SEEDS), "seed")
+    lines = stage(hits.select("row", "item_id", (F.col("pos") - F.col("item_pos")).alias("start")).distinct(), "hits")
+    suspects = lines.select("row").distinct()
+    near = mine.join(broadcast_if_small(suspects, MAX_IDS), "row", "left_semi")
+    texts = near.select("row", "doc_id", tokens("text").alias("words")).distinct()
+    pairs = (lines.join(texts, "row")
              .join(items.select("item_id", tokens("text").alias("item")), "item_id"))
     agree = F.transform("item", lambda t, i: F.coalesce(
         (F.get("words", (F.col("start") + i).cast("int")) == t).cast("int"), F.lit(0)))
@@ -79,13 +85,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, masks: Sequence[Sequence[int]
                        lambda i: F.aggregate(F.slice("agree", i, span), F.lit(0), lambda a, x: a + x))
     judged = (pairs.withColumn("agree", agree).withColumn("best", F.array_max(sums))
               .where(F.col("best") >= F.ceil(span * F.lit(similarity)))
-              .select("doc_id", "item_id", F.col("start").cast("long").alias("start"), F.size("item").alias("aligned"),
+              .select("row", "doc_id", "item_id", F.col("start").cast("long").alias("start"), F.size("item").alias("aligned"),
                       F.aggregate("agree", F.lit(0), lambda a, x: a + x).alias("same")))
-    best = judged.groupBy("doc_id", "item_id").agg(F.max(F.struct("same", "aligned", (-F.col("start")).alias("back"))).alias("b"))
-    return best.select("doc_id", "item_id", (-F.col("b.back")).alias("start"), F.col("b.aligned").alias("aligned"), F.col("b.same").alias("same"))
+    best = judged.groupBy("row", "doc_id", "item_id").agg(F.max(F.struct("same", "aligned", (-F.col("start")).alias("back"))).alias("b"))
+    return best.select("row", "doc_id", "item_id", (-F.col("b.back")).alias("start"), F.col("b.aligned").alias("aligned"), F.col("b.same").alias("same"))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+    """(doc_id, item_id, start, aligned, same): the best alignment of every contaminated pair.
+
+    ``start`` is the token of the document under the item's first token (negative when the item
+    begins before the document), ``aligned`` the tokens compared, ``same`` those that agree."""
+    return _found(docs, benchmark, **how).drop("row")
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    bad = stage(matches(docs, benchmark, **how).select("doc_id").distinct(), "contaminated")
-    return docs.join(broadcast_if_small(bad, MAX_IDS), "doc_id", "left_anti").select(*docs.columns)
+    name = fresh(docs, "__row")
+    bad = stage(_found(docs, benchmark, **how).select(F.col("row").alias(name)).distinct(), "contaminated")
+    kept = docs.withColumn(name, _row()).join(broadcast_if_small(bad, MAX_IDS), name, "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

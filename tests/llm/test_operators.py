@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from isotherm.llm import bytecnn, decontam, interpolation, mixing, passages, permutation, pii, queries, runs, simhash, wavelet
 from isotherm.llm.components import connected_components
 
@@ -234,6 +235,19 @@ def test_decontamination_tolerates_substitutions(spark, odd, empty):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_decontamination_of_null_and_repeated_ids(spark, tmp_path):
+    item = " ".join(f"tok{k}" for k in range(24))
+    given = [(None, item), (None, "a clean text"), (5, "another clean text"), (5, f"x {item}"), (6, "clean")]
+    d = spark.createDataFrame(given, "doc_id bigint, text string")
+    b = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    b.write.parquet(str(tmp_path / "benchmark.parquet"))
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    kept = rows(corpus_pipeline.decontaminate(spark, d, str(tmp_path)))
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == [("5", given[2][1]), ("6", "clean"), ("None", given[1][1])]
+    found = rows(queries.op6_spaced_seeds(spark, str(tmp_path)))
+    assert sorted((str(r["doc_id"]), r["item_id"], r["start"], r["same"]) for r in found) == [("5", 7, 1, 24), ("None", 7, 0, 24)]
+
+
 def _luhn(s):
     d = [int(c) for c in s if c.isdigit()][::-1]
     return sum(x if k % 2 == 0 else x * 2 - 9 * (x > 4) for k, x in enumerate(d)) % 10 == 0
