@@ -31,6 +31,8 @@ from isotherm.llm.common import WORD, cut, fresh, ship, stage
 
 BUCKETS = 256
 MAX_STEPS = 80
+#: Repeated rows are numbered in blocks of 2^13 neighbouring rows.
+BLOCK_BITS = 13
 
 
 def words(text: str | Column) -> Column:
@@ -172,13 +174,38 @@ def null_safe_cols(a: str, b: str, keys: Sequence[str]) -> Column:
 def mix(docs: DataFrame, share: float = 1.5, weights: Sequence[int] = (3, 1, 2), cap: float = 2.0) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it, all columns kept."""
     # a text that occurs n times has n allotted rows of one key: they are dealt to its rows by their number
-    given = (allot(docs, share, weights, cap).groupBy("doc_id", "key")
-             .agg(F.sum("copies").alias("given"), F.count(F.lit(1)).alias("rows")))
+    given = stage(allot(docs, share, weights, cap).groupBy("doc_id", "key")
+                  .agg(F.sum("copies").alias("given"), F.count(F.lit(1)).alias("rows")), "given")
     name = fresh(docs, "__mix")
-    keyed = docs.withColumn(name, F.xxhash64("doc_id", F.col("source").cast("string"), "text")).alias("d")
-    g = given.alias("g")
-    whole = F.expr("given div rows")
-    joined = keyed.join(g, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col(f"d.{name}") == F.col("g.key")))
-    often = F.when((F.col("rows") > 1) & (F.col("given") % F.col("rows") > 0), whole + 1).otherwise(whole).cast("int")
-    return (joined.where(often > 0).withColumn(f"{name}_copy", F.explode(F.sequence(F.lit(1), often)))
-            .select(*[F.col(f"d.`{c}`") for c in docs.columns]))
+    key, at, often, copy = f"{name}_key", f"{name}_at", f"{name}_often", f"{name}_copy"
+    mine = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = (docs.withColumn(key, F.xxhash64("doc_id", F.col("source").cast("string"), "text"))
+             .withColumn(at, F.monotonically_increasing_id()).alias("d"))
+    rest = F.col("given") % F.col("rows")
+
+    def dealt(part: DataFrame) -> DataFrame:
+        """The rows that ``part`` names, with the whole copies of each and how many of them get one more."""
+        g = part.select(F.col("doc_id").alias(f"{name}_id"), F.col("key").alias(f"{name}_k"),
+                        F.expr("given div rows").alias(often), rest.alias(f"{name}_extra")).alias("g")
+        return keyed.join(g, F.col("d.doc_id").eqNullSafe(F.col(f"g.{name}_id")) & (F.col(f"d.{key}") == F.col(f"g.{name}_k")))
+
+    out = dealt(given.where(rest == 0)).select(*mine, often)
+    uneven = given.where(rest > 0)
+    if uneven.limit(1).count():
+        # numbered within blocks of neighbouring rows, so one row that fills the table is still spread; the
+        # stage fixes the row numbers
+        block = f"{name}_block"
+        open_rows = stage(dealt(uneven).select(*mine, key, at, often, f"{name}_extra", F.shiftright(at, BLOCK_BITS).alias(block)), "repeats")
+        ahead = Window.partitionBy("doc_id", key).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+        sums = (open_rows.groupBy("doc_id", key, block).agg(F.count(F.lit(1)).alias("m"))
+                .withColumn("ahead", F.coalesce(F.sum("m").over(ahead), F.lit(0)))
+                .select(F.col("doc_id").alias(f"{name}_id"), F.col(key).alias(f"{name}_k"), F.col(block).alias(f"{name}_b"),
+                        F.col("ahead").alias(f"{name}_ahead")))
+        number = F.row_number().over(Window.partitionBy("doc_id", key, block).orderBy(at))
+        placed = open_rows.withColumn(f"{name}_number", number).join(
+            sums, F.col("doc_id").eqNullSafe(F.col(f"{name}_id")) & (F.col(key) == F.col(f"{name}_k"))
+            & (F.col(block) == F.col(f"{name}_b")))
+        more = F.col(f"{name}_number") + F.col(f"{name}_ahead") <= F.col(f"{name}_extra")
+        out = out.unionByName(placed.select(*mine, (F.col(often) + more.cast("int")).alias(often)))
+    return (out.where(F.col(often) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(often).cast("int"))))
+            .select(*mine))

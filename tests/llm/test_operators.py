@@ -57,6 +57,27 @@ def test_mixing_reaches_targets_and_handles_odd_rows(docs, odd, empty):
     assert rows(mixing.allot(empty)) == [] and rows(mixing.mix(empty)) == []
 
 
+@pytest.mark.parametrize("bits", [13, 1])
+def test_mix_deals_the_allotted_copies_of_repeated_rows(spark, monkeypatch, bits):
+    monkeypatch.setattr(mixing, "BLOCK_BITS", bits)
+    given = [(None, "w " * 10, "a", k) for k in range(13)] + [(1, "w " * 10, "a", 0)] * 11 + [(2, "v " * 7, "a", 0), (3, "u " * 40, "b", 0), (4, "x " * 9, "b", 0)]
+    d = spark.createDataFrame(given, "doc_id bigint, text string, source string, rows bigint").repartition(3)
+    allotted = rows(mixing.allot(d))
+    want = collections.Counter()
+    for r in allotted:
+        want[r["doc_id"]] += r["copies"]
+    assert any(want[i] % n for i, n in ((None, 13), (1, 11)))
+    got = rows(mixing.mix(d))
+    assert collections.Counter(r["doc_id"] for r in got) == +want
+    words = collections.Counter()
+    for r in got:
+        words[r["source"]] += len(r["text"].split())
+    taken = collections.Counter()
+    for r in allotted:
+        taken[r["source"]] += r["taken"]
+    assert words == taken
+
+
 def _simhash(text):
     w = (text or "").encode().lower().split()
     s = [b" ".join(w[k:k + 3]) for k in range(max(1, len(w) - 2))] if w else []
