@@ -27,19 +27,32 @@ DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKL
 #: 400 Gregorian years are 146097 = 189 * 773 days; the cycle that holds today's dates.
 CYCLE_START, CYCLE, SMALL = "1800-01-01", 146097, 189
 
+#: The name before a secret's value, with blanks and quotes around the sign.
+NAMED = r"""(?i:password|passwd|secret|api_key|token)["']?[ \t]{0,8}[=:][ \t]{0,8}["']?"""
 #: Candidate formats, fixed values; a candidate has no word character right before or after it.
 PATTERNS = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
-    ("secret", r"AKIA[0-9A-Z]{16}|(?i:password|passwd|secret|api_key|token)=[A-Za-z0-9]{6,}"),
-    ("phone", r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}"),
+    ("secret", r"AKIA[0-9A-Z]{16}|" + NAMED + r"[A-Za-z0-9]{6,}"),
+    # North American and unbroken numbers end with their format, so that a number after them stays apart
+    ("phone", r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}|\+\d{10,15}|\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}"),
     ("ssn", r"\d{3}-\d{2}-\d{4}"),
     ("date", r"\d{4}-\d{2}-\d{2}|\d{1,2}([./])\d{1,2}\1\d{4}"),
     ("ipv4", r"\d{1,3}(?:\.\d{1,3}){3}"),
-    ("card", r"\d(?:[ -]?\d){12,18}"),
+    # a whole run of digit groups; the cards are sought in it
+    ("card", r"\d[\d -]{11,}\d(?!/\d{1,2}/\d{4}|[\w.%+-]*@)"),
 )
-#: A Java alternation; group numbers are not used, so the inner group is named away.
-CANDIDATE = r"(?<![\w.+-])(?:" + "|".join(
-    p.replace(r"([./])", r"(?<sep>[./])").replace(r"\1", r"\k<sep>") for _, p in PATTERNS) + r")(?![\w-]|\.\d)"
+
+
+def _candidate(patterns) -> str:
+    """A Java alternation; group numbers are not used, so the inner group is named away."""
+    return r"(?<![\w.+-])(?:" + "|".join(
+        p.replace(r"([./])", r"(?<sep>[./])").replace(r"\1", r"\k<sep>") for _, p in patterns) + r")(?![\w-]|\.\d)"
+
+
+CANDIDATE, SHORT = _candidate(PATTERNS), _candidate(PATTERNS[:-1])
+#: Lengths of a card's digit groups that are tried before any others.
+USUAL = r"^(\d+|4-4-4-4|4-6-5|4-6-4)$"
+PIECES = "array<struct<v:string,kind:string>>"
 
 
 def _let(value: Column, body) -> Column:
@@ -205,9 +218,64 @@ def kind_of(value: Column) -> Column:
     return out
 
 
+def _piece(value: Column, kind: Column) -> Column:
+    return F.struct(value.alias("v"), kind.cast("string").alias("kind"))
+
+
+def _short(text: Column) -> Column:
+    """A text's pieces by the patterns other than a card's."""
+    zipped = F.arrays_zip(F.split(text, SHORT, -1).alias("gap"), F.regexp_extract_all(text, F.lit(SHORT), 0).alias("hit"))
+    return F.flatten(F.transform(zipped, lambda z: F.when(z["hit"].isNull(), F.array(_piece(z["gap"], F.lit(None)))).otherwise(
+        F.array(_piece(z["gap"], F.lit(None)), _piece(z["hit"], kind_of(z["hit"]))))))
+
+
+def _cards(value: Column) -> Column:
+    """The pieces of a run of digit groups: every span of whole groups, one sign between each, of 13 to 19
+    digits with a valid Luhn sum is a card; usual groupings first, then the earliest, then the longest.
+    What is between cards is searched for the other formats."""
+    def spans(x: Column) -> Column:
+        def of(i: Column, k: Column) -> Column:
+            text = F.array_join(F.slice(x["groups"], i + 1, k), "")
+            lengths = F.array_join(F.transform(F.slice(x["groups"], i + 1, k), lambda g: F.length(g).cast("string")), "-")
+            near = F.forall(F.slice(x["signs"], i + 2, k - 1), lambda g: F.length(g) == 1)
+            good = _let(text, lambda t: F.when(F.length(t).between(13, 19) & ~t.startswith("0") & near, luhn_sum(_digits(t)) % 10 == 0))
+            return F.when(good, F.struct(F.when(lengths.rlike(USUAL), 0).otherwise(1).alias("tier"), i.alias("i"), (-k).alias("back")))
+
+        n = F.size(x["groups"])
+        return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(19), n - i)), lambda k: of(i, k)))))
+
+    def apart(found: Column) -> Column:
+        none = F.array().cast("array<struct<i:int,k:int>>")
+        return F.array_sort(F.aggregate(F.sort_array(found), none, lambda kept, s: F.when(
+            F.exists(kept, lambda o: (o["i"] < s["i"] - s["back"]) & (s["i"] < o["i"] + o["k"])), kept).otherwise(
+            F.concat(kept, F.array(F.struct(s["i"].alias("i"), (-s["back"]).alias("k")))))))
+
+    def pieces(x: Column) -> Column:
+        # signs and groups in turn: group i is at place 2 i + 1
+        parts = F.flatten(F.transform(x["signs"], lambda g, i: F.array(g, F.coalesce(F.get(x["groups"], i), F.lit("")))))
+
+        def between(p: Column, start: Column, stop: Column) -> Column:
+            return F.array_join(F.slice(p, start + 1, stop - start), "")
+
+        def write(p: Column) -> Column:
+            return F.aggregate(
+                apart(spans(x)), F.struct(F.lit(0).alias("at"), F.array().cast(PIECES).alias("out")),
+                lambda s, c: F.struct(
+                    ((c["i"] + c["k"]) * 2).alias("at"),
+                    F.concat(s["out"], _short(between(p, s["at"], c["i"] * 2 + 1)),
+                             F.array(_piece(between(p, c["i"] * 2 + 1, (c["i"] + c["k"]) * 2), F.lit("card")))).alias("out")),
+                lambda s: F.concat(s["out"], _short(between(p, s["at"], F.size(p)))))
+
+        return _let(parts, write)
+
+    return _let(F.struct(F.regexp_extract_all(value, F.lit(r"\d+"), 0).alias("groups"),
+                         F.split(value, r"\d+", -1).alias("signs")), pieces)
+
+
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
     local, domain = F.regexp_extract(value, r"^([^@]*)(@.*)$", 1), F.regexp_extract(value, r"^([^@]*)(@.*)$", 2)
-    head = F.regexp_extract(value, r"^(AKIA|[^=]*=)", 1)
+    head = F.regexp_extract(value, "^(AKIA|" + NAMED + ")", 1)
     tail = F.substr(value, F.length(head) + 1)
     return (F.when(kind == "email", F.concat(permute_text(local, F.concat(F.lit("email"), domain), key), domain))
             .when(kind == "secret", F.concat(head, permute_text(tail, F.lit("secret"), key)))
@@ -221,24 +289,27 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     (kind, start, original_length, pseudonym), ``start`` counted in characters from 0 of the original text."""
     text = F.col(f"`{text_col}`")
     # every candidate holds one of these; most texts are passed over by this one cheap scan
-    has = text.rlike("[0-9@=]|AKIA")
+    has = text.rlike("[0-9@=]|AKIA|" + NAMED)
     found = F.when(has, F.regexp_extract_all(text, F.lit(CANDIDATE), 0)).otherwise(F.array().cast("array<string>"))
     between = F.when(has, F.split(text, CANDIDATE, -1)).otherwise(F.array(F.lit("")))
     prefix = fresh(docs, "__pii")
     names = {n: f"{prefix}_{n}" for n in ("found", "between", "kinds", "new", "done")}
-    with_kind = F.transform(names["found"], lambda v: F.struct(v.alias("v"), kind_of(v).alias("kind")))
+    whole = F.transform(names["found"], lambda v: F.when(v.rlike(r"^\d[\d -]{11,}\d$"), _cards(v)).otherwise(F.array(_piece(v, kind_of(v)))))
+    with_kind = F.flatten(F.transform(
+        F.arrays_zip(F.col(names["between"]).alias("gap"), whole.alias("x")),
+        lambda z: F.concat(F.array(_piece(z["gap"], F.lit(None))), F.coalesce(z["x"], F.array().cast(PIECES)))))
     replaced = F.transform(names["kinds"], lambda x: F.struct(
         x["v"].alias("v"), x["kind"].alias("kind"), pseudonym(x["v"], x["kind"], key).alias("new")))
     starts = F.aggregate(
-        F.arrays_zip(F.col(names["between"]).alias("gap"), F.col(names["new"]).alias("x")),
+        F.col(names["new"]),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:int,original_length:int,pseudonym:string>>").alias("out"),
                  F.lit("").alias("text")),
-        lambda s, z: F.struct(
-            (s["at"] + F.length(z["gap"]) + F.coalesce(F.length(z["x"]["v"]), F.lit(0))).alias("at"),
-            F.when(z["x"]["kind"].isNotNull(), F.concat(s["out"], F.array(F.struct(
-                z["x"]["kind"].alias("kind"), (s["at"] + F.length(z["gap"])).alias("start"),
-                F.length(z["x"]["v"]).alias("original_length"), z["x"]["new"].alias("pseudonym"))))).otherwise(s["out"]).alias("out"),
-            F.concat(s["text"], z["gap"], F.coalesce(z["x"]["new"], F.lit(""))).alias("text")))
+        lambda s, x: F.struct(
+            (s["at"] + F.length(x["v"])).alias("at"),
+            F.when(x["kind"].isNotNull(), F.concat(s["out"], F.array(F.struct(
+                x["kind"].alias("kind"), s["at"].alias("start"),
+                F.length(x["v"]).alias("original_length"), x["new"].alias("pseudonym"))))).otherwise(s["out"]).alias("out"),
+            F.concat(s["text"], x["new"]).alias("text")))
     none = F.array().cast("array<struct<kind:string,start:int,original_length:int,pseudonym:string>>")
     plain = docs.select("*", found.alias(names["found"]), between.alias(names["between"]))
     steps = plain.withColumn(names["kinds"], with_kind).withColumn(names["new"], replaced)

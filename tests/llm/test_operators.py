@@ -291,6 +291,29 @@ def test_pseudonyms_keep_format_and_links(spark, odd, empty):
     assert len(rows(pii.pseudonymise(odd, "k"))) == 6 and rows(pii.pseudonymise(empty, "k")) == []
 
 
+def test_pseudonyms_beside_other_numbers(spark):
+    card, phone = "4111 1111 1111 1111", "+1 212-555-0100"
+    cards = [f"{card} 12/25", f"{card} 123", f"order 42 {card}", f"{card} 04/03/1987", f"7 8 9 {card} 1 2", card]
+    phones = [f"{phone} 22", phone, "+12125550100 1234", "+12125550100"]
+    secrets = ['token = "0a1b2c3d4e5f"', "password: hunterhunter", '{"api_key": "0a1b2c3d4e5f"}', "token=0a1b2c3d4e5f"]
+    texts = [*cards, *phones, *secrets, "12 2021-03-04 and 1 2 3 4 5 6 7 8"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = sorted(rows(pii.pseudonymise(d, "k")), key=lambda r: r["doc_id"])
+    for r, old in zip(got, texts):
+        new, at = "", 0
+        for x in r["pii"]:
+            new, at = new + old[at:x["start"]] + x["pseudonym"], x["start"] + x["original_length"]
+        assert new + old[at:] == r["text"]
+    named = [[x["pseudonym"] for x in r["pii"] if x["kind"] == k] for r, k in zip(got, ["card"] * 6 + ["phone"] * 4)]
+    assert len({tuple(n) for n in named[:6]}) == 1 and len(named[0]) == 1 and named[0][0] != card and _luhn(named[0][0])
+    assert named[6] == named[7] and named[8] == named[9] and all(len(n) == 1 for n in named)
+    assert [x["kind"] for x in got[3]["pii"]] == ["card", "date"] and got[0]["text"].endswith(" 12/25")
+    value = got[13]["text"][len("token="):]
+    assert value != "0a1b2c3d4e5f" and got[10]["text"] == f'token = "{value}"' and got[12]["text"] == '{"api_key": "%s"}' % value
+    assert got[11]["text"].startswith("password: ") and "hunterhunter" not in got[11]["text"]
+    assert [x["kind"] for x in got[14]["pii"]] == ["date"]
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(189 * 773).select(F.array((F.col("id") % 189), F.floor(F.col("id") / 189)).alias("s"))
     radices = F.array(F.lit(189), F.lit(773)).cast("array<bigint>")
