@@ -1,8 +1,9 @@
 """Substring dedup by hashing text units, with original offsets.
 
-A text is cut into pieces at line ends, after sentence marks, and before capitalised words; a
+A text is cut into pieces at line ends, after sentence marks, before capitalised words, and between
+two words whose pair has a hash of 0 modulo 8, which moves with a passage in text without marks; a
 unit is the shortest run of whole pieces from one piece on that has ``min_words`` words (the rest
-of the text, if that is less, is no unit).  Units overlap, so a passage is found wherever it
+of the text, if that is less, is no unit).  A character of a script without blanks is half a word.  Units overlap, so a passage is found wherever it
 stands, in the middle of a line too.  Units are normalised (lower case, single blanks) and their
 128-bit digests grouped globally; of equal units the earliest by (doc_id, position) stays, the
 pieces of all others are removed, except pieces that an earliest occurrence needs.
@@ -31,27 +32,66 @@ from pyspark.sql import types as T
 from isotherm.llm.common import fresh, ship, stage
 
 MIN_WORDS = 8
-#: A piece: words joined by blanks that neither follow a sentence mark nor precede a capital.
-PIECE = re.compile(r"\S+(?:(?<![.!?。！？])[^\S\n]+(?![A-ZÀ-ÖØ-ÞΑ-ΩА-Я])\S+)*")
-
-
-def units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """(first piece, last piece, digest) of every unit."""
-    spans = [m.span() for m in PIECE.finditer(text)]
-    norm = [" ".join(text[a:b].lower().split()) for a, b in spans]
-    count = [n.count(" ") + 1 for n in norm]
+#: Words joined by blanks that neither follow a sentence mark nor precede a capital.
+RUN = re.compile(r"\S+(?:(?<![.!?。！？])[^\S\n]+(?![A-ZÀ-ÖØ-ÞΑ-ΩА-Я])\S+)*")
+#: Thai, Lao, Burmese, Khmer, kana and Chinese characters: scripts that set no blanks between words.
+BLANKLESS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+WORDS = re.compile(rf"[{BLANKLESS}]|[^\s{BLANKLESS}]+")
+SINGLE = re.compile(f"[{BLANKLESS}]")
+#: One word pair in so many ends a piece.
+EVERY = 8
+
+
+class _Pieces:
+    """Finds the pieces of a text as a pattern would."""
+
+    @staticmethod
+    def finditer(text: str) -> Iterator[re.Match]:
+        for run in RUN.finditer(text):
+            start, stop = run.span()
+            before = b""
+            for word in WORDS.finditer(text, start, stop):
+                here = word.group().lower().encode("utf-8", "replace")
+                if before and xxhash.xxh3_64_intdigest(before + b" " + here) % EVERY == 0:
+                    at = word.start()
+                    yield RUN_PART.match(text, start, at)
+                    start = at
+                before = here
+            yield RUN_PART.match(text, start, stop)
+
+
+#: A piece's text without blanks at its end.
+RUN_PART = re.compile(r"\S(?:.*\S)?", re.DOTALL)
+PIECE = _Pieces()
+
+
+def _norms(text: str, spans: list[tuple[int, int]]) -> list[str]:
+    return [" ".join(text[a:b].lower().split()) for a, b in spans]
+
+
+def _extents(norm: list[str], min_words: int) -> Iterator[tuple[int, int]]:
+    """(first piece, last piece) of every unit."""
+    # in half words
+    count = [2 * (n.count(" ") + 1) if n.isascii() else sum(1 if SINGLE.match(w) else 2 for w in WORDS.findall(n)) for n in norm]
+    min_words *= 2
     last, words = -1, 0
-    for first in range(len(spans)):
-        while words < min_words and last + 1 < len(spans):
+    for first in range(len(norm)):
+        while words < min_words and last + 1 < len(norm):
             last += 1
             words += count[last]
         if words < min_words:
             return
-        digest = xxhash.xxh3_128_digest(" ".join(norm[first: last + 1]).encode("utf-8", "replace"))
-        yield first, last, digest
+        yield first, last
         words -= count[first]
 
 
+def units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, bytes]]:
+    """(first piece, last piece, digest) of every unit."""
+    norm = _norms(text, [m.span() for m in PIECE.finditer(text)])
+    for first, last in _extents(norm, min_words):
+        yield first, last, xxhash.xxh3_128_digest(" ".join(norm[first: last + 1]).encode("utf-8", "replace"))
+
+
 def unit_table(docs: DataFrame, min_words: int) -> DataFrame:
     """(doc_id, row, first, d1, d2): the units of all documents, by their first piece."""
     ship(docs.sparkSession)
@@ -101,7 +141,7 @@ def _cut(text: str, found: list[dict], min_words: int) -> tuple[str, list[dict],
     pieces = [m.span() for m in PIECE.finditer(text)]
     gone = np.zeros(len(pieces) + 1, np.int32)
     need = np.zeros(len(pieces) + 1, np.int32)
-    last = {first: end for first, end, _ in units(text, min_words)}
+    last = {first: end for first, end in _extents(_norms(text, pieces), min_words)}
     for u in found:
         mark = need if u["kept"] else gone
         mark[u["first"]] += 1

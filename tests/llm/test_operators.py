@@ -195,6 +195,18 @@ def test_passage_in_the_middle_of_a_line(spark):
     assert "Nobody knew" not in got[2]["text"] and got[2]["text"].startswith("quite other words")
 
 
+def test_passage_without_marks_or_blanks(spark):
+    passage = " ".join(f"plain{k * 7 % 101}" for k in range(60))
+    chars = "".join(chr(0x4e00 + k * 37 % 5000) for k in range(120))
+    given = [(1, f"some lower case start {passage} one end"), (2, f"and here another start {passage} other end of it"),
+             (3, f"前言不同{chars}结尾"), (4, f"别的开头在此{chars}又一尾")]
+    got = {r["doc_id"]: r for r in rows(passages.remove(spark.createDataFrame(given, "doc_id bigint, text string")))}
+    assert got[1]["text"] == given[0][1] and got[3]["text"] == given[2][1]
+    assert got[2]["removed_words"] >= 25 and len(got[2]["text"].split()) <= 8 + 60 - 25
+    assert got[2]["text"].startswith("and here another start") and got[2]["text"].endswith("other end of it")
+    assert len(got[4]["text"]) <= 8 + 60 and got[4]["text"].startswith("别的开头在此")
+
+
 def test_line_runs_against_brute_force(docs, odd, empty):
     got = {r["doc_id"]: r for r in rows(runs.remove(docs))}
     seqs = {r.doc_id: [(k, x.strip(" ")) for k, x in enumerate(r.text.split("\n")) if x.strip(" ")] for r in docs.collect()}
