@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import bytecnn, decontam, interpolation, mixing, passages, permutation, pii, runs, simhash, wavelet
-from isotherm.llm.common import remainder, table
+from isotherm.llm import bytecnn, decontam, hilbertpq, interpolation, mixing, passages, permutation, pii, pulearn, runs, simhash, wavelet
+from isotherm.llm.common import remainder, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,6 +82,22 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pulearn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", 0.3, 4, 2)
+    held = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query
+def op12_hilbert_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = hilbertpq.compress(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label",
+                                      parts=4, entries=256, rounds=4, scale=1024)
+    out = hilbertpq.with_group_total(stage(codes, "pq-codes"), "label", "error", "label_error")
+    return out.select("vec_id", "code", "error", "label_error",
+                      F.lit(hilbertpq.codebooks_digest(books)).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
