@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import bytecnn, decontam, hilbertpq, interpolation, mixing, passages, permutation, pii, pulearn, runs, simhash, wavelet
+from isotherm.llm import bytecnn, decontam, hilbertpq, interpolation, mixing, passages, permutation, pii, prefixtrie, pulearn, runs, simhash, wavelet
 from isotherm.llm.common import remainder, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,6 +98,11 @@ def op12_hilbert_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(hilbertpq.codebooks_digest(books)).alias("codebooks_sha256"))
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"), family=20, shared=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
