@@ -183,12 +183,15 @@ def score_texts(m: Model, texts: list[str | None]) -> np.ndarray:
     return _sigmoid(m.bias + np.bincount(pairs >> 32, weights=m.weight[pairs & 0xFFFFFFFF], minlength=len(texts)))
 
 
-def _texts(rows: DataFrame, n: int, max_bytes: int) -> list[str | None]:
-    """Texts of the ``n`` rows of smallest hash, in hash order, as many as ``max_bytes`` holds.
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64(F.col("doc_id"), F.col("text"), F.lit("pu")).alias("h"), "text")
 
-    Two passes: hashes and lengths of at most ``n`` rows first, then the chosen texts."""
-    hashed = rows.select(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit("pu")).alias("h"), "text")
-    sized = hashed.select("h", F.octet_length(F.coalesce("text", F.lit(""))).alias("n")).orderBy("h", "n").limit(n).collect()
+
+def _texts(rows: DataFrame, docs: DataFrame, n: int, max_bytes: int) -> list[str | None]:
+    """Texts of the ``n`` of ``rows`` (h, n) of smallest hash, in hash order, as many as ``max_bytes``
+    holds.  Only hashes and lengths are sorted and joined; the chosen texts are then picked out of
+    ``docs`` by a broadcast of at most ``n`` hashes."""
+    sized = rows.orderBy("h", "n").limit(n).collect()
     chosen, total = {}, 0
     for r in sized:                                  # at most n (hash, length) pairs
         if total + r.n <= max_bytes:
@@ -196,8 +199,8 @@ def _texts(rows: DataFrame, n: int, max_bytes: int) -> list[str | None]:
             chosen[r.h] = chosen.get(r.h, 0) + 1
     if not chosen:
         return []
-    wanted = rows.sparkSession.createDataFrame([(h,) for h in chosen], "h long")
-    got = hashed.join(F.broadcast(wanted), "h").groupBy("h").agg(F.max("text").alias("text")).collect()
+    wanted = docs.sparkSession.createDataFrame([(h,) for h in chosen], "h long")
+    got = _keyed(docs).join(F.broadcast(wanted), "h").groupBy("h").agg(F.max("text").alias("text")).collect()
     return [r.text for r in sorted(got, key=lambda r: r.h) for _ in range(chosen[r.h])]
 
 
@@ -211,9 +214,10 @@ def training_texts(docs: DataFrame, labels: DataFrame, target: str, folds: int,
     if prior is None:
         r = marked.agg(F.count_if("toxic").alias("p"), F.count(F.lit(1)).alias("n")).first()
         prior = r.p / r.n if 0 < r.p < r.n else DEFAULT_PRIOR
-    positive = mine.join(marked.where("toxic"), "doc_id", "left_semi")
-    return (_texts(positive, TRAIN_POSITIVE, TRAIN_BYTES // 3),
-            _texts(mine, TRAIN_UNLABELLED, TRAIN_BYTES - TRAIN_BYTES // 3), prior)
+    rows = _keyed(mine).select("doc_id", "h", F.octet_length(F.coalesce("text", F.lit(""))).alias("n"))
+    positive = rows.join(marked.where("toxic").select("doc_id"), "doc_id", "left_semi")
+    return (_texts(positive, mine, TRAIN_POSITIVE, TRAIN_BYTES // 3),
+            _texts(rows, mine, TRAIN_UNLABELLED, TRAIN_BYTES - TRAIN_BYTES // 3), prior)
 
 
 def score(docs: DataFrame, model: Model, score_col: str = "score") -> DataFrame:
