@@ -147,3 +147,36 @@ def location_stats(df: DataFrame, target: str, train_end: int, location: Sequenc
     return j.select(*loc, "observation_date", "month_index", "__n",
                     F.when(is_train, F.col("__m")).otherwise(F.coalesce("__mf", "__mz", "__mg")).alias("loc_mean_temperature"),
                     F.when(is_train, F.col("__s")).otherwise(F.coalesce("__sf", "__sz", "__sg")).alias("loc_temperature_std"))
+
+
+def leave_one_out_levels(df: DataFrame, target: str, train_end: int, location: Sequence[str] = LOCATION) -> DataFrame:
+    """FEA-10, WIN-05, WIN-06: statistics of the train rows that leave a train row's own target out.
+
+    The climatology falls from (location, month) to (zone, month) to month where a level has no other
+    row; later rows take the fixed train statistics.  Mean and sample deviation are per location.  All
+    levels are grouped sums joined back (zones and months are broadcast: 48 and 12 rows)."""
+    loc = list(location)
+    d = df.select(*loc, "observation_date", "year", "month", target, latitude_zone(F.abs("latitude")).alias("__zone"))
+    t, fitted = F.col(target), F.col("year") <= train_end
+    train = d.where(fitted)
+
+    def sums(name, *keys):
+        return train.groupBy(*keys).agg(F.count(t).alias(f"__n_{name}"), F.sum(t).alias(f"__s_{name}"), F.sum(t * t).alias(f"__q_{name}"))
+    zone = sums("z", "__zone", "month").withColumnsRenamed({"__zone": "__kz", "month": "__kzm"})
+    j = (d.join(sums("lm", *loc, "month"), [*loc, "month"], "left").join(sums("l", *loc), loc, "left")
+         .join(F.broadcast(zone), F.col("__zone").eqNullSafe(F.col("__kz")) & (F.col("month") == F.col("__kzm")), "left")
+         .join(F.broadcast(sums("m", "month")), "month", "left"))
+    own = F.when(fitted & t.isNotNull(), 1).otherwise(0)
+    left = lambda name: (F.coalesce(F.col(f"__n_{name}"), F.lit(0)) - own,                    # noqa: E731
+                         F.col(f"__s_{name}") - F.when(own == 1, t).otherwise(0.0),
+                         F.col(f"__q_{name}") - F.when(own == 1, t * t).otherwise(0.0))
+
+    def mean(name):
+        n, s, _ = left(name)
+        return F.when(n > 0, s / n)
+    n, s, q = left("l")
+    spread = F.when(n > 1, F.sqrt(F.greatest((q - s * s / n) / (n - 1), F.lit(0.0))))
+    return j.select(*loc, "observation_date", "month", F.coalesce(mean("lm"), mean("z"), mean("m")).alias("loo_climatology"),
+                    F.when(mean("lm").isNotNull(), F.lit("location")).when(mean("z").isNotNull(), F.lit("zone"))
+                    .when(mean("m").isNotNull(), F.lit("month")).alias("loo_level"),
+                    mean("l").alias("loo_mean"), spread.alias("loo_std"))

@@ -69,26 +69,6 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "frame") -> No
         raise ValueError(f"{what}: {row['duplicate_rows']} duplicate rows on key {list(keys)}")
 
 
-def fallback_chain(base: DataFrame, levels: Sequence[tuple[DataFrame, Sequence[str], str]],
-                   out_col: str, flag_col: str | None = None) -> DataFrame:
-    """Left-join each level ``(frame, keys, value_col)`` and take the first finite value (JON-16).
-
-    ``flag_col`` is true when the first level did not provide the value.
-    """
-    cur = base
-    names = []
-    for i, (frame, keys, value_col) in enumerate(levels):
-        name = f"__lvl{i}"
-        names.append(name)
-        v = F.col(value_col)
-        finite = F.when(~F.isnan(v) & ~v.isin(float("inf"), float("-inf")), v)
-        cur = cur.join(frame.select(*keys, finite.alias(name)), list(keys), "left")
-    cur = cur.withColumn(out_col, F.coalesce(*[F.col(n) for n in names]))
-    if flag_col:
-        cur = cur.withColumn(flag_col, F.col(names[0]).isNull())
-    return cur.drop(*names)
-
-
 def key_set_diff(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """inserted = new keys not in old; replaced = new keys already in old; one row (SET-05/JON-20)."""
     old = existing.select(*keys).distinct().withColumn("__old", F.lit(True))

@@ -1,12 +1,15 @@
-"""Exact quantiles without funnelling a group through one task (AGG-10, AGG-20, AGG-21, AGG-44, FSEL-03).
+"""Exact quantiles and ranks on value counts (AGG-10, AGG-20, AGG-21, AGG-44, WIN-20, FSEL-03).
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a global quartile over a very large table (or one hot
-group holding a third of the rows) ends up in a single task.  Here the values are
-range-partitioned by ``(group, value)`` — a hot group is split across many tasks —
-each row gets its 0-based position inside its group from per-partition counts and
-offsets (a frame with one row per (partition, group)), and only the positions
-needed for linear interpolation are selected:
+group holding a third of the rows) ends up in a single task.  Here equal values
+are first counted, ``(group, value) -> count``, in partial aggregates, so a value
+that fills a third of the table is one row.  Those rows are range-partitioned by
+``(group, value)``, which splits a hot group over many tasks, and written once
+with their partition number; running counts inside partitions and the offsets of
+partitions both read that written frame (two range exchanges would sample their
+own boundaries and could disagree).  Every distinct value then knows the first of
+the positions it fills, and linear interpolation looks up the values at two of them:
 
     h = (n - 1) * p;  q = v[floor(h)] + (h - floor(h)) * (v[floor(h) + 1] - v[floor(h)])
 
@@ -18,63 +21,74 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isotherm.session import cut_lineage
 
-def positions(df: DataFrame, group_cols: Sequence[str], value_col: str,
-              num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows with ``__pos`` inside their group, per-group counts ``__n``); NULL values dropped."""
+
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
+
+
+def value_positions(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                    num_partitions: int | None = None, weight: str | None = None) -> DataFrame:
+    """Per group and distinct value: ``__v``, its count ``__c``, the 0-based position ``__pos`` of its
+    first row in the group's order, and the group's rows ``__n``.  NULL and NaN values are left out, a
+    NULL group is a group.  With ``weight`` each input row stands for that many rows."""
     g = list(group_cols)
     n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    data = df.select(*g, F.col(value_col).alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    ranged = (data.repartitionByRange(n_parts, *[F.col(c).asc_nulls_first() for c in g], F.col("__v").asc())
-              .withColumn("__part", F.spark_partition_id()))
-    per_part = ranged.groupBy(*g, "__part").agg(F.count(F.lit(1)).alias("__c"))
-    w_prev = Window.partitionBy(*g).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(*g, "__part", F.coalesce(F.sum("__c").over(w_prev), F.lit(0)).alias("__off"),
-                              "__c")
-    counts = offsets.groupBy(*g).agg(F.sum("__c").alias("__n"))
-    within = Window.partitionBy("__part", *g).orderBy("__v")
-    key = g + ["__part"]
-    # rename the offsets side (it derives from the same frame) and join null-safely:
-    # a NULL group is still a group
-    off = offsets.select(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(key)], "__off")
-    cond = [F.col(c).eqNullSafe(F.col(f"__o{i}")) for i, c in enumerate(key)]
-    pos = (ranged.join(F.broadcast(off) if not g else off, cond)
-           .select(*key, "__v", "__off")
-           .withColumn("__pos", F.col("__off") + F.row_number().over(within) - 1).drop("__off", "__part"))
-    return pos, counts
+    v = F.col(value_col)
+    counted = (df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*g, v.alias("__v"))
+               .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__c")))
+    order = [F.col(c).asc_nulls_first() for c in g] + [F.col("__v").asc()]
+    placed = cut_lineage(counted.repartitionByRange(n_parts, *order).withColumn("__part", F.spark_partition_id()))
+    per_part = placed.groupBy(*g, "__part").agg(F.sum("__c").alias("__k"))
+    # one row per (group, partition it reaches into)
+    before = Window.partitionBy(*g).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"__g{i}" for i in range(len(g))]
+    offsets = per_part.select(*[F.col(c).alias(a) for c, a in zip(g, names, strict=True)], F.col("__part").alias("__gpart"),
+                              F.coalesce(F.sum("__k").over(before), F.lit(0)).alias("__off"),
+                              F.sum("__k").over(Window.partitionBy(*g)).alias("__n"))
+    inside = Window.partitionBy("__part", *g).orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("__in", F.coalesce(F.sum("__c").over(inside), F.lit(0)))
+    side = offsets if g else F.broadcast(offsets)   # without groups: one row per partition
+    cond = _same(g, names) & (F.col("__part") == F.col("__gpart"))
+    return local.join(side, cond).select(*g, "__v", "__c", (F.col("__off") + F.col("__in")).cast("long").alias("__pos"), "__n")
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
-    """One row per group with one column per probability (``q<p*100>`` unless ``names``)."""
+                    group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
+                    weight: str | None = None) -> DataFrame:
+    """One row per group with one column per probability (``q<p*100>`` unless ``names``).
+
+    A distinct value meets the probabilities whose positions fall into its run of rows, so one
+    grouped aggregate over the value counts gives all quantiles."""
     g = list(group_cols)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    pos, counts = positions(df, g, value_col)
-    wanted = []
-    for p, name in zip(probs, names):
+    pos = value_positions(df, g, value_col, weight=weight)
+    first, last = F.col("__pos"), F.col("__pos") + F.col("__c") - 1
+    cols = []
+    for p, name in zip(probs, names, strict=True):
         h = (F.col("__n") - 1) * F.lit(float(p))
-        wanted.append(counts.select(*g, F.lit(name).alias("__q"), h.alias("__h"),
-                                    F.floor(h).cast("long").alias("__lo"), F.ceil(h).cast("long").alias("__hi")))
-    need = wanted[0]
-    for w in wanted[1:]:
-        need = need.unionByName(w)
-    # needed positions: 2 per (group, probability) -> small; broadcast only for a fixed group count
-    pts = need.select(*g, "__q", "__h", F.explode(F.array("__lo", "__hi")).alias("__pos")).dropDuplicates(
-        g + ["__q", "__pos"])
-    pts = pts.select(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(g)], "__q", "__h",
-                     F.col("__pos").alias("__ppos"))
-    pts_side = F.broadcast(pts) if not g else pts
-    cond = [F.col("__pos") == F.col("__ppos")] + [F.col(c).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(g)]
-    vals = pos.join(pts_side, cond).select(*g, "__q", "__h", F.col("__ppos").alias("__pos"), "__v")
-    lo = vals.groupBy(*g, "__q", "__h").agg(
-        F.min_by("__v", "__pos").alias("__vlo"), F.max_by("__v", "__pos").alias("__vhi"))
-    q = F.col("__vlo") + (F.col("__h") - F.floor("__h")) * (F.col("__vhi") - F.col("__vlo"))
-    long = lo.select(*g, "__q", q.alias("__val"))
-    wide = long.groupBy(*g).pivot("__q", names).agg(F.first("__val"))
-    return wide
+        at = lambda k: F.max(F.when(k.between(first, last), F.col("__v")))  # noqa: E731, B023
+        lo, hi, share = at(F.floor(h)), at(F.ceil(h)), F.max(h - F.floor(h))
+        cols.append((lo + share * (hi - lo)).alias(name))
+    return pos.groupBy(*g).agg(*cols)
+
+
+def average_ranks(df: DataFrame, group_cols: Sequence[str], value_col: str, out: str,
+                  weight: str | None = None, centred: bool = False) -> DataFrame:
+    """(group, value) -> 1-based average rank of the value's rows in the group (WIN-20); ``centred``
+    takes the group's mean rank off."""
+    rank = F.col("__pos") + (F.col("__c") + 1) / F.lit(2.0)
+    if centred:
+        rank = rank - (F.col("__n") + 1) / F.lit(2.0)
+    return value_positions(df, group_cols, value_col, weight=weight).select(
+        *group_cols, F.col("__v").alias(value_col), rank.alias(out))
 
 
 def iqr_fences(df: DataFrame, value_col: str, k: float = 1.5, group_cols: Sequence[str] = ()) -> DataFrame:

@@ -2,8 +2,8 @@
 (AGG-22..32, AGG-39..44, FSEL-01..05, WIN-12, WIN-13, WIN-20).
 
 Everything is an aggregate or a window over an *aggregated* frame (one row per
-year / zone / bin); ranks of raw values use the range-partitioned positions of
-``quantiles.positions`` instead of a global ``rank()`` window.
+year / zone / bin); ranks and bins of raw values come from value counts
+(``quantiles``), correlations from merged moments (``moments``).
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isotherm.operators.profile import to_long
-from isotherm.operators.quantiles import exact_quantiles, positions
+from isotherm.operators.moments import CONSTANT, correlation_rows, pair_moments, redundancy_rows
+from isotherm.operators.quantiles import average_ranks, exact_quantiles
+from isotherm.session import cut_lineage
 
 
 def pearson(x: Column, y: Column) -> Column:
@@ -31,26 +32,11 @@ def pearson(x: Column, y: Column) -> Column:
 
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]],
                       names: tuple[str, str] = ("feature_a", "feature_b")) -> DataFrame:
-    """Pairwise-complete r for many column pairs in one grouped aggregate.
-
-    Each row is turned into one (pair, x, y) record per pair with ``inline``; the
-    grouped aggregate then has a handful of partial sums per pair, instead of one
-    giant aggregate with three moments per pair.  Pairs without two complete rows,
-    or with a constant side, get NULL.
-    """
-    a_name, b_name = names
-    recs = F.array(*[F.struct(F.lit(i).alias("__pair"), F.col(a).cast("double").alias("__x"),
-                              F.col(b).cast("double").alias("__y"))
-                     for i, (a, b) in enumerate(pairs)])
-    long = df.select(F.inline(recs)).where(F.col("__x").isNotNull() & F.col("__y").isNotNull()
-                                           & ~F.isnan("__x") & ~F.isnan("__y"))
-    # an integer pair id keeps the per-record hashing cheap; names are joined back afterwards
-    r = long.groupBy("__pair").agg(
-        F.try_divide(F.covar_samp("__x", "__y"), F.stddev_samp("__x") * F.stddev_samp("__y")).alias("r"))
-    spark = df.sparkSession
-    all_pairs = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
-                                      f"__pair int, {a_name} string, {b_name} string")
-    return all_pairs.join(r, "__pair", "left").select(a_name, b_name, "r")  # pair table: bounded by #pairs
+    """Pairwise-complete r for many column pairs from one pass of mergeable moments; pairs without two
+    complete rows, or with a constant side, get NULL."""
+    cols = list(dict.fromkeys(c for pair in pairs for c in pair))
+    m = pair_moments(df, cols)
+    return df.sparkSession.createDataFrame(correlation_rows(m, pairs), f"{names[0]} string, {names[1]} string, r double")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -69,26 +55,34 @@ def redundant_pairs(matrix: DataFrame, threshold: float = 0.95) -> DataFrame:
     return matrix.where(F.abs("r") > threshold).withColumn("abs_r", F.abs("r"))
 
 
-def average_ranks(long: DataFrame, group: str, value: str, out: str) -> DataFrame:
-    """(group, value) -> average rank (ties share the mean rank, 1-based) inside the group (WIN-20)."""
-    pos, _ = positions(long, [group], value)
-    return pos.groupBy(group, "__v").agg(((F.min("__pos") + F.max("__pos")) / 2.0 + 1).alias(out)) \
-              .withColumnRenamed("__v", value)
+def redundancy_windows(df: DataFrame, cols: Sequence[str], narrow: Column, wide: Column, threshold: float = 0.95) -> DataFrame:
+    """FSEL-05: pairs with |r| above the threshold in the narrow (feature selection) or the wide window,
+    both r and the verdict; both windows come from one pass."""
+    m = pair_moments(df, cols, {"narrow": narrow, "wide": wide})
+    return df.sparkSession.createDataFrame(redundancy_rows(m, "narrow", "wide", threshold),
+                                           "feature_a string, feature_b string, r_narrow double, r_wide double, verdict string")
 
 
-def spearman(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
-    """Pearson of average ranks over pairwise-complete rows, per feature (FSEL-02).
-
-    Ranks are looked up by (feature, value), so no row identity is needed.
-    """
-    long = (df.select(F.col(target).cast("double").alias("__y"), *cols)
+def _long(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
+    """(feature, __x, __y) of the rows where both the feature and the target are there."""
+    return (df.select(F.col(target).cast("double").alias("__y"), *cols)
             .selectExpr("__y", "stack({}, {}) AS (feature, __x)".format(
                 len(cols), ", ".join(f"'{c}', CAST(`{c}` AS double)" for c in cols)))
             .where(F.col("__x").isNotNull() & F.col("__y").isNotNull() & ~F.isnan("__x") & ~F.isnan("__y")))
-    rx = average_ranks(long, "feature", "__x", "__rx")
-    ry = average_ranks(long, "feature", "__y", "__ry")
-    both = long.join(rx, ["feature", "__x"]).join(ry, ["feature", "__y"])
-    return both.groupBy("feature").agg(pearson(F.col("__rx"), F.col("__ry")).alias("spearman"))
+
+
+def spearman(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
+    """Pearson of average ranks over pairwise-complete rows, per feature (FSEL-02).
+
+    Equal (feature, x, y) rows are counted first and ranks looked up by (feature, value), so no row
+    identity is needed and repeated values travel once.  Ranks come centred: their sums are zero."""
+    cells = cut_lineage(_long(df, cols, target).groupBy("feature", "__x", "__y").agg(F.count(F.lit(1)).alias("__n")))
+    rx = average_ranks(cells, ["feature"], "__x", "__rx", weight="__n", centred=True)
+    ry = average_ranks(cells, ["feature"], "__y", "__ry", weight="__n", centred=True)
+    both = cells.join(rx, ["feature", "__x"]).join(ry, ["feature", "__y"])
+    n, x, y = F.col("__n"), F.col("__rx"), F.col("__ry")
+    return both.groupBy("feature").agg(
+        F.try_divide(F.sum(n * x * y), F.sqrt(F.sum(n * x * x)) * F.sqrt(F.sum(n * y * y))).alias("spearman"))
 
 
 def eta_squared(df: DataFrame, cols: Sequence[str], target: str, bins: int = 20) -> DataFrame:
@@ -96,31 +90,31 @@ def eta_squared(df: DataFrame, cols: Sequence[str], target: str, bins: int = 20)
 
     Groups are the feature's values when it has at most ``bins`` distinct values,
     else quantile bins: exact quantile edges at k/bins, duplicate edges dropped,
-    right-closed intervals with the lowest edge included.
+    right-closed intervals with the lowest edge included.  Everything derives from
+    one written frame of (feature, value) -> count and sums of the target.
     """
-    long = (df.select(F.col(target).cast("double").alias("__y"), *cols)
-            .selectExpr("__y", "stack({}, {}) AS (feature, __x)".format(
-                len(cols), ", ".join(f"'{c}', CAST(`{c}` AS double)" for c in cols)))
-            .where(F.col("__x").isNotNull() & F.col("__y").isNotNull()))
+    middle = df.agg(F.avg(F.col(target).cast("double"))).first()[0] or 0.0   # keeps the squares from cancelling
+    y = F.col("__y") - F.lit(middle)
+    values = cut_lineage(_long(df, cols, target).groupBy("feature", "__x").agg(
+        F.count(F.lit(1)).alias("__n"), F.sum(y).alias("__s"), F.sum(y * y).alias("__q")))
     probs = [k / bins for k in range(bins + 1)]
     names = [f"e{k}" for k in range(bins + 1)]
-    edges = exact_quantiles(long, "__x", probs, ["feature"], names=names).select(
+    edges = exact_quantiles(values, "__x", probs, ["feature"], names=names, weight="__n").select(
         "feature", F.array_sort(F.array_distinct(F.array(*names))).alias("__edges"))
-    nd = long.groupBy("feature").agg(F.count_distinct("__x").alias("__nd"), F.avg("__y").alias("__grand"),
-                                     F.count(F.lit(1)).alias("__n"))
-    meta = nd.join(edges, "feature")
-    binned = long.join(F.broadcast(meta), "feature").withColumn(  # one row per feature
-        "__g", F.when(F.col("__nd") <= bins, F.col("__x")).otherwise(
-            F.greatest(F.lit(1), F.size(F.filter("__edges", lambda e: e < F.col("__x")))).cast("double")))
-    grp = binned.groupBy("feature", "__g", "__grand").agg(F.count(F.lit(1)).alias("__ng"), F.avg("__y").alias("__mg"))
-    between = grp.groupBy("feature").agg(
-        F.sum(F.col("__ng") * (F.col("__mg") - F.col("__grand")) ** 2).alias("__between"),
-        F.count(F.lit(1)).alias("groups"))
-    total = binned.groupBy("feature").agg(F.sum((F.col("__y") - F.col("__grand")) ** 2).alias("__total"))
-    out = between.join(total, "feature").join(nd.select("feature", "__nd"), "feature")
-    return out.select("feature", "groups",
-                      F.when((F.col("__total") > 0) & (F.col("__nd") > 1), F.col("__between") / F.col("__total"))
-                      .alias("eta2"))
+    totals = values.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("__nd"), F.sum("__n").alias("__all"), F.sum("__s").alias("__sum"), F.sum("__q").alias("__sq"))
+    meta = totals.join(edges, "feature")
+    slot = F.when(F.col("__nd") <= bins, F.col("__x")).otherwise(
+        F.greatest(F.lit(1), F.size(F.filter("__edges", lambda e: e < F.col("__x")))).cast("double"))
+    groups = (values.join(F.broadcast(meta.select("feature", "__nd", "__edges")), "feature")    # one row per feature
+              .groupBy("feature", slot.alias("__g")).agg(F.sum("__n").alias("__ng"), F.sum("__s").alias("__sg")))
+    between = groups.groupBy("feature").agg(F.sum(F.col("__sg") * F.col("__sg") / F.col("__ng")).alias("__b"),
+                                            F.count(F.lit(1)).alias("groups"))
+    mean_square = F.col("__sum") * F.col("__sum") / F.col("__all")
+    total = F.col("__sq") - mean_square
+    return between.join(totals, "feature").select(
+        "feature", "groups",
+        F.when((total > CONSTANT * F.col("__sq")) & (F.col("__nd") > 1), (F.col("__b") - mean_square) / total).alias("eta2"))
 
 
 def categorical_eta_squared(df: DataFrame, group: str, target: str) -> DataFrame:

@@ -480,24 +480,3 @@ def source_contract(spark, sf):
         m("countries", s.dim_country, F.count(F.lit(1))),
         m("dates", used_dates, F.count_distinct("full_date"))])
     return dq.compare_contract(actual, expected)
-
-
-@register("object_check", None, ids="JON-10 DQ-12")
-def object_check(spark, sf):
-    """Expected stage names LEFT JOIN the session catalog (re-aimed from the index catalogue)."""
-    s = build_star(spark, sf)
-    stages = {"dim_date": s.dim_date, "dim_country": s.dim_country, "dim_city": s.dim_city,
-              "fact_city": s.fact_city, "fact_country": s.fact_country, "fact_global": s.fact_global,
-              "fact_major_city": s.fact_major, "city_enriched": s.enriched()}
-    for name, df in stages.items():
-        df.createOrReplaceTempView(f"isotherm_{name}")
-    found = spark.createDataFrame([(t.name,) for t in spark.catalog.listTables()], "table_name string")
-    expected = spark.createDataFrame([(f"isotherm_{n}", g) for n, g in
-                                      [("dim_date", "dimension"), ("dim_country", "dimension"),
-                                       ("dim_city", "dimension"), ("fact_city", "fact"), ("fact_country", "fact"),
-                                       ("fact_global", "fact"), ("fact_major_city", "fact"),
-                                       ("city_enriched", "view")]], "table_name string, object_group string")
-    j = expected.join(found.withColumn("__found", F.lit(True)), "table_name", "left")
-    return j.groupBy("object_group").agg(F.count(F.lit(1)).alias("expected"),
-                                         F.count_if(F.col("__found").isNotNull()).alias("found")) \
-        .withColumn("status", dq.status(F.col("expected") == F.col("found")))

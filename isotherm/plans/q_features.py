@@ -155,18 +155,19 @@ def leave_one_out(spark, sf):
     return c.select(*LOC, "observation_date", "month", m.alias("loo_mean"), s.alias("loo_std"))
 
 
-GLOBAL_LAG_SQL = with_star(f"""
+GLOBAL_CTES = f"""
 , g AS (SELECT observation_date, year, month, year(observation_date) * 12 + month(observation_date) AS month_index,
   land_average_temperature AS v FROM global_view),
 base AS (SELECT g.*, CASE WHEN year <= {TRAIN_END}
     THEN avg(v) OVER (PARTITION BY month ORDER BY month_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
     ELSE (SELECT avg(v) FROM g g2 WHERE g2.month = g.month AND g2.year <= {TRAIN_END}) END AS baseline FROM g),
-an AS (SELECT *, v - baseline AS land_anomaly FROM base)
-SELECT observation_date, v AS land_temperature,
+an AS (SELECT *, v - baseline AS land_anomaly FROM base),
+global_lags AS (SELECT observation_date, v AS land_temperature,
   max(v) OVER (ORDER BY month_index RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS land_temperature_lag_1,
   land_anomaly,
   max(land_anomaly) OVER (ORDER BY month_index RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS land_anomaly_lag_1
-FROM an""")
+FROM an)"""
+GLOBAL_LAG_SQL = with_star(GLOBAL_CTES + "SELECT * FROM global_lags")
 
 
 @register("global_lag", GLOBAL_LAG_SQL,

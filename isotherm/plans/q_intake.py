@@ -70,8 +70,8 @@ _K = ", ".join(ik.KEY)
 _KON = " AND ".join(f"s.{k} IS NOT DISTINCT FROM k.{k}" for k in ik.KEY)
 
 
-def _validated_sql(name: str, where: str = "") -> str:
-    src = SRC_SQL.replace("src AS", f"{name}_src AS").replace("{where}", where)
+def _validated_sql(name: str, where: str = "", source: str | None = None) -> str:
+    src = (source or SRC_SQL).replace("src AS", f"{name}_src AS", 1).replace("{where}", where)
     return f"""{src},
 {name}_k AS (SELECT {_K}, count(*) AS kc FROM {name}_src GROUP BY ALL),
 {name} AS (SELECT s.*, concat_ws('; ',
@@ -176,6 +176,102 @@ def upsert_counts(spark, sf):
     return ik.upsert_counts(old, new, ik.upsert_last(old, new))
 
 
+# ---------------------------------------------------------------- uploads as text files
+
+UPLOAD = [c for c in ik.OUTPUT]
+
+
+def upload_text(spark, sf):
+    """The events as the text file a user would upload, in event order: the faults of ``incoming`` and,
+    as text can hold them, dates that are no dates, longitudes off the map and padded names."""
+    rows = incoming_from_events(table(spark, sf, "events").select("*"))
+    uid = F.col("user_id")
+    e = table(spark, sf, "events").select(
+        (F.col("event_id") + 2).alias("source_row"), F.col("event_id"), uid, F.col("event_type"))
+    j = e.join(rows, "source_row")
+    text = {c: F.col(c).cast("string") for c in UPLOAD}
+    text["observation_date"] = F.when((F.col("event_type") == "error") & (uid % 13 == 0), F.lit("not a date")).otherwise(text["observation_date"])
+    text["longitude"] = F.when(uid % 17 == 0, (F.col("longitude") + 400).cast("string")).otherwise(text["longitude"])
+    text["city_name"] = F.when(uid % 3 == 0, F.concat(F.lit("  "), "city_name", F.lit(" "))).otherwise(F.col("city_name"))
+    return j.orderBy("event_id").select(*[text[c].alias(c) for c in UPLOAD])
+
+
+_UPLOAD_SRC = """src AS (SELECT row_number() OVER (ORDER BY event_id) + 1 AS source_row,
+  CASE WHEN event_type = 'error' AND user_id % 13 = 0 THEN NULL WHEN event_type = 'error' THEN CAST(ts AS DATE)
+       ELSE make_date(2023 + (day(ts) - 1) // 12, (day(ts) - 1) % 12 + 1, 1) END AS observation_date,
+  CASE WHEN event_type = 'signup' AND user_id % 7 = 0 AND user_id % 3 <> 0 THEN NULL
+       WHEN event_type = 'signup' AND user_id % 7 = 0 THEN ''
+       ELSE 'user_' || CAST(user_id AS VARCHAR) || '_' || event_type END AS city_name,
+  CASE WHEN user_id % 11 = 0 THEN NULL ELSE 'segment_' || CAST(user_id % 5 AS VARCHAR) END AS country_name,
+  CAST((user_id * 37) % 181 - 90 AS DOUBLE) + CASE WHEN value > 300 THEN 100.0 ELSE 0.0 END AS latitude,
+  CAST((user_id * 53) % 361 - 180 AS DOUBLE) + CASE WHEN user_id % 17 = 0 THEN 400.0 ELSE 0.0 END AS longitude,
+  value / CAST(4 AS DOUBLE) - CAST(10 AS DOUBLE) AS city_average_temperature,
+  CASE WHEN event_type = 'click' AND value < 5 THEN -0.5 ELSE value / CAST(100 AS DOUBLE) END
+    AS city_average_temperature_uncertainty,
+  CASE WHEN event_type = 'purchase' THEN 'upload' END AS data_source
+  FROM events {where})"""
+REJECTED_SQL = (f"WITH {_validated_sql('v', source=_UPLOAD_SRC)}\nSELECT source_row, {', '.join(ik.OUTPUT)}, validation_error "
+                "FROM v WHERE validation_error <> ''")
+
+
+@register("ingest_rejected", REJECTED_SQL, ids="ING-03 ING-02 PRJ-05")
+def ingest_rejected(spark, sf):
+    """Rejected rows of an uploaded CSV, each with its row number in the file (2 is the first below the
+    header) and the rules it broke: text that is no date or number is a reason, not a failed load."""
+    import uuid
+
+    from isotherm.session import scratch_path
+    from isotherm.sources import files as io
+    from isotherm.sources.numbered import scan_csv_numbered
+    path = scratch_path(spark, f"upload_{uuid.uuid4().hex}")
+    io.write_csv(upload_text(spark, sf), path, UPLOAD)
+    return ik.rejected(ik.validate(ik.typed(scan_csv_numbered(spark, path, UPLOAD)), GAP_START, AS_OF))
+
+
+# ---------------------------------------------------------------- bucketed last-wins table
+
+# Three uploads of the events by time; they overlap, so keys of one replace those of the one before.
+UPLOADS = [("2024-01-01", "2024-01-13"), ("2024-01-10", "2024-01-22"), ("2024-01-18", "2024-03-01")]
+
+
+def _upload_where(start: str, end: str) -> str:
+    return f"WHERE ts >= TIMESTAMP '{start}' AND ts < TIMESTAMP '{end}'"
+
+
+BUCKET_SQL = "WITH " + ",\n".join(_validated_sql(f"v{i}", _upload_where(*u)) for i, u in enumerate(UPLOADS)) + f""",
+every AS ({' UNION ALL '.join(f"{_ACC}, CAST({i} AS BIGINT) AS ingested_batch FROM v{i} WHERE validation_error = ''" for i in range(len(UPLOADS)))})
+SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY {_K} ORDER BY ingested_batch DESC) = 1"""
+
+
+def bucket_schema():
+    from pyspark.sql import types as T
+    kinds = {"observation_date": T.DateType(), "city_name": T.StringType(), "country_name": T.StringType(), "data_source": T.StringType()}
+    return T.StructType([*(T.StructField(c, kinds.get(c, T.DoubleType())) for c in ik.OUTPUT), T.StructField("ingested_batch", T.LongType())])
+
+
+def bucketed_intake(spark, sf, base: str, buckets: int = 16):
+    """Three uploads, each one micro-batch of the same checkpointed stream into a bucketed table."""
+    from isotherm.streaming.buckets import BucketTable
+    pending = BucketTable(spark, f"{base}/pending", ik.KEY, bucket_schema(), buckets)
+    events = table(spark, sf, "events")
+    for start, end in UPLOADS:
+        span = (F.col("ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+        events.where(span).write.mode("append").parquet(f"{base}/uploads")
+        ik.run_bucketed_stream(spark, f"{base}/uploads", events.schema, pending, f"{base}/checkpoint", GAP_START, AS_OF,
+                               transform=incoming_from_events).awaitTermination()
+    return pending
+
+
+@register("intake_buckets", BUCKET_SQL, ids="SNK-08 ING-06 WIN-16")
+def intake_buckets(spark, sf):
+    """Structured Streaming over three overlapping uploads: the last reading of a key stays, and a
+    micro-batch rewrites only the key buckets it falls into."""
+    import uuid
+
+    from isotherm.session import scratch_path
+    return bucketed_intake(spark, sf, scratch_path(spark, f"intake_buckets_{uuid.uuid4().hex}")).read()
+
+
 # ---------------------------------------------------------------- sampling
 
 HASH_SQL = """SELECT * FROM lineitem

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from isotherm.functions.labels import climatic_month, latitude_zone, split_label_for_year
 from isotherm.functions.text import compose_label
+from isotherm.operators import boosting as bo
+from isotherm.operators import joins as jn
 from isotherm.operators import modeling as ml
+from isotherm.operators import moments as mo
 from isotherm.plans.driver_star import build_star
 from isotherm.plans.materialize import app_key, stage
 from isotherm.plans.q_clean import clean_frame, with_clean
@@ -23,26 +26,34 @@ NUMERIC = ["month_sin", "month_cos", "climatic_month_sin", "climatic_month_cos",
            "hemisphere_north", "latitude", "longitude", "abslat_x_month_sin", "abslat_x_month_cos",
            "loc_month_climatology", "loc_mean_temperature", "loc_temperature_std"]
 CATEGORICAL = ["country_name"]
-# Model sizes; boosting stops early on the validation rows.
+# Model sizes; boosting stops after 20 rounds without a better validation error.
 FOREST = {"numTrees": 100, "maxDepth": 18, "minLeaf": 5, "featureSubsetStrategy": "0.6"}
-GBT = {"maxIter": 500, "maxDepth": 8, "stepSize": 0.08, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+GBT = {"rounds": 500, "patience": 20, "step": 0.08, "depth": 8, "row_share": 0.8, "feature_share": 0.8}
+KEY = ["city_name", "country_name", "latitude", "longitude", "observation_date"]
 
 
 def _train(spark, sf):
     return feature_frame(spark, sf).where("data_split = 'train'")
 
 
+def _boosted(spark, sf) -> bo.Boosted:
+    """Boosting on the train rows, ended by the validation rows; preprocessing is fitted on train."""
+    key = (app_key(spark), "boosted", sf)
+    if key not in _MODELS:
+        f = feature_frame(spark, sf).where("data_split in ('train', 'validation')")
+        prep = ml.fit_preprocessing(f.where("data_split = 'train'"), NUMERIC, CATEGORICAL)
+        vectors = stage(spark, "boosting_vectors", sf, lambda: ml.predict(prep, f, NUMERIC).select("data_split", TARGET, "features"))
+        _MODELS[key] = bo.boost(vectors.where("data_split = 'train'"), TARGET, vectors.where("data_split = 'validation'"),
+                                before=prep.stages, **GBT)
+    return _MODELS[key]
+
+
 def _model(spark, sf, kind):
-    def build():
-        f = feature_frame(spark, sf)
-        if kind == "gbt":
-            data = f.where("data_split in ('train', 'validation')").withColumn(
-                "__is_val", F.col("data_split") == "validation")
-            return ml.fit(data, NUMERIC, CATEGORICAL, TARGET, "gbt", validationIndicatorCol="__is_val", **GBT)
-        return ml.fit(_train(spark, sf), NUMERIC, CATEGORICAL, TARGET, kind, **(FOREST if kind == "forest" else {}))
+    if kind == "gbt":
+        return _boosted(spark, sf).model
     key = (app_key(spark), kind, sf)
     if key not in _MODELS:
-        _MODELS[key] = build()
+        _MODELS[key] = ml.fit(_train(spark, sf), NUMERIC, CATEGORICAL, TARGET, kind, **(FOREST if kind == "forest" else {}))
     return _MODELS[key]
 
 
@@ -87,6 +98,14 @@ def model_gbt(spark, sf):
     return _metrics_by_split(_scored(spark, sf, "gbt"), "gradient_boosting")
 
 
+@register("boosting_curve", None, ids="ML-05")
+def boosting_curve(spark, sf):
+    """Train and validation error of every boosting round, and the round that is kept."""
+    b = _boosted(spark, sf)
+    return spark.createDataFrame([(k, t, v, k == b.rounds) for k, t, v in b.curve],
+                                 "round long, train_rmse double, validation_rmse double, kept boolean")
+
+
 @register("model_compare", None, ids="ML-09 TOP-06")
 def model_compare(spark, sf):
     """All methods' train / validation metrics; sorted by validation RMSE; the winner, its
@@ -103,15 +122,50 @@ def model_compare(spark, sf):
                       F.when(F.col("rank") == 1, second - F.col("validation_rmse")).alias("margin_to_second"))
 
 
-@register("model_coefficients", None, ids="ML-03 ML-06 FSEL-08")
+@register("model_coefficients", None, ids="ML-03 ML-06")
 def model_coefficients(spark, sf):
-    names = NUMERIC + [f"{c}__missing" for c in NUMERIC]
-    lin = ml.coefficients(_model(spark, sf, "linear"), names)
-    imp = ml.importances(_model(spark, sf, "forest"), names)
-    rows = [("linear_regression", n, v) for n, v in lin] + [("random_forest", n, v) for n, v in imp]
+    """Linear coefficients and both ensembles' importances, every slot by its feature's name."""
+    rows = [("linear_regression", n, v) for n, v in ml.coefficients(_model(spark, sf, "linear"), NUMERIC)]
+    rows += [("random_forest", n, v) for n, v in ml.importances(_model(spark, sf, "forest"), NUMERIC)]
+    rows += [("gradient_boosting", n, v) for n, v in ml.importances(_model(spark, sf, "gbt"), NUMERIC)]
     return spark.createDataFrame(rows, "method string, feature string, value double")
 
 
+@register("exploratory_importance", None, ids="FSEL-08")
+def exploratory_importance(spark, sf):
+    """Importances of a 60-tree forest on a repeatable sample of the complete validation rows."""
+    f = feature_frame(spark, sf).where("data_split = 'validation'")
+    return ml.exploratory_importance(f, NUMERIC, TARGET, KEY, max_rows=120_000)
+
+
+RESIDUAL_SHARE = 0.25
+RESIDUAL_SQL = with_features(f"""
+SELECT city_name, country_name, latitude, longitude, observation_date, {TARGET} AS actual, loc_month_climatology AS predicted,
+  {TARGET} - loc_month_climatology AS residual, abs({TARGET} - loc_month_climatology) AS abs_residual FROM features
+WHERE data_split = 'validation' AND {TARGET} IS NOT NULL AND loc_month_climatology IS NOT NULL
+  AND CAST('0x' || substr(md5(concat_ws('|', coalesce(city_name, ''), coalesce(country_name, ''),
+    coalesce(CAST(observation_date AS VARCHAR), ''))), 1, 8) AS BIGINT) % 10000 < {round(RESIDUAL_SHARE * 10000)}""")
+
+
+@register("residual_frame", RESIDUAL_SQL, round_cols=["latitude", "longitude", "actual", "predicted", "residual", "abs_residual"], ids="ML-13")
+def residual_frame(spark, sf):
+    """Keyed residuals of the climatology predictor on a repeatable quarter of the validation rows."""
+    f = feature_frame(spark, sf).where("data_split = 'validation'").withColumn("prediction", F.col("loc_month_climatology"))
+    return ml.diagnostic_sample(ml.residuals(f, KEY, TARGET), ["city_name", "country_name", "observation_date"], RESIDUAL_SHARE)
+
+
+@register("model_residuals", None, ids="ML-13")
+def model_residuals(spark, sf):
+    """Residual summary of every fitted model per split: rows, mean, deviation, largest error."""
+    out = []
+    for kind in ("linear", "forest", "gbt"):
+        r = ml.residuals(_scored(spark, sf, kind), [*KEY, "data_split"], TARGET)
+        out.append(r.groupBy("data_split").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("residual").alias("mean_residual"), F.stddev_samp("residual").alias("std_residual"),
+            F.max("abs_residual").alias("largest_residual")).select(F.lit(kind).alias("method"), "*"))
+    return reduce(DataFrame.unionByName, out)
+
+
 ABLATION_SETS = [
     ["month_sin", "month_cos"],
     ["climatic_month_sin", "climatic_month_cos", "abs_latitude", "hemisphere_north"],
@@ -124,52 +178,84 @@ ABLATION_SETS = [
 
 @register("ablation", None, ids="ML-10 WIN-18")
 def ablation(spark, sf):
-    """Six cumulative feature sets, one linear fit each; RMSE and improvement over the previous set."""
+    """Six cumulative feature sets, one least-squares fit each; RMSE and improvement over the previous set.
+
+    The train and validation rows are read once each (after a pass for the train means) into cross
+    products of all columns; every set is a part of the same matrix, and its validation error follows
+    from the validation products."""
     f = feature_frame(spark, sf)
-    train, val = f.where("data_split = 'train'"), f.where("data_split = 'validation'")
+    every = [c for extra in ABLATION_SETS for c in extra]
+    columns = mo.present(every, mo.centres(f.where("data_split = 'train'"), every))
+    train = mo.cross_products(f.where("data_split = 'train'"), columns, F.col(TARGET))
+    val = mo.cross_products(f.where("data_split = 'validation'"), columns, F.col(TARGET))
     rows, cols = [], []
     for step, extra in enumerate(ABLATION_SETS, start=1):
         cols = cols + extra
-        m = ml.fit(train, cols, [], TARGET, "linear")
-        r = ml.metrics(ml.predict(m, val, cols), TARGET).select(F.lit(step).alias("step"),
-                                                                F.lit(len(cols)).alias("n_features"), "rmse")
-        rows.append(r)
-    out = reduce(DataFrame.unionByName, rows)
-    return out.withColumn("rmse_improvement", F.lag("rmse").over(Window.orderBy("step")) - F.col("rmse"))
+        fitted = train.solve([n for c in cols for n in (c, f"{c}__missing")])
+        rows.append((step, len(cols), val.rmse(fitted)))
+    before = [None, *[r[2] for r in rows]]
+    return spark.createDataFrame([(*r, None if b is None else b - r[2]) for r, b in zip(rows, before, strict=False)],
+                                 "step int, n_features int, rmse double, rmse_improvement double")
 
 
 # Rolling origins from the end of the train years on: the climatology of later rows is fitted on train only.
 ORIGINS = ["1998-12-01", "1999-03-01", "1999-06-01", "1999-09-01"]
 
 
+def _horizon(origin: str):
+    o = F.lit(origin).cast("date")
+    d = F.col("observation_date")
+    return (F.col("data_split") == "validation") & (d > o) & (d <= F.add_months(o, 12)), F.months_between(d, o).cast("long")
+
+
 @register("backtest", None, ids="ML-11 FLT-08")
 def backtest(spark, sf):
     """Rolling-origin backtest: for each origin, fit on rows up to the origin, score the validation
-    rows of the next 12 months (linear model and climatology); metrics by origin, method and horizon."""
+    rows of the next 12 months (linear model and climatology); metrics by origin, method and horizon.
+
+    The rows between two origins are added up once; an origin's fit solves the sum of the products up
+    to it.  All origins score in one scan of the validation rows."""
     f = feature_frame(spark, sf)
-    out = []
-    for origin in ORIGINS:
-        o = F.lit(origin).cast("date")
-        train = f.where(F.col("observation_date") <= o)
-        test = f.where((F.col("data_split") == "validation") & (F.col("observation_date") > o)
-                       & (F.col("observation_date") <= F.add_months(o, 12)))
-        horizon = F.months_between("observation_date", o).cast("long")
-        m = ml.fit(train, NUMERIC, CATEGORICAL, TARGET, "linear")
-        lin = ml.predict(m, test, NUMERIC).withColumn("method", F.lit("linear_regression"))
-        clim = test.withColumn("prediction", F.col("loc_month_climatology")).withColumn("method", F.lit("climatology"))
-        for p in (lin, clim):
-            p = p.withColumn("origin", o).withColumn("horizon", horizon)
-            out.append(ml.metrics(p, TARGET, "prediction", ["origin", "method", "horizon"]))
-    return reduce(DataFrame.unionByName, out)
+    middle = mo.centres(f.where(F.col("observation_date") <= F.lit(ORIGINS[0]).cast("date")), NUMERIC)
+    columns = {**mo.present(NUMERIC, middle), **mo.one_hot("country_name", mo.levels(f, "country_name"))}
+    d, total, cases = F.col("observation_date"), None, []
+    for before, origin in zip([None, *ORIGINS], ORIGINS, strict=False):
+        part = f.where(d <= F.lit(origin).cast("date"))
+        part = part if before is None else part.where(d > F.lit(before).cast("date"))
+        products = mo.cross_products(part, columns, F.col(TARGET))
+        total = products if total is None else total + products
+        inside, horizon = _horizon(origin)
+        for method, prediction in (("linear_regression", mo.linear_prediction(total.solve(list(columns)), columns)),
+                                   ("climatology", F.col("loc_month_climatology"))):
+            cases.append(F.when(inside, F.struct(F.lit(origin).cast("date").alias("origin"), F.lit(method).alias("method"),
+                                                 horizon.alias("horizon"), prediction.alias("prediction"))))
+    scored = (f.where("data_split = 'validation'").select(TARGET, F.explode(F.array(*cases)).alias("c"))
+              .where("c IS NOT NULL").select(TARGET, "c.*"))
+    return ml.metrics(scored, TARGET, "prediction", ["origin", "method", "horizon"])
+
+
+KINDS = {"linear_regression": "linear", "random_forest": "forest", "gradient_boosting": "gbt"}
+
+
+def refit(spark, sf, kind: str):
+    """The chosen kind of model on train + validation; a boosted one with the rounds its search kept."""
+    f = feature_frame(spark, sf).where("data_split in ('train', 'validation')")
+    if kind != "gbt":
+        return ml.fit(f, NUMERIC, CATEGORICAL, TARGET, kind, **(FOREST if kind == "forest" else {}))
+    prep = ml.fit_preprocessing(f, NUMERIC, CATEGORICAL)
+    params = {**GBT, "rounds": _boosted(spark, sf).rounds}
+    return bo.boost(stage(spark, "refit_vectors", sf, lambda: ml.predict(prep, f, NUMERIC).select(TARGET, "features")),
+                    TARGET, before=prep.stages, **params).model
 
 
 @register("refit_test", None, ids="ML-12 ML-14")
 def refit_test(spark, sf):
-    """Refit on train + validation, evaluate once on test; plus one held-out example row."""
-    f = feature_frame(spark, sf)
-    m = ml.fit(f.where("data_split in ('train', 'validation')"), NUMERIC, CATEGORICAL, TARGET, "linear")
-    pred = ml.predict(m, f.where("data_split = 'test'"), NUMERIC)
-    met = ml.metrics(pred, TARGET).withColumn("method", F.lit("linear_regression_refit"))
+    """Refit the fitted model of least validation error on train + validation, evaluate once on test; plus
+    one held-out example row."""
+    best = model_compare(spark, sf).where(F.col("method").isin(*KINDS)).orderBy("rank").first()["method"]
+    pred = ml.predict(refit(spark, sf, KINDS[best]), feature_frame(spark, sf).where("data_split = 'test'"), NUMERIC)
+    pred = stage(spark, f"refit_{KINDS[best]}", sf, lambda: pred.select(*KEY, TARGET, "prediction"))
+    met = ml.metrics(pred, TARGET).withColumn("method", F.lit(f"{best}_refit"))
     example = pred.orderBy("observation_date", "city_name").limit(1).select(
         F.abs(F.col(TARGET) - F.col("prediction")).alias("example_abs_error"))
     return met.crossJoin(example)
@@ -181,8 +267,7 @@ def model_reload_check(spark, sf):
     path = scratch_path(spark, f"model_linear_{uuid.uuid4().hex}")
     reloaded = ml.save_and_reload(m, path)
     f = feature_frame(spark, sf)
-    key = ["city_name", "country_name", "latitude", "longitude", "observation_date"]
-    return ml.max_abs_diff(ml.predict(m, f, NUMERIC), ml.predict(reloaded, f, NUMERIC), key) \
+    return ml.max_abs_diff(ml.predict(m, f, NUMERIC), ml.predict(reloaded, f, NUMERIC), KEY) \
         .withColumn("passed", F.col("max_abs_diff") <= 1e-5)
 
 
@@ -257,7 +342,9 @@ def batch_features(spark, sf) -> DataFrame:
     """SCO-01: requests ⋈ statistics on the full location key + month; the deployed features
     (14 numbers, of which none needs history, and the country) are expressions of the statistics row (no UDF, no per-request lookup)."""
     req = validate_requests(requests(spark, sf), AS_OF).where(F.col("rejection_reason").isNull())
-    j = req.join(statistics_table(spark, sf), [*LOC, "month"])
+    statistics = statistics_table(spark, sf)
+    jn.assert_unique(statistics, [*LOC, "month"], "statistics")   # many requests to one row
+    j = req.join(statistics, [*LOC, "month"])
     cm = climatic_month("month", "latitude")
     import math
     ang = F.lit(2 * math.pi / 12)

@@ -63,6 +63,26 @@ def redundant_pairs(spark, sf):
     return stt.redundant_pairs(corr_matrix_frame(spark, sf), 0.95)
 
 
+# The two windows the redundancy is measured in: the last train year, and all train years.
+NARROW_YEAR = 1998
+
+
+def _windows_sql() -> str:
+    inside = {"narrow": f"year = {NARROW_YEAR}", "wide": f"year <= {NARROW_YEAR}"}
+    sides = {n: " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {_r_sql(a, b)} AS r FROM c_{n}" for a, b in _PAIRS)
+             for n in inside}
+    return with_clean("".join(f", c_{n} AS MATERIALIZED (SELECT * FROM clean WHERE {w}), m_{n} AS ({sides[n]})" for n, w in inside.items()) + """
+SELECT feature_a, feature_b, n.r AS r_narrow, w.r AS r_wide, CASE WHEN abs(w.r) > 0.95 THEN 'lasting' ELSE 'narrow window' END AS verdict
+FROM m_narrow n JOIN m_wide w USING (feature_a, feature_b) WHERE abs(n.r) > 0.95 OR abs(w.r) > 0.95""")
+
+
+@register("redundancy_windows", _windows_sql(), round_cols=["r_narrow", "r_wide"], ids="FSEL-05")
+def redundancy_windows(spark, sf):
+    """Redundant column pairs in the last train year and over all train years, both from one pass; a pair
+    that is redundant in the narrow window only is told apart."""
+    return stt.redundancy_windows(clean_frame(spark, sf), NUMERIC, F.col("year") == NARROW_YEAR, F.col("year") <= NARROW_YEAR, 0.95)
+
+
 def _long_sql() -> str:
     return " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x, {TARGET} AS y FROM clean "
                               f"WHERE {c} IS NOT NULL AND {TARGET} IS NOT NULL" for c in RANK_FEATURES)
@@ -81,16 +101,16 @@ def spearman(spark, sf):
 
 
 _QS = ", ".join(str(k / 20) for k in range(21))
-ETA_SQL = with_clean(f""", lg AS ({_long_sql()}),
-meta AS (SELECT feature, count(DISTINCT x) AS nd, avg(y) AS grand,
+ETA_CTES = f"""meta AS (SELECT feature, count(DISTINCT x) AS nd, avg(y) AS grand,
   list_sort(list_distinct(quantile_cont(x, [{_QS}]))) AS edges FROM lg GROUP BY feature),
 b AS (SELECT lg.feature, lg.y, meta.grand, meta.nd, CASE WHEN meta.nd <= 20 THEN lg.x
   ELSE CAST(greatest(1, len(list_filter(meta.edges, lambda e: e < lg.x))) AS DOUBLE) END AS g FROM lg JOIN meta USING (feature)),
 grp AS (SELECT feature, g, grand, count(*) AS ng, avg(y) AS mg FROM b GROUP BY feature, g, grand),
 bt AS (SELECT feature, sum(ng * (mg - grand) ^ 2) AS between_ss, count(*) AS groups FROM grp GROUP BY feature),
-tt AS (SELECT feature, sum((y - grand) ^ 2) AS total_ss, any_value(nd) AS nd FROM b GROUP BY feature)
-SELECT bt.feature, bt.groups, CASE WHEN total_ss > 0 AND nd > 1 THEN between_ss / total_ss END AS eta2
-FROM bt JOIN tt USING (feature)""")
+tt AS (SELECT feature, sum((y - grand) ^ 2) AS total_ss, any_value(nd) AS nd FROM b GROUP BY feature),
+eta AS (SELECT bt.feature, bt.groups, CASE WHEN total_ss > 0 AND nd > 1 THEN between_ss / total_ss END AS eta2
+FROM bt JOIN tt USING (feature))"""
+ETA_SQL = with_clean(f", lg AS ({_long_sql()}), {ETA_CTES} SELECT * FROM eta")
 
 
 @register("eta_squared", ETA_SQL, round_cols=["eta2"], ids="FSEL-03 UDF-02")

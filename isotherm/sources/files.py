@@ -81,6 +81,15 @@ def write_table(df: DataFrame, path: str, key: Sequence[str], mode: str = "error
         "path string, expected_rows long, written_rows long, distinct_keys long, passed boolean")
 
 
+def load_into_empty(df: DataFrame, path: str) -> bool:
+    """SRC-04: load a staging table that is absent or has no row; False if it has rows (nothing is written)."""
+    spark = df.sparkSession
+    if _fs_exists(spark, path) and not spark.read.parquet(path).isEmpty():
+        return False
+    df.write.mode("overwrite").parquet(path)
+    return True
+
+
 def write_json_document(spark: SparkSession, doc: Mapping, path: str) -> None:
     """SNK-05: one JSON document (features, cutoffs, counts, fallbacks) written as a one-row file."""
     spark.createDataFrame([(json.dumps(doc, sort_keys=True),)], "doc string").coalesce(1) \

@@ -71,7 +71,21 @@ def accepted(validated: DataFrame, default_source: str = "user_observation") ->
 
 
 def rejected(validated: DataFrame) -> DataFrame:
-    return validated.where(F.col("validation_error") != "")
+    """ING-03: rows that broke a rule, with the number they have in their file and all reasons."""
+    return validated.where(F.col("validation_error") != "").select("source_row", *OUTPUT, "validation_error")
+
+
+def typed(raw: DataFrame) -> DataFrame:
+    """Text columns of an upload as observation columns: trimmed names, dates and numbers that do not
+    parse become NULL, so that the rules report them instead of the scan failing."""
+    have = set(raw.columns)
+    text = lambda c: F.col(c) if c in have else F.lit(None).cast("string")
+    number = lambda c: F.trim(text(c)).try_cast("double").alias(c)
+    return raw.select(
+        "source_row", F.trim(text("observation_date")).try_cast("date").alias("observation_date"),
+        F.trim(text("city_name")).alias("city_name"), F.trim(text("country_name")).alias("country_name"),
+        number("latitude"), number("longitude"), number("city_average_temperature"),
+        number("city_average_temperature_uncertainty"), F.trim(text("data_source")).alias("data_source"))
 
 
 def gap_report(acc: DataFrame, gap_start: str) -> DataFrame:
@@ -165,3 +179,19 @@ def run_stream(spark: SparkSession, source_dir: str, schema, pending_dir: str, c
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if trigger_available_now else writer
     return writer.start()
+
+
+def run_bucketed_stream(spark: SparkSession, source_dir: str, schema, table, checkpoint_location: str,
+                        gap_start: str, as_of: str, transform=None):
+    """Structured Streaming intake into a ``BucketTable``: each micro-batch is validated, and its accepted
+    rows replace those of the same key in the buckets they fall into.  A micro-batch run again after its
+    commit is recognised by its number."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if transform is not None:
+            batch = transform(batch)
+        acc = accepted(validate(batch, gap_start, as_of)).withColumn("ingested_batch", F.lit(batch_id).cast("long"))
+        # one row a key inside an accepted batch: the batch number alone decides
+        table.merge(batch_id, acc, lambda old, new: upsert_last(old, new, ("ingested_batch",)))
+
+    return (spark.readStream.schema(schema).parquet(source_dir).writeStream.foreachBatch(merge)
+            .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start())

@@ -51,3 +51,33 @@ def test_dense_index_with_payload_at_size(spark):
     out = dense_index(keys, ["h", "id"], "n", num_partitions=16)
     r = out.agg(F.count("n").alias("rows"), F.countDistinct("n").alias("ids"), F.min("n").alias("lo"), F.max("n").alias("hi")).first()
     assert (r.rows, r.ids, r.lo, r.hi) == (n, n, 1, n)
+
+
+def test_quantiles_on_value_counts_without_exchange_reuse(spark):
+    """A value that fills a third of the rows, many distinct values, and exchanges that are not shared."""
+    from pyspark.sql import functions as F
+
+    from isotherm.operators.quantiles import average_ranks
+    n = 300_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.rand(7)).alias("v"),
+                               F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.lit("g")).alias("g"))
+    spark.createDataFrame([], "x int")
+    pdf = df.toPandas()
+    df = spark.createDataFrame(pdf)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.exchange.reuse", "false")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = exact_quantiles(df, "v", [0.25, 0.5, 0.9]).first()
+        assert np.allclose([got.q25, got.q50, got.q90], np.quantile(pdf.v, [0.25, 0.5, 0.9]), atol=1e-12)
+        by = {r.g: r for r in exact_quantiles(df, "v", [0.25, 0.5], ["g"]).collect()}
+        for g, part in pdf.groupby("g", dropna=False):
+            key = None if g != g or g is None else g
+            assert np.allclose([by[key].q25, by[key].q50], np.quantile(part.v, [0.25, 0.5]), atol=1e-12)
+        ranks = {r.v: r.r for r in average_ranks(df, [], "v", "r").where("v between 0.49 and 0.51").collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = pdf.v.rank()
+    for i in pdf.index[(pdf.v >= 0.49) & (pdf.v <= 0.51)][:200]:
+        assert ranks[pdf.v[i]] == want[i]
