@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import bytecnn, decontam, hilbertpq, interpolation, mixing, passages, permutation, pii, prefixtrie, pulearn, runs, simhash, wavelet
+from isotherm.llm import bytecnn, decontam, hilbertpq, interpolation, mixing, oracles, passages, permutation, pii, prefixtrie, pulearn, runs, simhash, wavelet
 from isotherm.llm.common import remainder, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op12_hilbert_blocks": oracles.hilbert_blocks(rounds=4, parts=4, entries=256, scale=1024),
+    "op13_prefix_trie": oracles.PREFIX_TRIE,
+}
 
 
 def query(fn):
