@@ -18,6 +18,7 @@ an order fixed by their texts' crc32; a NULL ``doc_id`` comes after all others;
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -32,9 +33,18 @@ from pyspark.sql import functions as F
 from isotherm.llm.common import parts_for, ship, stage
 
 MAGIC, BLOCK = b"WVM1", 512
-SHARD_TOKENS, RANGE_BYTES, MEMO = 500_000, 24_000_000, 250_000
-#: Punctuation that ends a piece after a letter: a token run of its own.
-MARKS = re.compile(r"(?<=[^\W\d_])[!-/:;=-@\[-`{-~]+(?= |$)")
+SHARD_TOKENS, RANGE_BYTES, MEMO = 500_000, 24_000_000, 150_000
+#: Punctuation that ends a piece after a to z: a token run of its own.  Other letters can turn into a
+#: letter and a mark when the tokenizer normalises them, which then joins the punctuation.
+MARKS = re.compile(r"(?<=[a-z])[!-/:;=-@\[-`{-~]+(?= |$)")
+
+#: The rules that pieces rely on, as the vocabulary file states them.  Another file is encoded whole.
+NORMALISES = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITS = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed",
+     "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
 _CODERS: dict[str, Coder] = {}
 
@@ -43,13 +53,18 @@ class Coder:
     """A tokenizer with a memo of blank-separated pieces; one per worker process.
 
     The vocabulary's tokenizer drops white space and never joins across it, so a text's ids are
-    those of its pieces; letters and the marks that follow them are parted as well.  ``codes``
-    maps a piece, as bytes, to a number whose ids are ``flat[start: start + size]``.  A memo of
-    ``MEMO`` pieces starts anew, so its memory is bounded."""
+    those of its pieces; a letter from a to z and the punctuation that follows it are parted as well.
+    ``codes`` maps a piece, as bytes, to a number whose ids are ``flat[start: start + size]``.  A memo
+    of ``MEMO`` pieces is cut to those used again since the last cut, so its memory is bounded."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        self.by_piece = rules["normalizer"] == NORMALISES and rules["pre_tokenizer"] == SPLITS
+        self.whole = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.lowered = None, pre_tokenizers.WhitespaceSplit()           # the same, for words of a to z
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)     # ids that end a word
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -60,37 +75,60 @@ class Coder:
         self.cores: dict[str, int] = {}                                # piece without marks -> place in spans
         self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
         self.spans = np.zeros((1 << 17, 2), np.int64)                   # start, size by number
+        self.uses = np.zeros(1 << 17, np.int64)
         self.count = 0
 
+    def cut(self) -> None:
+        """Keep the pieces that were used twice or more since the last cut, at most half the memo."""
+        words = list(self.codes)
+        numbers = np.fromiter(self.codes.values(), np.int64, len(words))
+        uses = self.uses[numbers]
+        keep = np.flatnonzero(uses > 1)
+        keep = keep[np.argsort(-uses[keep], kind="stable")[: MEMO // 2]]
+        if not len(keep):
+            return self.clear()
+        ids, sizes = self._gather(numbers[keep])
+        self.clear()
+        first = self._add(ids, sizes)
+        self.codes = dict(zip([words[k] for k in keep.tolist()], range(first, first + len(keep))))
+
     def _add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
         """Store pieces' ids one after the other; returns the first one's number."""
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.count + len(sizes) > len(self.spans):
             self.spans = np.concatenate([self.spans, np.zeros_like(self.spans)])
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
         self.flat[self.used: self.used + len(ids)] = ids
         rows = self.spans[self.count: self.count + len(sizes)]
         rows[:, 0], rows[:, 1] = self.used + np.cumsum(sizes) - sizes, sizes
         first, self.count, self.used = self.count, self.count + len(sizes), self.used + len(ids)
         return first
 
+    def _words(self, texts: list[str]) -> tuple[int, list[int]]:
+        """Encode pieces that are one word each to the tokenizer, many to a call, told apart by the ids
+        that end a word; returns the first one's number, and the texts of calls that do not part so."""
+        ids, sizes, odd = [], [], []
+        for lo in range(0, len(texts), 400):
+            part = texts[lo: lo + 400]
+            got = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.int64)
+            ends = np.flatnonzero(self.closes[got]) + 1
+            if len(ends) != len(part) or ends[-1] != len(got):          # letters by another Unicode table
+                odd += range(lo, lo + len(part))
+                got, ends = np.zeros(0, np.int64), np.zeros(len(part), np.int64)
+            ids.append(got)
+            sizes.append(np.diff(ends, prepend=0))
+        return self._add(np.concatenate(ids), np.concatenate(sizes)) if ids else self.count, odd
+
     def _encode(self, texts: list[str]) -> None:
-        """Encode pieces that ``cores`` lacks; those of letters alone are single words to the
-        tokenizer, go many to a call, and are told apart by the ids that end a word."""
-        letters = [k for k, t in enumerate(texts) if t.isalpha()]
-        rest = [k for k, t in enumerate(texts) if not t.isalpha()]
-        for lo in range(0, len(letters), 400):
-            part = letters[lo: lo + 400]
-            ids = np.array(self.tokenizer.encode(" ".join([texts[k] for k in part]), add_special_tokens=False).ids, np.int64)
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(part) or ends[-1] != len(ids):          # letters by another Unicode table
-                rest += part
-                continue
-            first = self._add(ids, np.diff(ends, prepend=0))
-            self.cores.update(zip([texts[k] for k in part], range(first, first + len(part))))
-        for k in rest:
-            ids = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.int64)
-            self.cores[texts[k]] = self._add(ids, np.array([len(ids)]))
+        """Encode pieces that ``cores`` lacks."""
+        letters = [t for t in texts if t.isalpha()]
+        rest = [t for t in texts if not t.isalpha()]
+        first, odd = self._words(letters)
+        self.cores.update(zip(letters, range(first, first + len(letters))))
+        for t in rest + [letters[k] for k in odd]:
+            ids = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.int64)
+            self.cores[t] = self._add(ids, np.array([len(ids)]))
 
     def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the numbered pieces in a row, and their sizes."""
@@ -99,8 +137,18 @@ class Coder:
         return self.flat[np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)], size
 
     def learn(self, words: list[bytes]) -> None:
+        easy = [w for w in words if w.isalpha()]                        # A to Z and a to z alone
+        if easy:
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.lowered
+            first, odd = self._words(b" ".join(easy).lower().decode().split(" "))
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.whole
+            self.codes.update(zip(easy, range(first, first + len(easy))))
+            words = [w for w in words if not w.isalpha()] + [easy[k] for k in odd]
+        if not words:
+            return
         plain = [w for w in words if b"<" not in w]                     # special tokens begin with it
-        texts = b" ".join(plain).lower().decode().split(" ") if plain else []      # A-Z only
+        # A to Z may be lowered first where no mark can follow that would join the capital
+        texts = b" ".join([w.lower() if w.isascii() else w for w in plain]).decode().split(" ") if plain else []
         cores = MARKS.sub("", " ".join(texts)).split(" ") if plain else []
         odd = [w for w in words if b"<" in w]
         ended = [k for k, (c, t) in enumerate(zip(cores, texts)) if len(c) != len(t)]
@@ -117,13 +165,14 @@ class Coder:
     def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and the end of each word's."""
         if len(self.codes) > MEMO:
-            self.clear()
+            self.cut()
         code = np.fromiter(map(self.codes.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(code < 0).tolist()
         if new:
             lacking = [words[k] for k in new]
             self.learn(list(dict.fromkeys(lacking)))
             code[new] = list(map(self.codes.__getitem__, lacking))
+        self.uses[: self.count] += np.bincount(code, minlength=self.count)
         ids, size = self._gather(code)
         return ids, np.cumsum(size)
 
@@ -132,6 +181,9 @@ def encode_texts(path: str, texts: list[str | None], end_id: int) -> list[np.nda
     """Ids of each whole text and the end id."""
     if path not in _CODERS:
         _CODERS[path] = Coder(path)
+    if not _CODERS[path].by_piece:
+        got = _CODERS[path].tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+        return [np.append(np.array(e.ids, np.uint32), np.uint32(end_id)) for e in got]
     per_text = [t.encode("utf-8", "replace").split() if t else [] for t in texts]   # the six ASCII blanks
     words = list(chain.from_iterable(per_text))
     if not words:
