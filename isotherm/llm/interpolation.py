@@ -102,13 +102,15 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _small(x: np.ndarray) -> bytes:
+    """Counts, four bytes each while all fit, else eight; the first byte says which."""
     import zlib
-    return zlib.compress(x.astype("<u4").tobytes(), 1)
+    kind = "<u4" if int(x.max(initial=0)) < 1 << 32 else "<u8"
+    return kind[2:].encode() + zlib.compress(x.astype(kind).tobytes(), 1)
 
 
 def _large(b: bytes) -> np.ndarray:
     import zlib
-    return np.frombuffer(zlib.decompress(b), "<u4")
+    return np.frombuffer(zlib.decompress(b[1:]), f"<u{b[:1].decode()}")
 
 
 def requests(blocks: DataFrame, parts: int) -> DataFrame:

@@ -10,10 +10,12 @@ ids) is reranked by exact cosine in double precision.
 The pivots are a bounded sample (``PIVOTS`` vectors of smallest id hash); every vector is indexed.
 Queries meet shards in blocks of bounded size, and only each block's best rows leave the task.
 
-Cases: vectors that are NULL, all zero, of another length than most, or that hold NULL or
-non-finite components take no part; an id that repeats is indexed once (its smallest vector
-hash); equal scores go to the smaller id; with fewer candidates than ``k`` all are returned; a
-NULL id takes no part; empty tables give an empty result; other columns are not read.
+Cases: vectors that are NULL, all zero, or that hold NULL or non-finite components take no part, nor
+do those of another length than most, with which no cosine is defined, or of a NULL id.  Every other
+row is indexed: rows of one id are candidates each for itself, and queries each for itself; a row is
+left out of its own query only.  Equal scores go to the smaller id, then to the row read first; with
+fewer candidates than ``k`` all are returned; empty tables give an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -45,15 +47,15 @@ def _orders(unit: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
 
 
 def index(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, np.ndarray]:
-    """The valid vectors (id, vec), one row an id, and the pivots."""
+    """The valid vectors (row, id, vec), one for every row, and the pivots."""
     v = F.col(vec_col).cast("array<double>")
     good = vectors.select(F.col(id_col).alias("id"), v.alias("vec")).where("id is not null").where(usable(F.col("vec")))
-    good = stage(good.groupBy("id").agg(F.min_by("vec", F.xxhash64("vec")).alias("vec")), "vectors")
+    good = stage(good.select(F.monotonically_increasing_id().alias("row"), "id", "vec"), "vectors")
     lengths = good.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if lengths is None:
         return good, np.zeros((0, 0))
     good = good.where(F.size("vec") == lengths.n)
-    picked = good.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()         # bounded
+    picked = good.orderBy(F.xxhash64("id"), "id", F.xxhash64("vec")).limit(PIVOTS).collect()    # bounded
     return good, _unit([r.vec for r in picked])
 
 
@@ -66,17 +68,17 @@ def search(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: i
     asked = good.where(is_query)
     rows, queries = good.count(), asked.count()
     shards, blocks = parts_for(rows, SHARD_ROWS), parts_for(queries, BLOCK_QUERIES)
-    place = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks)).cast("int")
-    left = good.select("id", "vec", place.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = asked.select("id", "vec", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    place = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).cast("int")
+    block = F.pmod(F.xxhash64("row", F.lit(2)), F.lit(blocks)).cast("int")
+    left = good.select("row", "id", "vec", place.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    right = asked.select("row", "id", "vec", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
 
     def run(mine: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "id": [], "score": []})
+        empty = pd.DataFrame({"query": [], "query_id": [], "row": [], "id": [], "score": []})
         if not len(mine) or not len(ask):
             return empty
-        mine, ask = mine.sort_values("id"), ask.sort_values("id")
-        ids, raw = mine["id"].to_numpy(), np.array(mine["vec"].tolist(), np.float64)
+        mine, ask = mine.sort_values(["id", "row"]), ask.sort_values(["id", "row"])
+        ids, rows_, raw = mine["id"].to_numpy(), mine["row"].to_numpy(), np.array(mine["vec"].tolist(), np.float64)
         norms = np.sqrt((raw * raw).sum(axis=1))
         order = _orders(raw / norms[:, None], pivots, prefix)
         # inverted files: postings (row, place) sorted by pivot
@@ -89,20 +91,22 @@ def search(vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: i
         qorder = _orders(_unit(ask["vec"].tolist()), pivots, prefix)
         number = np.arange(len(ids), dtype=np.int64)
         out = []
-        for q, (qid, x) in enumerate(zip(ask["id"].to_numpy(), qraw)):
+        for q, (qrow, qid, x) in enumerate(zip(ask["row"].to_numpy(), ask["id"].to_numpy(), qraw)):
             foot = np.zeros(len(ids), np.int32)                     # footrule up to a constant
             for spot, p in enumerate(qorder[q]):
                 s = slice(edge[p], edge[p + 1])
                 foot[row[s]] += np.abs(at[s] - spot) - (prefix - spot) - (prefix - at[s])
             key = foot.astype(np.int64) * len(ids) + number         # ties to smaller ids
             near = np.argpartition(key, take - 1)[:take] if take < len(ids) else number
-            near = near[ids[near] != qid]
+            near = near[rows_[near] != qrow]
             score = (raw[near] * x).sum(axis=1) / (norms[near] * np.sqrt((x * x).sum()))
-            best = np.lexsort((ids[near], -score))[:k]
-            out.append(pd.DataFrame({"query_id": qid, "id": ids[near[best]], "score": score[best]}))
+            best = np.lexsort((rows_[near], ids[near], -score))[:k]
+            out.append(pd.DataFrame({"query": qrow, "query_id": qid, "row": rows_[near[best]], "id": ids[near[best]],
+                                     "score": score[best]}))
         return pd.concat(out)
 
-    schema = f"query_id {dict(good.dtypes)['id']}, id {dict(good.dtypes)['id']}, score double"
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(run, schema)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    kind = dict(good.dtypes)["id"]
+    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(
+        run, f"query long, query_id {kind}, row long, id {kind}, score double")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "id", "row")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
