@@ -22,6 +22,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionMode
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from isotherm.operators.forest import HISTOGRAM_MB
 from isotherm.session import cut_lineage
 
 #: Rounds between two checkpoints of the scores.
@@ -39,7 +40,7 @@ class Boosted:
 def _tree(rows: DataFrame, seed: int, depth: int, row_share: float, feature_share: float) -> DecisionTreeRegressionModel:
     one = RandomForestRegressor(featuresCol="features", labelCol="__residual", numTrees=1, maxDepth=depth, bootstrap=False,
                                 subsamplingRate=row_share, featureSubsetStrategy=str(feature_share), seed=seed,
-                                maxMemoryInMB=1024)
+                                maxMemoryInMB=HISTOGRAM_MB)
     return one.fit(rows).trees[0]
 
 

@@ -16,6 +16,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from isotherm.operators.forest import HISTOGRAM_MB, Forest, fit_forest
 from isotherm.operators.sampling import hash_bucket
 from isotherm.session import cut_lineage
 
@@ -66,16 +67,15 @@ def with_missing_indicators(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 
 
 def fit(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, kind: str = "linear",
-        **params) -> PipelineModel:
-    """Fit preprocessing + one regressor: ``linear`` (OLS) or ``forest`` (ML-02, ML-04)."""
+        **params) -> PipelineModel | Forest:
+    """Fit preprocessing + one regressor: ``linear`` (OLS) or ``forest`` (ML-02, ML-04; in parts)."""
     if kind == "linear":
         est = LinearRegression(featuresCol="features", labelCol=target, regParam=params.get("regParam", 0.0))
     elif kind == "forest":
-        est = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=params.get("numTrees", 100),
-                                    maxDepth=params.get("maxDepth", 18), minInstancesPerNode=params.get("minLeaf", 5),
-                                    featureSubsetStrategy=params.get("featureSubsetStrategy", "auto"),
-                                    subsamplingRate=params.get("subsamplingRate", 1.0), seed=42,
-                                    maxMemoryInMB=params.get("maxMemoryInMB", 2048), cacheNodeIds=True)
+        prep = fit_preprocessing(df, numeric, categorical)
+        return fit_forest(predict(prep, df, numeric).select("features", target), target, prep, trees=params.get("numTrees", 100),
+                          depth=params.get("maxDepth", 18), min_leaf=params.get("minLeaf", 5),
+                          feature_share=params.get("featureSubsetStrategy", "auto"), row_share=params.get("subsamplingRate", 1.0))
     else:
         raise ValueError(kind)
     pipe = Pipeline(stages=[*preprocessing(numeric, categorical, frequent=most_frequent(df, categorical)), est])
@@ -171,7 +171,7 @@ def exploratory_importance(df: DataFrame, features: Sequence[str], target: str,
     vector = VectorAssembler(inputCols=list(features), outputCol="features").transform(data).select("features", target)
     forest = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth,
                                    minInstancesPerNode=min_leaf, featureSubsetStrategy="all", seed=42,
-                                   maxMemoryInMB=1024).fit(cut_lineage(vector))
+                                   maxMemoryInMB=HISTOGRAM_MB).fit(cut_lineage(vector))
     used = data.count()
     return df.sparkSession.createDataFrame(
         [(f, float(v), used) for f, v in zip(features, forest.featureImportances.toArray(), strict=True)],
