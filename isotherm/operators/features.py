@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,6 +97,38 @@ def split_columns(year: str, train_end: int, validation_end: int) -> list[Column
     return [lab.alias("data_split"), (F.col(year) <= train_end).alias("is_train_period")]
 
 
+def _whole(cols: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+
+
+def with_climatology(rows: DataFrame, levels_of: DataFrame, target: str, train_end: int, validation_end: int,
+                     location: Sequence[str] = LOCATION) -> DataFrame:
+    """``rows`` (location, year, month, month_index, target) with latitude_zone, data_split, is_train_period,
+    loc_month_climatology and loc_climatology_imputed (see ``climatology``).
+
+    The location's own train means are windows over its rows, not a join, so rows that lie by location
+    are not shuffled again; zone and month means (48 and 12 rows) are aggregated from ``levels_of``, the
+    same rows before any window."""
+    loc = list(location)
+    zone = latitude_zone(F.abs("latitude")).alias("latitude_zone")
+    train = levels_of.where(F.col("year") <= train_end).select("month", target, zone)
+    zm_fixed = train.groupBy("latitude_zone", "month").agg(F.avg(target).alias("__zmf"))
+    gm_fixed = train.groupBy("month").agg(F.avg(target).alias("__gmf"))
+    is_train = F.col("is_train_period")
+    d = rows.select("*", zone, *split_columns("year", train_end, validation_end))
+    lm_mean, _, _ = past_only_stats(target, loc + ["month"])
+    l_mean, _, _ = past_only_stats(target, loc)
+    lm_fixed = F.avg(F.when(is_train, F.col(target))).over(Window.partitionBy(*loc, "month"))
+    # the windows by location come first: their exchange serves those by location and month as well
+    d = (d.withColumn("__l", l_mean).withColumn("__lm", lm_mean).withColumn("__lmf", F.when(_whole([*loc, "month"]), lm_fixed))
+         .join(F.broadcast(zm_fixed), ["latitude_zone", "month"], "left").join(F.broadcast(gm_fixed), ["month"], "left"))
+    value = F.when(is_train, F.coalesce("__lm", "__l")).otherwise(
+        F.coalesce("__lmf", "__zmf", "__gmf"))
+    imputed = F.when(is_train, F.col("__lm").isNull()).otherwise(F.col("__lmf").isNull())
+    return (d.withColumn("loc_month_climatology", value).withColumn("loc_climatology_imputed", imputed)
+            .drop("__lm", "__lmf", "__l", "__zmf", "__gmf"))
+
+
 def climatology(df: DataFrame, target: str, train_end: int, validation_end: int,
                 location: Sequence[str] = LOCATION) -> DataFrame:
     """loc_month_climatology with two regimes (FEA-09, FEA-11, JON-16):
@@ -105,50 +138,49 @@ def climatology(df: DataFrame, target: str, train_end: int, validation_end: int,
     * later rows: the fixed train mean of (location, month); else zone-month; else
       global-month (train means).
 
-    ``loc_climatology_imputed`` is true when the first level did not provide the value.
+    ``loc_climatology_imputed`` is true when the first level did not provide the value.  The rows are
+    shuffled once, by location.
     """
     loc = list(location)
-    d = with_month_index(df).withColumn("latitude_zone", latitude_zone(F.abs("latitude")))
-    d = d.select(*loc, "observation_date", "year", "month", "month_index", "latitude_zone", target,
-                 *split_columns("year", train_end, validation_end))
-    lm_mean, _, _ = past_only_stats(target, loc + ["month"])
-    l_mean, _, _ = past_only_stats(target, loc)
-    d = d.withColumn("__lm", lm_mean).withColumn("__l", l_mean)
-    train = d.where("is_train_period")
-    zm_fixed = train.groupBy("latitude_zone", "month").agg(F.avg(target).alias("__zmf"))
-    gm_fixed = train.groupBy("month").agg(F.avg(target).alias("__gmf"))
-    lm_fixed = train.groupBy(*loc, "month").agg(F.avg(target).alias("__lmf"))
-    j = (d.join(zm_fixed, ["latitude_zone", "month"], "left")
-         .join(F.broadcast(gm_fixed), ["month"], "left")  # 12 rows
-         .join(lm_fixed, loc + ["month"], "left"))
-    is_train = F.col("is_train_period")
-    value = F.when(is_train, F.coalesce("__lm", "__l")).otherwise(
-        F.coalesce("__lmf", "__zmf", "__gmf"))
-    imputed = F.when(is_train, F.col("__lm").isNull()).otherwise(F.col("__lmf").isNull())
-    return j.select(*loc, "observation_date", "month_index", "data_split", "is_train_period", "latitude_zone",
-                    target, value.alias("loc_month_climatology"), imputed.alias("loc_climatology_imputed"))
+    d = with_month_index(df).select(*loc, "observation_date", "year", "month", "month_index", target)
+    return with_climatology(d, d, target, train_end, validation_end, loc).select(
+        *loc, "observation_date", "month_index", "data_split", "is_train_period", "latitude_zone",
+        target, "loc_month_climatology", "loc_climatology_imputed")
 
 
-def location_stats(df: DataFrame, target: str, train_end: int, location: Sequence[str] = LOCATION) -> DataFrame:
-    """loc_mean_temperature / loc_temperature_std: past-only in train; later the location's train
-    values, else its latitude zone's, else the train values of all rows, each on its own (FEA-12)."""
+def with_location_stats(rows: DataFrame, levels_of: DataFrame, target: str, train_end: int,
+                        location: Sequence[str] = LOCATION) -> DataFrame:
+    """``rows`` with loc_mean_temperature, loc_temperature_std (see ``location_stats``) and ``__n``, the past rows'
+    count; windows over a location's rows, as in ``with_climatology``."""
     loc = list(location)
-    d = with_month_index(df).select(*loc, "observation_date", "year", "month_index", target,
-                                    latitude_zone(F.abs("latitude")).alias("__zone"))
-    m, s, n = past_only_stats(target, loc)
-    train = d.where(F.col("year") <= train_end)
+    zone = latitude_zone(F.abs("latitude")).alias("__zone")
+    train = levels_of.where(F.col("year") <= train_end).select(target, zone)
 
     def level(suffix, *keys):
         return train.groupBy(*keys).agg(F.avg(target).alias(f"__m{suffix}"), F.stddev_samp(target).alias(f"__s{suffix}"))
-    d = d.withColumn("__m", m).withColumn("__s", s).withColumn("__n", n)
-    j = (d.join(level("f", *loc), loc, "left").join(F.broadcast(level("z", "__zone")), "__zone", "left")  # four zones
-         .crossJoin(F.broadcast(level("g"))))
     is_train = F.col("year") <= train_end
-    return j.select(*loc, "observation_date", "month_index", "__n",
+    m, s, n = past_only_stats(target, loc)
+    own, known = F.when(is_train, F.col(target)), _whole(loc)
+    whole = Window.partitionBy(*loc)
+    j = (rows.select("*", zone, m.alias("__m"), s.alias("__s"), n.alias("__n"), F.when(known, F.avg(own).over(whole)).alias("__mf"),
+                     F.when(known, F.stddev_samp(own).over(whole)).alias("__sf"))
+         .join(F.broadcast(level("z", "__zone")), "__zone", "left")  # four zones
+         .crossJoin(F.broadcast(level("g"))))
+    return j.select(*rows.columns, "__n",
                     F.when(is_train, F.col("__m")).otherwise(F.coalesce("__mf", "__mz", "__mg")).alias("loc_mean_temperature"),
                     F.when(is_train, F.col("__s")).otherwise(F.coalesce("__sf", "__sz", "__sg")).alias("loc_temperature_std"))
 
 
+def location_stats(df: DataFrame, target: str, train_end: int, location: Sequence[str] = LOCATION) -> DataFrame:
+    """loc_mean_temperature / loc_temperature_std: past-only in train; later the location's train
+    values, else its latitude zone's, else the train values of all rows, each on its own (FEA-12).
+    The rows are shuffled once, by location."""
+    loc = list(location)
+    d = with_month_index(df).select(*loc, "observation_date", "year", "month_index", target)
+    return with_location_stats(d, d, target, train_end, loc).select(
+        *loc, "observation_date", "month_index", "__n", "loc_mean_temperature", "loc_temperature_std")
+
+
 def leave_one_out_levels(df: DataFrame, target: str, train_end: int, location: Sequence[str] = LOCATION) -> DataFrame:
     """FEA-10, WIN-05, WIN-06: statistics of the train rows that leave a train row's own target out.
 

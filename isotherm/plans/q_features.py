@@ -205,20 +205,17 @@ FEATURE_DOUBLES = [TARGET, "month_sin", "month_cos", "climatic_month_sin", "clim
 
 
 def feature_frame(spark, sf) -> DataFrame:
+    """Every clean row with its features: one shuffle by location, all statistics are windows after it."""
     def build():
-        c = clean_frame(spark, sf)
-        base = fe.with_month_index(c).select(*LOC, "observation_date", "year", "month", "month_index", TARGET)
-        base = fe.cyclic_features(base)
+        c = fe.with_month_index(clean_frame(spark, sf)).select(*LOC, "observation_date", "year", "month", "month_index", TARGET)
+        start = c.agg(F.min("year")).first()[0]
         mean12, std12 = fe.trailing_stats(TARGET, LOC, 12, 6)
-        base = base.select("*", fe.calendar_lag(TARGET, 1, LOC).alias("temp_lag_1"),
-                           fe.calendar_lag(TARGET, 12, LOC).alias("temp_lag_12"),
-                           mean12.alias("temp_roll_mean_12"), std12.alias("temp_roll_std_12"))
-        clim = climatology_frame(spark, sf).select(*LOC, "observation_date", "loc_month_climatology",
-                                                   "loc_climatology_imputed", "data_split", "is_train_period")
-        stats = fe.location_stats(c, TARGET, TRAIN_END).select(*LOC, "observation_date", "loc_mean_temperature",
-                                                                "loc_temperature_std")
-        key = LOC + ["observation_date"]
-        out = base.join(clim, key).join(stats, key)
+        base = c.select("*", fe.calendar_lag(TARGET, 1, LOC).alias("temp_lag_1"),
+                        fe.calendar_lag(TARGET, 12, LOC).alias("temp_lag_12"),
+                        mean12.alias("temp_roll_mean_12"), std12.alias("temp_roll_std_12"))
+        base = fe.with_location_stats(base, c, TARGET, TRAIN_END)
+        base = fe.with_climatology(base, c, TARGET, TRAIN_END, VALIDATION_END)
+        out = fe.cyclic_features(base, start_year=start)
         out = out.withColumn("temp_anomaly_lag_12", F.col("temp_lag_12") - F.col("loc_month_climatology"))
         return out.select(*LOC, "observation_date", "year", "month", TARGET, *FEATURE_COLUMNS, "data_split",
                           "is_train_period")

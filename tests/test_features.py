@@ -78,3 +78,26 @@ def test_cyclic_features_use_climatic_angle(spark):
     r = fe.cyclic_features(s).where("city_name = 'B'").first()
     assert r.climatic_month == 9 and r.years_since_start == 0
     assert abs(r.abslat_x_month_sin - 20.0 * r.climatic_month_sin) < 1e-12
+
+
+def test_climatology_and_location_stats_share_one_shuffle_of_the_rows(spark):
+    """Statistics of a location are windows over its rows: the only exchange of whole rows is by location."""
+    rows = _series(spark).withColumns({"year": F.year("observation_date"), "month": F.month("observation_date")})
+    for out in (fe.climatology(rows, "t", 2000, 2000), fe.location_stats(rows, "t", 2000)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan
+        assert sum("city_name" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line) == 1
+
+
+def test_train_means_of_a_location_with_and_without_train_rows(spark):
+    rows = _series(spark).unionByName(spark.createDataFrame(
+        [("D", "Y", 30.0, 2.0, date(2001, 1, 1), 50.0), (None, "Y", 30.0, 2.0, date(2000, 1, 1), 8.0),
+         (None, "Y", 30.0, 2.0, date(2001, 1, 1), 9.0)], "city_name string, country_name string, latitude double, longitude double, "
+        "observation_date date, t double")).withColumns({"year": F.year("observation_date"), "month": F.month("observation_date")})
+    later = {r.city_name: r for r in fe.climatology(rows, "t", 2000, 2000).where("data_split = 'test'").collect()}
+    assert later["C"].loc_month_climatology == 10.0 and not later["C"].loc_climatology_imputed
+    zone = (10.0 + 8.0) / 2                                    # January of 23.5 to 35 degrees: C and the unnamed one
+    assert later["D"].loc_month_climatology == zone and later["D"].loc_climatology_imputed
+    assert later[None].loc_month_climatology == zone and later[None].loc_climatology_imputed   # a NULL key is no location
+    stats = {(r.city_name, r.observation_date.year): r for r in fe.location_stats(rows, "t", 2000).collect()}
+    assert stats[("C", 2001)].loc_mean_temperature == 10.0 and stats[("D", 2001)].loc_mean_temperature == zone
