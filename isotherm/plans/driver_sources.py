@@ -78,17 +78,16 @@ def supplier_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "n_nationkey", "n_regionkey"))
 
 
-def monthly_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One scan of lineitem -> (supplier, month) partial sums, counts, min and max.
+#: A supplier with more readings than this is hot: its readings of a month are spread over ``SPREAD`` tasks.
+HOT_READINGS = 1_000_000
+SPREAD = 64
 
-    Every source below is derived from this frame, so lineitem is read and shuffled
-    once; the shuffle carries one partial row per (task, supplier, month).
-    """
-    rows = observation_rows(spark, sf_dir)
+
+def _sums(rows: DataFrame, *keys: str) -> DataFrame:
     keep = F.col("l_returnflag") != "R"
     vk = F.when(keep, F.col("v"))
     uk = F.when(keep, F.col("u"))
-    return rows.groupBy("l_suppkey", "dt").agg(
+    return rows.groupBy(*keys).agg(
         F.sum("v").alias("sv"), F.count("v").alias("nv"), F.min("v").alias("minv"), F.max("v").alias("maxv"),
         F.sum("u").alias("su"), F.count("u").alias("nu"), F.sum(F.col("u") * F.col("u")).alias("suu"),
         F.sum("d").alias("sd"), F.count("d").alias("nd"), F.sum(F.col("d") * F.col("d")).alias("sdd"),
@@ -97,6 +96,35 @@ def monthly_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.when(keep, F.lit(1))).alias("n_k"))
 
 
+def monthly_partials(spark: SparkSession, sf_dir: str, hot_readings: int = HOT_READINGS) -> DataFrame:
+    """lineitem -> (supplier, month) partial sums, counts, min and max.
+
+    Every source below is derived from this frame, so lineitem is shuffled once.  A supplier has few
+    readings a month, so sums before the shuffle would hold about as many groups as rows, each four
+    times as wide, and spill; the readings' own columns are shuffled instead and summed where they
+    arrive.  The readings of a hot supplier (one column's count tells) are spread over tasks and their
+    sums added up, so none is a single task's work."""
+    li = table(spark, sf_dir, "lineitem")
+    hot = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_readings).select(
+        F.col("l_suppkey").alias("__hot"))
+    slim = ["l_suppkey", "dt", "l_returnflag", "price", "d", "u"]
+    rows = li.select("l_suppkey", month_start("l_shipdate").alias("dt"), "l_returnflag", F.col("l_extendedprice").alias("price"),
+                     F.col("l_discount").alias("d"), F.col("l_tax").alias("u"), "l_orderkey", "l_linenumber")
+
+    def readings(placed: DataFrame) -> DataFrame:
+        return placed.withColumn("v_all", value_expr("price")).withColumn("v", F.when(F.col("d") != 0, F.col("v_all")))
+    if hot.isEmpty():
+        return _sums(readings(rows.select(*slim).repartition("l_suppkey", "dt")), "l_suppkey", "dt")
+    spread = F.when(F.col("__hot").isNotNull(), F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(SPREAD))).otherwise(0)
+    # hot suppliers: fewer than the readings / hot_readings
+    placed = (rows.join(F.broadcast(hot), F.col("l_suppkey").eqNullSafe(F.col("__hot")), "left")
+              .select(*slim, spread.alias("__spread")).repartition("l_suppkey", "dt", "__spread"))
+    parts = _sums(readings(placed), "l_suppkey", "dt", "__spread")
+    return parts.groupBy("l_suppkey", "dt").agg(
+        *[(F.min if c == "minv" else F.max if c == "maxv" else F.sum)(c).alias(c) for c in parts.columns
+          if c not in ("l_suppkey", "dt", "__spread")])
+
+
 def _ratio(s: str, n: str) -> F.Column:
     return F.col(s) / F.nullif(F.col(n), F.lit(0))
 
