@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from isotherm.functions.safe import negative_to_null
 from isotherm.operators.quality import calendar_consistency
 from isotherm.operators.quantiles import iqr_fences
+from isotherm.session import written
 
 BUSINESS_KEY = ["observation_date", "city_name", "country_name", "latitude", "longitude"]
 MATCH_COLUMNS = ["country_matched", "global_matched", "major_city_matched"]
@@ -73,7 +74,7 @@ def clean(enriched: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
     df = keep_first(df, spec.key)
     df = df.where(domain_ok(spec.domain))
     df = df.select(*[negative_to_null(c).alias(c) if c in spec.uncertainty else F.col(c) for c in df.columns])
-    df = availability_flags(df)
+    df = written(availability_flags(df), "clean-rows")  # read twice: the duplicates are found once
     fences = iqr_fences(df, spec.target, spec.iqr_k)  # one row: cross join is a broadcast
     t = F.col(spec.target)
     return (df.crossJoin(F.broadcast(fences.select("lower_fence", "upper_fence")))

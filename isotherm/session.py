@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,3 +68,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder as Parquet and read back: what reads it several times
+    computes it once and prunes its columns."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
