@@ -27,3 +27,11 @@ def test_hot_suppliers_give_the_same_sums(spark):
             for c in r.asDict():
                 a, b = r[c], other[k][c]
                 assert a == b or abs(a - b) <= 1e-9 * abs(a), (k, c, a, b)
+
+
+def test_clean_looks_for_duplicates_once(spark):
+    """The table and its fences read the rows written after the duplicates were removed."""
+    from isotherm.operators import clean as cl
+    from isotherm.plans.driver_star import build_star
+    plan = cl.clean(build_star(spark, SF).enriched())._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" not in plan and "clean-rows-" in plan
