@@ -19,6 +19,7 @@ an order fixed by their texts' crc32; a NULL ``doc_id`` comes after all others;
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import zlib
@@ -33,10 +34,16 @@ from pyspark.sql import functions as F
 from isotherm.llm.common import parts_for, ship, stage
 
 MAGIC, BLOCK = b"WVM1", 512
-SHARD_TOKENS, RANGE_BYTES, MEMO = 500_000, 24_000_000, 150_000
-#: Punctuation that ends a piece after a to z: a token run of its own.  Other letters can turn into a
-#: letter and a mark when the tokenizer normalises them, which then joins the punctuation.
-MARKS = re.compile(r"(?<=[a-z])[!-/:;=-@\[-`{-~]+(?= |$)")
+SHARD_TOKENS, RANGE_BYTES, MEMO, GROUP_BYTES = 500_000, 15_000_000, 150_000, 20_000_000
+#: Words that the tokenizer may normalise by more than lower-casing them, or that may hold a special token: all but
+#: printable ASCII (``<`` begins the special tokens) and the letters of Latin-1.
+OTHER = re.compile(r"[^ -;=-~À-ÖØ-öø-ÿ]")
+#: The file's pattern on all other words, lowered: their pieces, and the blanks between the words.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]| |[^ a-z0-9ß-öø-ÿ]+")
+#: Calls of 400 pieces the library answers at once; its answers take some 100 bytes an id.
+AT_ONCE = 20
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
 #: The rules that pieces rely on, as the vocabulary file states them.  Another file is encoded whole.
 NORMALISES = {"type": "Sequence", "normalizers": [
@@ -50,50 +57,49 @@ _CODERS: dict[str, Coder] = {}
 
 
 class Coder:
-    """A tokenizer with a memo of blank-separated pieces; one per worker process.
+    """A tokenizer with a memo of pieces; one per worker process.
 
-    The vocabulary's tokenizer drops white space and never joins across it, so a text's ids are
-    those of its pieces; a letter from a to z and the punctuation that follows it are parted as well.
-    ``codes`` maps a piece, as bytes, to a number whose ids are ``flat[start: start + size]``.  A memo
-    of ``MEMO`` pieces is cut to those used again since the last cut, so its memory is bounded."""
+    The vocabulary's tokenizer drops white space and never joins across it, so a text's ids are those
+    of its words; a word's are those of the pieces that the file's pattern parts it into.  Words that
+    are normalised by more than lower-casing are pieces as they stand, for the whole tokenizer.
+    ``codes`` maps a piece to a number whose ids are ``flat[start: start + size]``.  A memo of more
+    than ``MEMO`` pieces is cut to the most used, so its memory is bounded."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")       # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
         self.by_piece = rules["normalizer"] == NORMALISES and rules["pre_tokenizer"] == SPLITS
-        self.whole = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
-        self.lowered = None, pre_tokenizers.WhitespaceSplit()           # the same, for words of a to z
+        self.bare = Tokenizer(self.tokenizer.model)                    # the same, for pieces of lowered words
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)     # ids that end a word
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)     # ids that end a piece
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.codes: dict[bytes, int] = {}
-        self.cores: dict[str, int] = {}                                # piece without marks -> place in spans
+        self.codes: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
         self.spans = np.zeros((1 << 17, 2), np.int64)                   # start, size by number
         self.uses = np.zeros(1 << 17, np.int64)
         self.count = 0
+        self._add([" "], np.zeros(0, np.int64), np.zeros(1, np.int64))
 
     def cut(self) -> None:
         """Keep the pieces that were used twice or more since the last cut, at most half the memo."""
-        words = list(self.codes)
-        numbers = np.fromiter(self.codes.values(), np.int64, len(words))
-        uses = self.uses[numbers]
+        pieces = list(self.codes)[1:]
+        numbers = np.arange(1, self.count)
+        uses = self.uses[1: self.count]
         keep = np.flatnonzero(uses > 1)
         keep = keep[np.argsort(-uses[keep], kind="stable")[: MEMO // 2]]
-        if not len(keep):
-            return self.clear()
         ids, sizes = self._gather(numbers[keep])
         self.clear()
-        first = self._add(ids, sizes)
-        self.codes = dict(zip([words[k] for k in keep.tolist()], range(first, first + len(keep))))
+        self._add([pieces[k] for k in keep.tolist()], ids, sizes)
 
-    def _add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
-        """Store pieces' ids one after the other; returns the first one's number."""
+    def _add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Store new pieces' ids one after the other."""
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.count + len(sizes) > len(self.spans):
@@ -102,95 +108,116 @@ class Coder:
         self.flat[self.used: self.used + len(ids)] = ids
         rows = self.spans[self.count: self.count + len(sizes)]
         rows[:, 0], rows[:, 1] = self.used + np.cumsum(sizes) - sizes, sizes
-        first, self.count, self.used = self.count, self.count + len(sizes), self.used + len(ids)
-        return first
-
-    def _words(self, texts: list[str]) -> tuple[int, list[int]]:
-        """Encode pieces that are one word each to the tokenizer, many to a call, told apart by the ids
-        that end a word; returns the first one's number, and the texts of calls that do not part so."""
-        ids, sizes, odd = [], [], []
-        for lo in range(0, len(texts), 400):
-            part = texts[lo: lo + 400]
-            got = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.int64)
-            ends = np.flatnonzero(self.closes[got]) + 1
-            if len(ends) != len(part) or ends[-1] != len(got):          # letters by another Unicode table
-                odd += range(lo, lo + len(part))
-                got, ends = np.zeros(0, np.int64), np.zeros(len(part), np.int64)
-            ids.append(got)
-            sizes.append(np.diff(ends, prepend=0))
-        return self._add(np.concatenate(ids), np.concatenate(sizes)) if ids else self.count, odd
-
-    def _encode(self, texts: list[str]) -> None:
-        """Encode pieces that ``cores`` lacks."""
-        letters = [t for t in texts if t.isalpha()]
-        rest = [t for t in texts if not t.isalpha()]
-        first, odd = self._words(letters)
-        self.cores.update(zip(letters, range(first, first + len(letters))))
-        for t in rest + [letters[k] for k in odd]:
-            ids = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.int64)
-            self.cores[t] = self._add(ids, np.array([len(ids)]))
+        self.codes.update(zip(pieces, range(self.count, self.count + len(sizes))))
+        self.count, self.used = self.count + len(sizes), self.used + len(ids)
 
     def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the numbered pieces in a row, and their sizes."""
         start, size = self.spans[numbers].T
-        ends = np.cumsum(size)
-        return self.flat[np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)], size
-
-    def learn(self, words: list[bytes]) -> None:
-        easy = [w for w in words if w.isalpha()]                        # A to Z and a to z alone
-        if easy:
-            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.lowered
-            first, odd = self._words(b" ".join(easy).lower().decode().split(" "))
-            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.whole
-            self.codes.update(zip(easy, range(first, first + len(easy))))
-            words = [w for w in words if not w.isalpha()] + [easy[k] for k in odd]
-        if not words:
-            return
-        plain = [w for w in words if b"<" not in w]                     # special tokens begin with it
-        # A to Z may be lowered first where no mark can follow that would join the capital
-        texts = b" ".join([w.lower() if w.isascii() else w for w in plain]).decode().split(" ") if plain else []
-        cores = MARKS.sub("", " ".join(texts)).split(" ") if plain else []
-        odd = [w for w in words if b"<" in w]
-        ended = [k for k, (c, t) in enumerate(zip(cores, texts)) if len(c) != len(t)]
-        tails = [texts[k][len(cores[k]):] for k in ended]
-        cores += [w.decode() for w in odd]
-        self._encode(list(dict.fromkeys(p for p in chain(cores, set(tails)) if p not in self.cores)))
-        number = np.fromiter(map(self.cores.__getitem__, cores), np.int64, len(cores))
-        if ended:
-            marks = np.fromiter(map(self.cores.__getitem__, tails), np.int64, len(tails))
-            ids, sizes = self._gather(np.stack([number[ended], marks], axis=1).ravel())
-            number[ended] = self._add(ids, sizes.reshape(-1, 2).sum(axis=1)) + np.arange(len(ended))
-        self.codes.update(zip(plain + odd, number.tolist()))
-
-    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in a row, and the end of each word's."""
-        if len(self.codes) > MEMO:
-            self.cut()
-        code = np.fromiter(map(self.codes.get, words, repeat(-1)), np.int64, len(words))
+        return spread(self.flat, start, size), size
+
+    def _numbers(self, pieces: list[str], encode) -> np.ndarray:
+        """Every piece's number; ``encode`` stores the ones that are not there."""
+        code = np.fromiter(map(self.codes.get, pieces, repeat(-1)), np.int64, len(pieces))
         new = np.flatnonzero(code < 0).tolist()
         if new:
-            lacking = [words[k] for k in new]
-            self.learn(list(dict.fromkeys(lacking)))
+            lacking = [pieces[k] for k in new]
+            encode(list(dict.fromkeys(lacking)))
             code[new] = list(map(self.codes.__getitem__, lacking))
         self.uses[: self.count] += np.bincount(code, minlength=self.count)
-        ids, size = self._gather(code)
-        return ids, np.cumsum(size)
+        return code
+
+    def _lowered(self, pieces: list[str]) -> None:
+        self._closed(pieces, lambda calls: self.bare.encode_batch_fast(calls, is_pretokenized=True, add_special_tokens=False))
+
+    def _as_they_stand(self, pieces: list[str]) -> None:
+        whole = self.tokenizer.encode_batch_fast
+        self._closed([p for p in pieces if p.isalpha()],
+                     lambda calls: whole([" ".join(c) for c in calls], add_special_tokens=False))
+        self._singly([p for p in pieces if not p.isalpha()])
+
+    def _closed(self, pieces: list[str], encode) -> None:
+        """Encode pieces that the tokenizer does not part, many to a call, told apart by the ids that end one."""
+        calls = [pieces[lo: lo + 400] for lo in range(0, len(pieces), 400)]
+        for lo in range(0, len(calls), AT_ONCE):
+            for part, got in zip(calls[lo: lo + AT_ONCE], encode(calls[lo: lo + AT_ONCE])):
+                ids = np.array(got.ids, np.int64)
+                ends = np.flatnonzero(self.closes[ids]) + 1
+                if len(ends) == len(part) and ends[-1] == len(ids):
+                    self._add(part, ids, np.diff(ends, prepend=0))
+                else:                                                   # letters by another Unicode table
+                    self._singly(part)
+
+    def _singly(self, pieces: list[str]) -> None:
+        for lo in range(0, len(pieces), 400 * AT_ONCE):
+            part = pieces[lo: lo + 400 * AT_ONCE]
+            each = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            self._add(part, np.array(list(chain.from_iterable(each)), np.int64), np.array([len(i) for i in each]))
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and the size of each word's."""
+        if self.count > MEMO:
+            self.cut()
+        joined = " ".join(words)
+        other = [k for k, w in enumerate(words) if OTHER.search(w)] if OTHER.search(joined) else []
+        if not other:
+            number = self._numbers(PIECES.findall(joined.lower() + " "), self._lowered)
+        else:
+            kept = list(words)
+            for k in other:
+                kept[k] = ""
+            number = self._numbers(PIECES.findall(" ".join(kept).lower() + " "), self._lowered)
+            closes = np.flatnonzero(number == 0)[other]                 # the blanks after them
+            number = np.insert(number, closes, self._numbers([words[k] for k in other], self._as_they_stand))
+        ids, sizes = self._gather(number)
+        return ids, np.diff(np.cumsum(sizes)[number == 0], prepend=0)
+
+
+def spread(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs ``flat[start: start + size]`` one after the other."""
+    ends = np.cumsum(size, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    place = np.repeat((start - (ends - size)).astype(kind), size)
+    place += np.arange(total, dtype=kind)
+    return flat[place]
+
+
+def split_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts between the six ASCII blanks, and the number of words up to each text's end."""
+    data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    word = ~BLANK[data]
+    ends = np.flatnonzero(word[:-1] & ~word[1:]) + 1                    # a blank follows every text
+    starts = np.flatnonzero(word[1:] & ~word[:-1]) + 1
+    if len(data) and word[0]:
+        starts = np.concatenate([[0], starts])
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    stops = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
+    words = pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(data[word]))
+    return words, np.searchsorted(ends, stops, "right")
 
 
 def encode_texts(path: str, texts: list[str | None], end_id: int) -> list[np.ndarray]:
-    """Ids of each whole text and the end id."""
+    """Ids of each whole text and the end id.  A word of several texts is encoded once."""
     if path not in _CODERS:
         _CODERS[path] = Coder(path)
     if not _CODERS[path].by_piece:
         got = _CODERS[path].tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
         return [np.append(np.array(e.ids, np.uint32), np.uint32(end_id)) for e in got]
-    per_text = [t.encode("utf-8", "replace").split() if t else [] for t in texts]   # the six ASCII blanks
-    words = list(chain.from_iterable(per_text))
-    if not words:
+    words, upto = split_words([(t or "").encode("utf-8", "replace") for t in texts])
+    if not len(words):
         return [np.array([end_id], np.uint32) for _ in texts]
-    ids, ends = _CODERS[path].ids(words)
-    bounds = np.concatenate([[0], ends])[np.cumsum([0] + [len(p) for p in per_text])]
-    return [np.append(ids[lo:hi], np.uint32(end_id)) for lo, hi in zip(bounds[:-1], bounds[1:])]
+    coded = words.dictionary_encode()
+    del words
+    at, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    del coded
+    ids, sizes = _CODERS[path].words(words)
+    at = np.insert(at, upto, len(sizes))                                # the end id is one more word, after each text's
+    del words
+    ids, sizes = np.append(ids, np.uint32(end_id)), np.append(sizes, 1)
+    start, sizes = (np.cumsum(sizes) - sizes).astype(np.int32)[at], sizes.astype(np.int32)[at]
+    stops = np.cumsum(sizes, dtype=np.int64)[upto + np.arange(len(upto))]
+    return np.split(spread(ids, start, sizes), stops[:-1])
 
 
 class Wavelet:
@@ -317,6 +344,22 @@ class Wavelet:
         return ids.astype(np.uint32)
 
 
+def groups(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[tuple[list, list]]:
+    """Ids and texts to encode together: about ``GROUP_BYTES``, told every ``rows`` rows."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            piece = batch.slice(lo, rows)
+            ids += piece.column(0).to_pylist()
+            texts += piece.column(1).to_pylist()
+            size += piece.column(1).nbytes
+            if size >= GROUP_BYTES:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def shards(docs: DataFrame, path: str, end_id: int, shard_tokens: int = SHARD_TOKENS,
            range_bytes: int = RANGE_BYTES, texts_at_once: int = 256) -> DataFrame:
     """(part, seq, n_tokens, payload): the shards, (part, seq) in document order.
@@ -338,16 +381,14 @@ def shards(docs: DataFrame, path: str, end_id: int, shard_tokens: int = SHARD_TO
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([size], pa.int64()),
                  pa.array([payload], pa.binary())], names=["part", "seq", "n_tokens", "payload"])
 
-        for batch in batches:
-            for lo in range(0, batch.num_rows, texts_at_once):
-                piece = batch.slice(lo, texts_at_once)
-                for name, ids in zip(piece.column(0).to_pylist(), encode_texts(path, piece.column(1).to_pylist(), end_id)):
-                    if parts and size + len(ids) > shard_tokens:
-                        yield flush()
-                        names, parts, size, seq = [], [], 0, seq + 1
-                    names.append(name)
-                    parts.append(ids)
-                    size += len(ids)
+        for own, texts in groups(batches, texts_at_once):
+            for name, ids in zip(own, encode_texts(path, texts, end_id)):
+                if parts and size + len(ids) > shard_tokens:
+                    yield flush()
+                    names, parts, size, seq = [], [], 0, seq + 1
+                names.append(name)
+                parts.append(ids)
+                size += len(ids)
         if parts:
             yield flush()
 

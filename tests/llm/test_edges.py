@@ -32,6 +32,24 @@ def test_pieces_encode_like_whole_texts(vocabulary):
         assert ids.tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, 2], repr(text)
 
 
+def test_words_of_latin_letters_encode_like_whole_texts(vocabulary):
+    """All of Latin-1, control characters and contractions, many words to a text."""
+    from tokenizers import Tokenizer
+    rnd = random.Random(5)
+    letters = [chr(c) for c in range(1, 256)] + list("abcXYZéÉßÀ0'<>. ") * 12 + ["'s", "'LL", "e\u0301", "\u0130", "\u4e2d"]
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 60))) for _ in range(4000)]
+    whole = Tokenizer.from_file(vocabulary)
+    for text, ids in zip(texts, wavelet.encode_texts(vocabulary, texts, 2), strict=True):
+        assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 2], repr(text)
+
+
+def test_a_piece_is_encoded_once_whatever_stands_beside_it(vocabulary, monkeypatch):
+    monkeypatch.setattr(wavelet, "_CODERS", {})
+    wavelet.encode_texts(vocabulary, [f"{a}{w}{z}" for w in ("the", "The", "THE", "été", "Été") for a in ("", "(", '"')
+                                      for z in ("", ",", ".", "!", ")", '"')], 2)
+    assert len(wavelet._CODERS[vocabulary].codes) <= 9       # the, été, the marks and the blank
+
+
 def test_memo_that_is_cut_gives_the_same_ids(vocabulary, monkeypatch):
     rnd = random.Random(3)
     texts = [" ".join(rnd.choice(["the", "The", "cat,", "x" * rnd.randint(1, 9), "é!", "a1."]) for _ in range(40)) for _ in range(300)]
