@@ -35,17 +35,21 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
 
 
 def value_positions(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    num_partitions: int | None = None, weight: str | None = None) -> DataFrame:
+                    num_partitions: int | None = None, weight: str | None = None, counted: bool = False) -> DataFrame:
     """Per group and distinct value: ``__v``, its count ``__c``, the 0-based position ``__pos`` of its
     first row in the group's order, and the group's rows ``__n``.  NULL and NaN values are left out, a
-    NULL group is a group.  With ``weight`` each input row stands for that many rows."""
+    NULL group is a group.  With ``weight`` each input row stands for that many rows; ``counted``: ``df`` has
+    one row per group and value already, whose rows ``weight`` counts."""
     g = list(group_cols)
     n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value_col)
-    counted = (df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*g, v.alias("__v"))
-               .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__c")))
+    there = df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
+    if counted:
+        counts = there.select(*g, v.alias("__v"), F.col(weight).alias("__c"))
+    else:
+        counts = there.groupBy(*g, v.alias("__v")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__c"))
     order = [F.col(c).asc_nulls_first() for c in g] + [F.col("__v").asc()]
-    placed = cut_lineage(counted.repartitionByRange(n_parts, *order).withColumn("__part", F.spark_partition_id()))
+    placed = cut_lineage(counts.repartitionByRange(n_parts, *order).withColumn("__part", F.spark_partition_id()))
     per_part = placed.groupBy(*g, "__part").agg(F.sum("__c").alias("__k"))
     # one row per (group, partition it reaches into)
     before = Window.partitionBy(*g).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -62,14 +66,14 @@ def value_positions(df: DataFrame, group_cols: Sequence[str], value_col: str,
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    weight: str | None = None) -> DataFrame:
+                    weight: str | None = None, counted: bool = False) -> DataFrame:
     """One row per group with one column per probability (``q<p*100>`` unless ``names``).
 
     A distinct value meets the probabilities whose positions fall into its run of rows, so one
     grouped aggregate over the value counts gives all quantiles."""
     g = list(group_cols)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    pos = value_positions(df, g, value_col, weight=weight)
+    pos = value_positions(df, g, value_col, weight=weight, counted=counted)
     first, last = F.col("__pos"), F.col("__pos") + F.col("__c") - 1
     cols = []
     for p, name in zip(probs, names, strict=True):

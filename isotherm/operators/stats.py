@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isotherm.operators.moments import CONSTANT, correlation_rows, pair_moments, redundancy_rows
+from isotherm.operators.moments import CONSTANT, PairMoments, correlation_rows, pair_moments, redundancy_rows
 from isotherm.operators.quantiles import average_ranks, exact_quantiles
 from isotherm.session import cut_lineage
 
@@ -31,22 +31,22 @@ def pearson(x: Column, y: Column) -> Column:
 
 
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]],
-                      names: tuple[str, str] = ("feature_a", "feature_b")) -> DataFrame:
+                      names: tuple[str, str] = ("feature_a", "feature_b"), moments: PairMoments | None = None) -> DataFrame:
     """Pairwise-complete r for many column pairs from one pass of mergeable moments; pairs without two
-    complete rows, or with a constant side, get NULL."""
+    complete rows, or with a constant side, get NULL.  ``moments``: those of ``df``, if they are there."""
     cols = list(dict.fromkeys(c for pair in pairs for c in pair))
-    m = pair_moments(df, cols)
+    m = moments or pair_moments(df, cols)
     return df.sparkSession.createDataFrame(correlation_rows(m, pairs), f"{names[0]} string, {names[1]} string, r double")
 
 
-def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def corr_matrix(df: DataFrame, cols: Sequence[str], moments: PairMoments | None = None) -> DataFrame:
     """Upper-triangle pairs (a < b in the given order) with r (AGG-22)."""
-    return pair_correlations(df, list(combinations(cols, 2)))
+    return pair_correlations(df, list(combinations(cols, 2)), moments=moments)
 
 
-def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
+def corr_with_target(df: DataFrame, cols: Sequence[str], target: str, moments: PairMoments | None = None) -> DataFrame:
     """r of each column with the target (AGG-23, FSEL-01 with r2)."""
-    out = pair_correlations(df, [(c, target) for c in cols], ("feature", "__target")).drop("__target")
+    out = pair_correlations(df, [(c, target) for c in cols], ("feature", "__target"), moments).drop("__target")
     return out.withColumn("r2", F.col("r") * F.col("r"))
 
 
@@ -85,21 +85,33 @@ def spearman(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
         F.try_divide(F.sum(n * x * y), F.sqrt(F.sum(n * x * x)) * F.sqrt(F.sum(n * y * y))).alias("spearman"))
 
 
-def eta_squared(df: DataFrame, cols: Sequence[str], target: str, bins: int = 20) -> DataFrame:
+def value_sums(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
+    """One written row per (feature, value ``__x``), missing values among them: ``__all`` its rows, ``__n`` those
+    where the target is there, ``__s`` and ``__q`` the sums of the target, less its mean, and of its square."""
+    middle = df.agg(F.avg(F.col(target).cast("double"))).first()[0] or 0.0   # keeps the squares from cancelling
+    y = F.col(target).cast("double")
+    y = F.when(~F.isnan(y), y - F.lit(middle))
+    long = df.select(y.alias("__y"), *cols).selectExpr("__y", "stack({}, {}) AS (feature, __x)".format(
+        len(cols), ", ".join(f"'{c}', CAST(`{c}` AS double)" for c in cols)))
+    return cut_lineage(long.groupBy("feature", "__x").agg(
+        F.count(F.lit(1)).alias("__all"), F.count("__y").alias("__n"), F.sum("__y").alias("__s"),
+        F.sum(F.col("__y") * F.col("__y")).alias("__q")))
+
+
+def eta_squared(df: DataFrame, cols: Sequence[str], target: str, bins: int = 20, values: DataFrame | None = None) -> DataFrame:
     """Between-group / total variance of the target (FSEL-03).
 
     Groups are the feature's values when it has at most ``bins`` distinct values,
     else quantile bins: exact quantile edges at k/bins, duplicate edges dropped,
     right-closed intervals with the lowest edge included.  Everything derives from
-    one written frame of (feature, value) -> count and sums of the target.
+    one written frame of (feature, value) -> count and sums of the target:
+    ``values``, the ``value_sums`` of ``df``, if they are there.
     """
-    middle = df.agg(F.avg(F.col(target).cast("double"))).first()[0] or 0.0   # keeps the squares from cancelling
-    y = F.col("__y") - F.lit(middle)
-    values = cut_lineage(_long(df, cols, target).groupBy("feature", "__x").agg(
-        F.count(F.lit(1)).alias("__n"), F.sum(y).alias("__s"), F.sum(y * y).alias("__q")))
+    values = value_sums(df, cols, target) if values is None else values
+    values = values.where((F.col("__n") > 0) & F.col("__x").isNotNull() & ~F.isnan("__x")).drop("__all")
     probs = [k / bins for k in range(bins + 1)]
     names = [f"e{k}" for k in range(bins + 1)]
-    edges = exact_quantiles(values, "__x", probs, ["feature"], names=names, weight="__n").select(
+    edges = exact_quantiles(values, "__x", probs, ["feature"], names=names, weight="__n", counted=True).select(
         "feature", F.array_sort(F.array_distinct(F.array(*names))).alias("__edges"))
     totals = values.groupBy("feature").agg(
         F.count(F.lit(1)).alias("__nd"), F.sum("__n").alias("__all"), F.sum("__s").alias("__sum"), F.sum("__q").alias("__sq"))

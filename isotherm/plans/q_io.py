@@ -230,17 +230,21 @@ def select_features(spark, sf):
 
 
 def _select_features(spark, sf):
+    from isotherm.operators import moments as mo
     from isotherm.operators import stats as stt
     from isotherm.plans.q_features import feature_frame
     feats = list(CATALOG)
     f = feature_frame(spark, sf).where("data_split = 'train'").select(
         "city_average_temperature", *[F.col(c).cast("double").alias(c) for c in feats])
-    r = stt.corr_with_target(f, feats, "city_average_temperature")
-    eta = stt.eta_squared(f, feats, "city_average_temperature")
-    distinct = {r["feature"]: r["distinct_values"] for r in dq.feature_problems(f, feats).collect()}
+    # the moments of all pairs and the values' counts are each taken once, for two operators
+    moments = mo.pair_moments(f, [*feats, "city_average_temperature"])
+    values = stt.value_sums(f, feats, "city_average_temperature")
+    r = stt.corr_with_target(f, feats, "city_average_temperature", moments)
+    eta = stt.eta_squared(f, feats, "city_average_temperature", values=values)
+    distinct = {r["feature"]: r["distinct_values"] for r in dq.feature_problems(f, feats, values).collect()}
     metrics = [dict(row.asDict(), distinct=distinct[row["feature"]]) for row in r.join(eta, "feature", "left").collect()]
     red = [(x["feature_a"], x["feature_b"], x["r"]) for x in
-           stt.redundant_pairs(stt.corr_matrix(f, feats), REDUNDANT_R).collect()]
+           stt.redundant_pairs(stt.corr_matrix(f, feats, moments), REDUNDANT_R).collect()]
     rows = select_features_rules(metrics, red)
     dec = spark.createDataFrame(rows, "feature string, feature_group string, availability string, decision string, "
                                       "reason string")

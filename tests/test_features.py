@@ -101,3 +101,31 @@ def test_train_means_of_a_location_with_and_without_train_rows(spark):
     assert later[None].loc_month_climatology == zone and later[None].loc_climatology_imputed   # a NULL key is no location
     stats = {(r.city_name, r.observation_date.year): r for r in fe.location_stats(rows, "t", 2000).collect()}
     assert stats[("C", 2001)].loc_mean_temperature == 10.0 and stats[("D", 2001)].loc_mean_temperature == zone
+
+
+def test_selection_takes_moments_and_value_counts_once(spark, monkeypatch):
+    """select_features: one frame of moments and one of value counts serve two operators each, with the same results."""
+    from isotherm.operators import moments, quality, stats
+    from isotherm.plans import q_features, q_io
+    feats, y = list(q_io.CATALOG), "city_average_temperature"
+    nan, inf = float("nan"), float("inf")
+    odd = [None, nan, inf, 0.0, -0.0, 1.5]
+    rows = [("train", None if i % 11 == 0 else nan if i % 13 == 0 else float(i % 17),
+             *[odd[(i + k) % 6] if k == 3 else float((i * (k + 1)) % (3 if k == 5 else 97)) if (i + k) % 9 else None for k in range(len(feats))])
+            for i in range(200)]
+    f = spark.createDataFrame(rows, f"data_split string, {y} double, " + ", ".join(f"{c} double" for c in feats))
+    calls, whole = [], moments.pair_moments
+    for module in (moments, stats):
+        monkeypatch.setattr(module, "pair_moments", lambda *a, **k: calls.append(a) or whole(*a, **k))
+    monkeypatch.setattr(q_features, "feature_frame", lambda s, sf: f)
+    got = {r["feature"]: r for r in q_io._select_features(spark, "unused").collect()}
+    assert len(calls) == 1
+    distinct = {r["feature"]: r["distinct_values"] for r in quality.feature_problems(f, feats).collect()}
+    eta = {r["feature"]: r["eta2"] for r in stats.eta_squared(f, feats, y).collect()}
+    r = {x["feature"]: x["r"] for x in stats.corr_with_target(f, feats, y).collect()}
+    for c in feats:
+        assert got[c]["distinct_values"] == distinct[c]
+        for name, want in (("eta2", eta.get(c)), ("r", r[c])):
+            assert got[c][name] == want or str(got[c][name]) == str(want) or abs(got[c][name] - want) < 1e-12, (c, name)
+    shared = stats.value_sums(f, feats, y)
+    assert sorted(map(str, quality.feature_problems(f, feats, shared).collect())) == sorted(map(str, quality.feature_problems(f, feats).collect()))
