@@ -5,28 +5,34 @@ round that gains too little, and gives its first tree full weight.  Here every
 round fits one tree to the residuals of the training rows, shrinks it, and scores
 both windows in one aggregate; after ``patience`` rounds without a better
 validation error the search ends and the trees up to the best round are kept.
-Scores travel as a column and are written to a checkpoint every few rounds, so a
-round's lineage is a few trees deep whatever the number of rounds.  The result is
-an ordinary pipeline model around Spark's boosted-tree model: it scores, saves,
-loads and reports importances like any other.
+The rows are binned once (see ``histograms``); the blocks with their scores are
+written every round, the round's errors are taken while they are written and the blocks
+of the round before are removed, so a round reads one small table whatever the
+number of rounds.  The result is an ordinary pipeline model around Spark's
+boosted-tree model: it scores, saves, loads and reports importances like any other.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
-from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressionModel
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from isotherm.operators.forest import HISTOGRAM_MB
-from isotherm.session import cut_lineage
+from isotherm.llm.common import ship
+from isotherm.operators import histograms as hg
+from isotherm.session import scratch_path
+from isotherm.sources import commits
 
-#: Rounds between two checkpoints of the scores.
-CUT_EVERY = 5
+#: Bytes of a row group of the block table; tasks read whole ones.
+ROW_GROUP = 16 * 1024 * 1024
 
 
 @dataclass
@@ -37,22 +43,28 @@ class Boosted:
     curve: list[tuple[int, float, float | None]]
 
 
-def _tree(rows: DataFrame, seed: int, depth: int, row_share: float, feature_share: float) -> DecisionTreeRegressionModel:
-    one = RandomForestRegressor(featuresCol="features", labelCol="__residual", numTrees=1, maxDepth=depth, bootstrap=False,
-                                subsamplingRate=row_share, featureSubsetStrategy=str(feature_share), seed=seed,
-                                maxMemoryInMB=HISTOGRAM_MB)
-    return one.fit(rows).trees[0]
+class _Blocks:
+    """The block table of the current round."""
 
+    def __init__(self, spark):
+        self.spark, self.path, self.home = spark, None, scratch_path(spark, f"boosting-{uuid.uuid4().hex}")
 
-def _ensemble(spark, trees: Sequence[DecisionTreeRegressionModel], step: float) -> GBTRegressionModel:
-    jvm, gateway = spark._jvm, spark.sparkContext._gateway
-    ml = jvm.org.apache.spark.ml
-    java_trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(trees))
-    weights = gateway.new_array(jvm.double, len(trees))
-    for i, t in enumerate(trees):
-        java_trees[i], weights[i] = t._java_obj, step
-    java = ml.regression.GBTRegressionModel(ml.util.Identifiable.randomUID("gbtr"), java_trees, weights)
-    return GBTRegressionModel(java).setFeaturesCol("features").setPredictionCol("__boosted")
+    def write(self, blocks: DataFrame, k: int) -> tuple[DataFrame, float | None, float | None]:
+        """Write the blocks after round ``k``, remove those before, return them and the windows' errors (None: no row)."""
+        path, seen = f"{self.home}/round-{k:05d}", Observation()
+        of = {"t": F.col("fit"), "v": ~F.col("fit")}
+        sums = [m for name, w in of.items() for m in (F.sum(F.when(w, F.col("error"))).alias(f"{name}_error"),
+                                                     F.sum(F.when(w, F.col("rows").cast("long"))).alias(f"{name}_rows"))]
+        blocks.observe(seen, *sums).write.option("parquet.block.size", ROW_GROUP).parquet(path)
+        errors = seen.get
+        self.remove()
+        self.path = path
+        return (self.spark.read.schema(hg.BLOCK_SCHEMA).parquet(path),
+                *(math.sqrt(errors[f"{n}_error"] / errors[f"{n}_rows"]) if errors[f"{n}_rows"] else None for n in of))
+
+    def remove(self) -> None:
+        if self.path:
+            commits.remove(self.spark, self.path)
 
 
 def boost(train: DataFrame, target: str, validation: DataFrame | None = None, rounds: int = 500, patience: int = 20,
@@ -67,30 +79,28 @@ def boost(train: DataFrame, target: str, validation: DataFrame | None = None, ro
     base = train.agg(F.avg(target)).first()[0]
     if base is None:
         raise ValueError("no training row has a label")
-    state = train.where(F.col(target).isNotNull()).select("features", y, F.lit(True).alias("__fit"))
-    if validation is not None:
-        state = state.unionByName(validation.where(F.col(target).isNotNull()).select("features", y, F.lit(False).alias("__fit")))
-    state = cut_lineage(state.withColumn("__score", F.lit(float(base))))
+    ship(spark)
+    windows = [(w.where(F.col(target).isNotNull()).select("features", y), fit)
+               for w, fit in ((train, True), (validation, False)) if w is not None]
+    layout = hg.find_layout(windows[0][0], seed)
+    blocks = reduce(DataFrame.unionByName, [hg.to_blocks(rows, fit, layout, float(base), seed) for rows, fit in windows])
+    table = _Blocks(spark)
+    blocks, _, start = table.write(blocks, 0)
+    if validation is not None and start is None:
+        raise ValueError("no validation row has a label")
     trees, curve, best, best_error = [], [], 0, float("inf")
     for k in range(1, rounds + 1):
-        fit_on = state.where("__fit").select("features", (F.col("__y") - F.col("__score")).alias("__residual"))
-        tree = _tree(fit_on, seed + k, depth, row_share, feature_share)
-        trees.append(tree)
-        scored = tree.setFeaturesCol("features").setPredictionCol("__p").transform(state)
-        state = scored.withColumn("__score", F.col("__score") + F.lit(step) * F.col("__p")).select(*state.columns)
-        if k % CUT_EVERY == 0:
-            state = cut_lineage(state)
+        trees.append(hg.grow(blocks, layout, seed + k, depth, row_share, feature_share))
+        blocks, fit_error, error = table.write(hg.add_tree(blocks, layout, trees[-1], step), k)
         if validation is None:
             continue
-        error = (F.col("__y") - F.col("__score")) ** 2
-        r = state.agg(F.sqrt(F.avg(F.when(F.col("__fit"), error))).alias("t"), F.sqrt(F.avg(F.when(~F.col("__fit"), error))).alias("v")).first()
-        if r["v"] is None:
-            raise ValueError("no validation row has a label")
-        curve.append((k, r["t"], r["v"]))
-        if r["v"] < best_error:
-            best, best_error = k, r["v"]
+        curve.append((k, fit_error, error))
+        if error < best_error:
+            best, best_error = k, error
         elif k - best >= patience:
             break
+    table.remove()
     kept = trees[:best] if validation is not None else trees
+    model = GBTRegressionModel(hg.ensemble(spark, kept, step, layout.width)).setFeaturesCol("features").setPredictionCol("__boosted")
     shift = SQLTransformer(statement=f"SELECT *, __boosted + {float(base)!r}D AS prediction FROM __THIS__")
-    return Boosted(PipelineModel([*before, _ensemble(spark, kept, step), shift]), len(kept), curve)
+    return Boosted(PipelineModel([*before, model, shift]), len(kept), curve)
