@@ -5,7 +5,7 @@ round that gains too little, and gives its first tree full weight.  Here every
 round fits one tree to the residuals of the training rows, shrinks it, and scores
 both windows in one aggregate; after ``patience`` rounds without a better
 validation error the search ends and the trees up to the best round are kept.
-The rows are binned once (see ``histograms``); the blocks with their scores are
+The rows are binned once (see ``histograms``); the blocks with their residuals are
 written every round, the round's errors are taken while they are written and the blocks
 of the round before are removed, so a round reads one small table whatever the
 number of rounds.  The result is an ordinary pipeline model around Spark's
@@ -85,7 +85,7 @@ def boost(train: DataFrame, target: str, validation: DataFrame | None = None, ro
     layout = hg.find_layout(windows[0][0], seed)
     blocks = reduce(DataFrame.unionByName, [hg.to_blocks(rows, fit, layout, float(base), seed) for rows, fit in windows])
     table = _Blocks(spark)
-    blocks, _, start = table.write(blocks, 0)
+    blocks, _, start = table.write(blocks.repartition(hg.parts(spark, layout)), 0)
     if validation is not None and start is None:
         raise ValueError("no validation row has a label")
     trees, curve, best, best_error = [], [], 0, float("inf")

@@ -43,14 +43,18 @@ CUT_ROWS = 40_000
 #: Nodes of a level whose sums a task holds at once; more of them take another pass over the rows.
 NODES = 256
 
-BLOCK_SCHEMA = "fit boolean, rows int, bins binary, draw binary, y binary, score binary, error double"
+#: Rows that are worth a part of their own, and rows a part holds at most (about 30 bytes each).
+PART_ROWS, PART_MOST = 20_000, 2_000_000
+
+BLOCK_SCHEMA = "fit boolean, rows int, bins binary, draw binary, residual binary, error double"
 _SPLIT_SCHEMA = ("node int, slot int, at int, gain double, n double, s double, q double, "
                  "left_n double, left_s double, left_q double")
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the slots of a feature vector lie in a row's bytes; constant slots have none."""
+    """Where the slots of a feature vector lie in a row's bytes (constant slots have none), and the training rows' number."""
+    rows: int
     width: int
     ranged: tuple[int, ...]
     cuts: tuple[np.ndarray, ...]
@@ -105,7 +109,7 @@ def find_layout(train: DataFrame, seed: int) -> Layout:
         elif len(found):
             ranged.append(slot)
             cuts.append(found)
-    return Layout(len(low), tuple(ranged), tuple(cuts), tuple(flags), np.array(flag_cuts))
+    return Layout(rows, len(low), tuple(ranged), tuple(cuts), tuple(flags), np.array(flag_cuts))
 
 
 def _matrix(arrays: pa.Array, width: int) -> np.ndarray:
@@ -131,23 +135,29 @@ def _cut(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def to_blocks(rows: DataFrame, fit: bool, layout: Layout, start: float, seed: int) -> DataFrame:
-    """``rows`` (features, __y) of one window as blocks that begin at the score ``start``."""
+    """``rows`` (features, __y) of one window as blocks of bins and residuals from the score ``start``."""
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not len(b):
                 continue
-            y, draw = b.column("y").to_numpy(), b.column("draw").to_numpy().astype(np.uint32)
-            ends = np.append(np.arange(BLOCK, len(y), BLOCK), len(y))
+            residual, draw = b.column("y").to_numpy() - start, b.column("draw").to_numpy().astype(np.uint32)
+            ends = np.append(np.arange(BLOCK, len(residual), BLOCK), len(residual))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(ends), fit)), pa.array(np.diff(ends, prepend=0).astype(np.int32)),
-                 _cut(layout.encode(_matrix(b.column("x"), layout.width)), ends), _cut(draw, ends), _cut(y, ends),
-                 _cut(np.full(len(y), start), ends), pa.array(np.add.reduceat((y - start) ** 2, np.append(0, ends[:-1])))],
-                names=["fit", "rows", "bins", "draw", "y", "score", "error"])
+                 _cut(layout.encode(_matrix(b.column("x"), layout.width)), ends), _cut(draw, ends), _cut(residual, ends),
+                 pa.array(np.add.reduceat(residual ** 2, np.append(0, ends[:-1])))],
+                names=["fit", "rows", "bins", "draw", "residual", "error"])
 
     return rows.select(vector_to_array("features").alias("x"), F.col("__y").alias("y"),
                        F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)).alias("draw")).mapInArrow(block, BLOCK_SCHEMA)
 
 
+def parts(spark: SparkSession, layout: Layout) -> int:
+    """Even parts of the block table: one a core, fewer for few rows, more for very many."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, min(cores, math.ceil(layout.rows / PART_ROWS)), math.ceil(layout.rows / PART_MOST))
+
+
 class Tree:
     """A tree by heap number: node i has the children 2i and 2i + 1, the root is 1."""
 
@@ -218,7 +228,7 @@ def drawn(draw: np.ndarray, share: float, key: int) -> np.ndarray:
 def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Bytes, draws and residuals of up to ``CHUNK`` rows."""
     for b in batches:
-        draw, residual = _flat(b.column("draw"), np.uint32), _flat(b.column("y"), float) - _flat(b.column("score"), float)
+        draw, residual = _flat(b.column("draw"), np.uint32), _flat(b.column("residual"), float)
         bins = _flat(b.column("bins"), np.uint8).reshape(len(draw), size)
         for i in range(0, len(draw), CHUNK):
             yield bins[i:i + CHUNK], draw[i:i + CHUNK], residual[i:i + CHUNK]
@@ -226,7 +236,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.n
 
 def _level_sums(layout: Layout, tree: Tree, level: int, first: int, groups: np.ndarray, share: float, key: int):
     """Task of a level: per node from ``first`` on, count, sum and sum of squares of the residuals: of all rows, by range of every ranged
-    slot, of the rows above every flag's cut."""
+    slot, of the rows above every flag's cut.  Squares choose no split; but for all rows they are taken where no level follows
+    that would tell the children's."""
     nodes, ranges, n_ranged = min(2 ** level, NODES), COARSE + 1, len(layout.ranged)
     bits = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(float)  # value of a byte x flag
 
@@ -243,10 +254,10 @@ def _level_sums(layout: Layout, tree: Tree, level: int, first: int, groups: np.n
             node[(node < 0) | (node > nodes)] = nodes  # its leaf is further up, or another pass has it
             weights = (None, residual, residual * residual)
 
-            def add(to, at):
-                for j, w in enumerate(weights):
-                    to[j] += np.bincount(at, w, minlength=to.shape[1])  # noqa: B023
-            add(total, node)
+            def add(to, at, kinds=3 if level == tree.depth - 1 else 2):
+                for j, w in enumerate(weights[:kinds]):  # noqa: B023
+                    to[j] += np.bincount(at, w, minlength=to.shape[1])
+            add(total, node, 3)
             for i in range(n_ranged):
                 add(ranged[i], groups[i][bins[i]] + node * ranges)
             for i in range(len(packed)):
@@ -290,7 +301,7 @@ def grow(blocks: DataFrame, layout: Layout, seed: int, depth: int, row_share: fl
     rng = np.random.default_rng(seed)
     key, groups = int(rng.integers(2 ** 32)), layout.groups(rng)
     tree, n_allowed = Tree(depth), math.ceil(feature_share * layout.width)
-    train = blocks.where("fit").select("bins", "draw", "y", "score")
+    train = blocks.where("fit").select("bins", "draw", "residual")
 
     def merge(node: tuple, parts: pa.Table) -> pa.Table:
         parts = parts.sort_by("part")  # the order of the sum does not depend on the shuffle's
@@ -316,20 +327,18 @@ def grow(blocks: DataFrame, layout: Layout, seed: int, depth: int, row_share: fl
 
 
 def add_tree(blocks: DataFrame, layout: Layout, tree: Tree, step: float) -> DataFrame:
-    """The blocks with ``step`` times the tree's values added to the scores, and each block's squared error."""
+    """The blocks with ``step`` times the tree's values taken off the residuals, and each block's squared error."""
     size, value = layout.size, step * tree.value
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not len(b):
                 continue
-            ends = np.cumsum(b.column("rows").to_numpy())
-            y, scores = _flat(b.column("y"), float), _flat(b.column("score"), float).copy()
-            bins = _flat(b.column("bins"), np.uint8).reshape(len(y), size)
-            for i in range(0, len(y), CHUNK):
-                scores[i:i + CHUNK] += value[tree.nodes_of(np.ascontiguousarray(bins[i:i + CHUNK].T), tree.depth)]
-            error = np.add.reduceat((y - scores) ** 2, np.append(0, ends[:-1]))
-            new = {"score": _cut(scores, ends), "error": pa.array(error)}
+            ends, residual = np.cumsum(b.column("rows").to_numpy()), _flat(b.column("residual"), float).copy()
+            bins = _flat(b.column("bins"), np.uint8).reshape(len(residual), size)
+            for i in range(0, len(residual), CHUNK):
+                residual[i:i + CHUNK] -= value[tree.nodes_of(np.ascontiguousarray(bins[i:i + CHUNK].T), tree.depth)]
+            new = {"residual": _cut(residual, ends), "error": pa.array(np.add.reduceat(residual ** 2, np.append(0, ends[:-1])))}
             yield pa.RecordBatch.from_arrays([new.get(c, b.column(c)) for c in b.schema.names], names=b.schema.names)
 
     return blocks.mapInArrow(score, BLOCK_SCHEMA)

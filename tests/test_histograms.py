@@ -92,7 +92,7 @@ def test_cut_points_keep_rare_values_and_many_values():
     cuts = hg.cut_points(v, v.min(), v.max())
     share = np.diff(np.searchsorted(np.sort(v), cuts)) / len(v)
     assert len(cuts) == hg.FINE - 1 and share.max() < 2 / hg.FINE
-    layout = hg.Layout(1, (0,), (cuts,), (), np.array([]))
+    layout = hg.Layout(len(v), 1, (0,), (cuts,), (), np.array([]))
     assert (layout.encode(cuts[:, None])[:, 0] == np.arange(len(cuts))).all()     # a value on a cut is left of it
     assert layout.encode(np.array([[np.nan]]))[0, 0] == hg.FINE - 1               # and no value right of all, as in Spark
     for seed in range(5):
