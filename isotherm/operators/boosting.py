@@ -26,7 +26,6 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import ship
 from isotherm.operators import histograms as hg
 from isotherm.session import scratch_path
 from isotherm.sources import commits
@@ -79,7 +78,6 @@ def boost(train: DataFrame, target: str, validation: DataFrame | None = None, ro
     base = train.agg(F.avg(target)).first()[0]
     if base is None:
         raise ValueError("no training row has a label")
-    ship(spark)
     windows = [(w.where(F.col(target).isNotNull()).select("features", y), fit)
                for w, fit in ((train, True), (validation, False)) if w is not None]
     layout = hg.find_layout(windows[0][0], seed)

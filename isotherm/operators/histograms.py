@@ -5,8 +5,8 @@ every tree it is asked for, which boosting does each round.  Here that happens o
 reference's ``tree_method="hist"``: a slot of the feature vector becomes one byte (its bin; two-valued
 slots share a byte, a bit each) and rows travel as blocks of ``BLOCK`` rows in binary columns.  A level
 of a tree is one job: every task adds up its rows' residuals by node and bin, the sums are shuffled
-by node and merged, and the node's best split comes back, one row a node.  Only that, the cut points
-and a sample to choose them pass through the driver.
+by node and merged, and the node's best split comes back, one row a node.  Only that and
+the cut points, which tasks place slot by slot, pass through the driver.
 
 As in Spark's trees: variance gain, up to 32 candidate ranges a slot, the share of the features drawn
 anew for every node, the share of the rows drawn without replacement for every tree, one row a leaf
@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
+from isotherm.llm.common import ship
+
 #: Rows in a block, one row of the block table.
 BLOCK = 64
 #: Rows that are handled at once inside a task.
@@ -99,14 +101,32 @@ def find_layout(train: DataFrame, seed: int) -> Layout:
     m = train.select(Summarizer.metrics("count", "min", "max").summary(F.col("features")).alias("m")).first()["m"]
     low, high, rows = m["min"].toArray(), m["max"].toArray(), m["count"]
     sample = train if rows <= CUT_ROWS else train.sample(CUT_ROWS / rows, seed=seed)
-    x = _matrix(sample.select(vector_to_array("features").alias("x")).toArrow().column("x").combine_chunks(), len(low))
+    varied = np.flatnonzero(low < high)
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = _matrix(b.column("x"), len(low))
+            yield pa.RecordBatch.from_arrays([pa.array(varied, pa.int32()), pa.array([x[:, i].tobytes() for i in varied], pa.binary())],
+                                             names=["slot", "v"])
+
+    def place(key: tuple, of: pa.Table) -> pa.Table:
+        i = key[0].as_py()
+        values = np.concatenate([np.frombuffer(v.as_buffer()) for v in of.column("v")])
+        return pa.table({"slot": pa.array([i], pa.int32()), "cuts": pa.array([cut_points(values, low[i], high[i])], pa.list_(pa.float64()))})
+
+    ship(train.sparkSession)
+    placed = (sample.select(vector_to_array("features").alias("x")).mapInArrow(turn, "slot int, v binary")
+              .groupBy("slot").applyInArrow(place, "slot int, cuts array<double>").collect())
+    placed = {r["slot"]: np.array(r["cuts"]) for r in placed}
     ranged, cuts, flags, flag_cuts = [], [], [], []
-    for slot in range(len(low)):
-        found = cut_points(x[:, slot], low[slot], high[slot]) if low[slot] < high[slot] else ()
+    for slot in varied.tolist():
+        found = placed.get(slot)
+        if found is None:  # no row in the sample
+            found = cut_points(np.empty(0), low[slot], high[slot])
         if len(found) == 1:
             flags.append(slot)
             flag_cuts.append(found[0])
-        elif len(found):
+        else:
             ranged.append(slot)
             cuts.append(found)
     return Layout(rows, len(low), tuple(ranged), tuple(cuts), tuple(flags), np.array(flag_cuts))

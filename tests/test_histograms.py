@@ -100,6 +100,15 @@ def test_cut_points_keep_rare_values_and_many_values():
         assert (np.diff(groups) >= 0).all() and groups.max() <= hg.COARSE and len(np.unique(groups)) >= hg.COARSE
 
 
+def test_cuts_are_placed_slot_by_slot(spark, table):
+    x, y = table
+    x = np.column_stack([x, np.arange(len(y)) ** 1.5])
+    layout = hg.find_layout(vectors(spark, x, y), 1)
+    assert layout.rows == len(y) and layout.ranged == (0, 1, 14) and layout.flags == tuple(range(3, 14))
+    for slot, cuts in zip(layout.ranged, layout.cuts, strict=True):
+        assert cuts.tolist() == hg.cut_points(x[:, slot], x[:, slot].min(), x[:, slot].max()).tolist()
+
+
 def test_rounds_leave_no_rows_behind(spark, table):
     """Every fifth round's scores used to stay in the checkpoint folder with the vectors."""
     x, y = table
