@@ -1,36 +1,60 @@
 """A random forest fitted and kept in parts (ML-04, ML-06, ML-12, ML-14).
 
-The trees of a forest are fitted independently of each other, but Spark's estimator
-holds the nodes of all of them in the driver while it grows them, and its model
-sends all of them to every executor at once; with deep trees on many rows that is
-millions of nodes.  Here a forest is several of Spark's forests of fewer trees, each
-on its own seed: a part is fitted, written to the shared folder and let go before the
-next one begins, so the driver holds one part's nodes whatever the number of trees.
-Scoring averages over all trees and loads as many parts at a time as hold ``NODES``
-nodes; importances average over all trees, as in Spark's model.
+Spark's estimator grows all trees of a forest level by level from the driver: every pass over the
+rows ends at as many nodes as its histograms may hold, and the nodes of all trees pass through the
+driver.  Here the rows are binned once (see ``histograms``) and the trees are dealt to tasks, which grow
+them whole (see ``growth``); the nodes go from the tasks to the shared folder.  A forest is several
+parts of fewer trees, each a saved model of Spark's own.  Scoring averages over all trees: the
+rows are binned the same way and a task walks them down as many parts at a time as hold
+``SCORED`` nodes; importances average over all trees, as in Spark's model.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.session import cut_lineage, scratch_path
+from isotherm.llm.common import ship
+from isotherm.operators import growth
+from isotherm.operators import histograms as hg
+from isotherm.session import scratch_path
+from isotherm.sources import commits
 
-#: Nodes the driver or an executor holds at once (Spark's take about 0.4 kB each while they grow); a part has one tree at least.
+#: Nodes of a part, which Spark's loader holds in the driver at once (0.4 kB each); a part has one tree at least.
 NODES = 100_000
-#: MB of split histograms a task holds at once.  Every running task has its own, so an executor needs this many times its
-#: cores; nodes beyond it wait for the next pass over the rows.
+#: Nodes a task holds at once while it scores (16 bytes each), and rows it walks down before it takes the next nodes.
+SCORED, SCORED_ROWS = 1_000_000, 262_144
+#: MB of split histograms a task holds at most; of its own, ``CELLS`` sums a slot are far below.
 HISTOGRAM_MB = 128
+CELLS = 65_536
+#: Nodes that leave a task at once.
+BATCH = 50_000
+#: Tasks for each core that grow trees; each has all rows.
+TASKS = 2
+#: Bytes of a row group while a task's writers for several parts are open.
+ROW_GROUP = 8 * 1024 * 1024
+
+_SPLIT = pa.struct([("featureIndex", pa.int32()), ("leftCategoriesOrThreshold", pa.list_(pa.float64())), ("numCategories", pa.int32())])
+_NODE = pa.struct([("id", pa.int32()), ("prediction", pa.float64()), ("impurity", pa.float64()), ("impurityStats", pa.list_(pa.float64())),
+                   ("rawCount", pa.int64()), ("gain", pa.float64()), ("leftChild", pa.int32()), ("rightChild", pa.int32()), ("split", _SPLIT)])
+#: The nodes of Spark's saved forests.
+NODE_SCHEMA = ("treeID int, nodeData struct<id: int, prediction: double, impurity: double, impurityStats: array<double>, rawCount: bigint, "
+               "gain: double, leftChild: int, rightChild: int, split: struct<featureIndex: int, "
+               "leftCategoriesOrThreshold: array<double>, numCategories: int>>")
+#: A node while rows are walked: the next node (a leaf's is itself, one less where its test holds) by column, mask and limit.
+_WALK = np.dtype([("left", np.uint32), ("column", np.uint16), ("mask", np.uint8), ("limit", np.uint8)])
 
 
 @dataclass(frozen=True)
@@ -43,11 +67,12 @@ class Part:
 class Forest:
     """Fitted preprocessing and the parts of the forest; scores like a pipeline model."""
 
-    def __init__(self, before: PipelineModel, parts: Sequence[Part], importances: np.ndarray):
+    def __init__(self, before: PipelineModel, parts: Sequence[Part], importances: np.ndarray, layout: hg.Layout, depth: int):
         self.parts, self.before, self.featureImportances = list(parts), before, DenseVector(importances)
-        self.stages = [*before.stages, self]
+        self.layout, self.depth, self.stages = layout, depth, [*before.stages, self]
+        self._sent: dict = {}
 
-    def passes(self, nodes: int = NODES) -> list[list[Part]]:
+    def passes(self, nodes: int = SCORED) -> list[list[Part]]:
         """Parts that are loaded together: no more than ``nodes`` nodes, one part at least."""
         out: list[list[Part]] = []
         for p in self.parts:
@@ -57,17 +82,98 @@ class Forest:
                 out.append([p])
         return out
 
+    def _walks(self, spark: SparkSession, together: list[Part]):
+        """The trees of some parts, sent to the executors: a file there, loaded by a task while it needs it."""
+        key = tuple(p.path for p in together)
+        if key not in self._sent:
+            trees = _load(spark, sorted(set(key)), self.layout)
+            self._sent[key] = spark.sparkContext.broadcast([t for path in key for t in trees[path.rstrip("/").rsplit("/", 1)[-1]]])
+        return self._sent[key]
+
     def transform(self, df: DataFrame) -> DataFrame:
-        """``df`` with the preprocessing's columns and ``prediction``; all passes but the last are run here."""
-        total, passes = sum(p.trees for p in self.parts), self.passes()
-        out = self.before.transform(df).withColumn("__sum", F.lit(0.0))
-        for i, together in enumerate(passes):
-            if i:
-                out = cut_lineage(out)
-            for p in together:
-                out = (RandomForestRegressionModel.load(p.path).setFeaturesCol("features").setPredictionCol("__part").transform(out)
-                       .withColumn("__sum", F.col("__sum") + F.col("__part") * F.lit(float(p.trees))).drop("__part"))
-        return out.withColumn("prediction", F.col("__sum") / F.lit(float(total))).drop("__sum")
+        """``df`` with the preprocessing's columns and ``prediction``."""
+        spark, layout, depth, total = df.sparkSession, self.layout, self.depth, sum(p.trees for p in self.parts)
+        ship(spark)
+        sent = [self._walks(spark, together) for together in self.passes()]
+
+        def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            held: list[np.ndarray] = []
+
+            def scored() -> Iterator[pa.Array]:
+                codes, ends = np.concatenate(held), np.cumsum([len(h) for h in held])
+                out = np.zeros(len(codes))
+                for piece in sent:
+                    trees = piece.value
+                    piece.__dict__.pop("_value", None)  # the next piece takes its place in memory
+                    for i in range(0, len(codes), hg.CHUNK):
+                        out[i:i + hg.CHUNK] += _walk(trees, codes[i:i + hg.CHUNK], depth)
+                for part in np.split(out / total, ends[:-1]):
+                    yield pa.array(part)
+                held.clear()
+
+            for x in batches:
+                held.append(layout.encode(hg._matrix(x, layout.width)))
+                if sum(len(h) for h in held) >= SCORED_ROWS:
+                    yield from scored()
+            if held:
+                yield from scored()
+
+        # not deterministic by name only: so that Spark does not run it once more for a filter on the scores
+        udf = F.arrow_udf(score, "double").asNondeterministic()
+        return self.before.transform(df).withColumn("prediction", udf(vector_to_array("features")))
+
+
+def _walk(trees: list[tuple[np.ndarray, np.ndarray]], codes: np.ndarray, depth: int) -> np.ndarray:
+    """The sum of all trees' values for every row of ``codes`` (a row's bytes)."""
+    flat, row, out = codes.ravel(), np.arange(len(codes)) * codes.shape[1], np.zeros(len(codes))
+    for walk, value in trees:
+        packed, at = walk.view(np.uint64), np.zeros(len(codes), np.int64)
+        for _ in range(depth):
+            p = packed[at]
+            column, mask, limit = (p >> np.uint64(32)) & np.uint64(0xFFFF), (p >> np.uint64(48)) & np.uint64(0xFF), p >> np.uint64(56)
+            code = flat[row + column.astype(np.int64)] if len(flat) else np.zeros(len(codes), np.uint8)
+            at = (p & np.uint64(0xFFFFFFFF)).astype(np.int64) + ((code & mask.astype(np.uint8)) > limit.astype(np.uint8))
+        out += value[at]
+    return out
+
+
+def _load(spark: SparkSession, paths: Sequence[str], layout: hg.Layout) -> dict[str, list[tuple[np.ndarray, np.ndarray]]]:
+    """Saved trees as arrays, by the last name of their part's path; tasks pack the nodes."""
+    place = {slot: i for i, slot in enumerate(layout.ranged)}
+    flag = {slot: i for i, slot in enumerate(layout.flags)}
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, left, slot = (b.column(c).to_numpy() for c in ("id", "left", "slot"))
+            threshold, value = (b.column(c).to_numpy(zero_copy_only=False) for c in ("threshold", "value"))
+            walk = np.zeros(len(b), _WALK)
+            walk["left"], walk["limit"] = np.where(left < 0, ids, left), 255
+            for s in np.unique(slot[left >= 0]).tolist():
+                mine = np.flatnonzero((slot == s) & (left >= 0))
+                if s in place:
+                    walk["column"][mine], walk["mask"][mine] = place[s], 255
+                    walk["limit"][mine] = np.searchsorted(layout.cuts[place[s]], threshold[mine])
+                else:
+                    walk["column"][mine], walk["mask"][mine], walk["limit"][mine] = len(place) + flag[s] // 8, 1 << flag[s] % 8, 0
+            tree, path = b.column("tree").to_numpy(), b.column("path").to_pylist()
+            starts = [i for i in range(len(b)) if not i or tree[i] != tree[i - 1] or ids[i] != ids[i - 1] + 1 or path[i] != path[i - 1]]
+            for i, j in zip(starts, [*starts[1:], len(b)], strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([path[i]]), pa.array([tree[i]], pa.int32()), pa.array([ids[i]], pa.int32()),
+                                                  pa.array([walk[i:j].tobytes()], pa.binary()), pa.array([value[i:j].tobytes()], pa.binary())],
+                                                 names=["path", "tree", "first", "walk", "value"])
+
+    node, saved = F.col("nodeData"), spark.read.schema(NODE_SCHEMA).parquet(*[f"{p}/data" for p in paths])
+    runs = saved.select(F.element_at(F.split("_metadata.file_path", "/"), -3).alias("path"), F.col("treeID").alias("tree"), node.id.alias("id"),
+                        node.leftChild.alias("left"), node.split.featureIndex.alias("slot"),
+                        F.get(node.split.leftCategoriesOrThreshold, 0).alias("threshold"), node.prediction.alias("value"))
+    found: dict = {}
+    for r in runs.mapInArrow(pack, "path string, tree int, first int, walk binary, value binary").collect():
+        found.setdefault((r["path"], r["tree"]), []).append((r["first"], r["walk"], r["value"]))
+    out: dict = {}
+    for (path, _), pieces in sorted(found.items()):
+        pieces.sort(key=lambda x: x[0])
+        out.setdefault(path, []).append((np.frombuffer(b"".join(x[1] for x in pieces), _WALK), np.frombuffer(b"".join(x[2] for x in pieces))))
+    return out
 
 
 def trees_in_part(rows: int, depth: int, min_leaf: int, nodes: int = NODES) -> int:
@@ -77,23 +183,136 @@ def trees_in_part(rows: int, depth: int, min_leaf: int, nodes: int = NODES) -> i
     return max(1, nodes // (2 * leaves))
 
 
+def features_of_a_node(strategy: str, width: int, trees: int) -> int:
+    """Slots a node may split on, by Spark's names."""
+    if strategy == "auto":
+        strategy = "all" if trees == 1 else "onethird"
+    named = {"all": width, "onethird": math.ceil(width / 3), "sqrt": math.ceil(math.sqrt(width)), "log2": max(1, math.ceil(math.log2(max(1, width))))}
+    if strategy in named:
+        return named[strategy]
+    if strategy.isdigit() and int(strategy) > 0:
+        return min(width, int(strategy))
+    if not 0 < float(strategy) <= 1:
+        raise ValueError(f"share of the features: {strategy}")
+    return math.ceil(float(strategy) * width)
+
+
+def _nodes(part: int, tree: int, grown: growth.Nodes, start: float) -> Iterator[pa.RecordBatch]:
+    """A tree's nodes as Spark saves them; its labels were taken relative to ``start``."""
+    inner = grown.left >= 0
+    mean = grown.s / grown.n
+    stats = np.column_stack([grown.n, grown.s + grown.n * start, grown.q + 2 * start * grown.s + grown.n * start ** 2])
+    for i in range(0, len(inner), BATCH):
+        of = slice(i, i + BATCH)
+        here, m = inner[of], len(inner[of])
+        split = pa.StructArray.from_arrays(
+            [pa.array(grown.slot[of], pa.int32()),
+             pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(here)), pa.int32()), pa.array(grown.threshold[of][here])),
+             pa.array(np.full(m, -1), pa.int32())], fields=list(_SPLIT))
+        node = pa.StructArray.from_arrays(
+            [pa.array(np.arange(i, i + m), pa.int32()), pa.array(start + mean[of]), pa.array(np.maximum(grown.q[of] / grown.n[of] - mean[of] ** 2, 0.0)),
+             pa.ListArray.from_arrays(pa.array(np.arange(0, 3 * m + 1, 3), pa.int32()), pa.array(stats[of].ravel())),
+             pa.array(grown.n[of].astype(np.int64)), pa.array(grown.gain[of]), pa.array(grown.left[of], pa.int32()),
+             pa.array(np.where(here, grown.left[of] + 1, -1), pa.int32()), split], fields=list(_NODE))
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, part), pa.int32()), pa.array(np.full(m, tree), pa.int32()), node],
+                                         names=["part", "treeID", "nodeData"])
+
+
+def _table(batches: Sequence[pa.RecordBatch], layout: hg.Layout) -> growth.Rows:
+    """All rows of the blocks, in an order that does not depend on the shuffle's."""
+    codes, draws, labels = [], [], []
+    for b in batches:
+        draws.append(hg._flat(b.column("draw"), np.uint32))
+        labels.append(hg._flat(b.column("residual"), float))
+        codes.append(hg._flat(b.column("bins"), np.uint8).reshape(len(draws[-1]), layout.size))
+    draw, y, encoded = np.concatenate(draws), np.concatenate(labels), np.concatenate(codes)
+    order = np.lexsort((y, draw))
+    return growth.rows_of(layout, encoded[order], y[order], draw[order])
+
+
 def fit_forest(vectors: DataFrame, target: str, before: PipelineModel, trees: int = 100, depth: int = 18, min_leaf: int = 5,
                feature_share: str = "auto", row_share: float = 1.0, seed: int = 42, nodes: int = NODES) -> Forest:
-    """Fit ``trees`` trees on ``vectors`` (``features`` and ``target``), part by part."""
+    """Fit ``trees`` trees on ``vectors`` (``features`` and ``target``) and save them in parts."""
     spark = vectors.sparkSession
-    vectors = cut_lineage(vectors.where(F.col(target).isNotNull()))
-    most = trees_in_part(vectors.count(), depth, min_leaf, nodes)
-    n_parts = math.ceil(trees / most)
+    rows = vectors.where(F.col(target).isNotNull()).select("features", F.col(target).cast("double").alias("__y"))
+    start = rows.agg(F.avg("__y")).first()[0]
+    if start is None:
+        raise ValueError("no training row has a label")
     home = scratch_path(spark, f"forest_{uuid.uuid4().hex}")
-    parts, weights = [], 0.0
-    for i in range(n_parts):
-        size = trees * (i + 1) // n_parts - trees * i // n_parts
-        model = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=size, maxDepth=depth,
-                                      minInstancesPerNode=min_leaf, featureSubsetStrategy=feature_share, subsamplingRate=row_share,
-                                      seed=seed + 7919 * i, maxMemoryInMB=HISTOGRAM_MB, cacheNodeIds=True).fit(vectors)
-        weights = weights + model.featureImportances.toArray() * size
-        part = Part(f"{home}/part-{i:05d}", size, model.totalNumNodes)
-        model.write().overwrite().save(part.path)
-        parts.append(part)
-        del model
-    return Forest(before, parts, weights / trees)
+    layout = hg.find_layout(rows, seed)
+    hg.to_blocks(rows, True, layout, start, seed).select("bins", "draw", "residual").write.parquet(f"{home}/blocks")
+    blocks = spark.read.schema("bins binary, draw binary, residual binary").parquet(f"{home}/blocks")
+    n_parts = math.ceil(trees / trees_in_part(layout.rows, depth, min_leaf, nodes))
+    firsts = [trees * i // n_parts for i in range(n_parts + 1)]
+    tasks = min(n_parts, TASKS * spark.sparkContext.defaultParallelism)
+    n_allowed = features_of_a_node(feature_share, layout.width, trees)
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine, owners = [], set()
+        for b in batches:
+            if len(b):
+                owners.update(b.column("task").unique().to_pylist())
+                mine.append(b)
+        if not mine:
+            return
+        task, = owners
+        table = _table(mine, layout)
+        mine.clear()
+        for part in range(n_parts * task // tasks, n_parts * (task + 1) // tasks):
+            for tree in range(firsts[part], firsts[part + 1]):
+                grown = growth.grow(table, layout, np.random.default_rng([seed, tree]), row_share, depth, min_leaf, n_allowed, CELLS)
+                yield from _nodes(part, tree - firsts[part], grown, start)
+
+    dealt = blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))).repartitionById(tasks, "task")
+    _write_parts(dealt.mapInArrow(grow, f"part int, {NODE_SCHEMA}"), f"{home}/nodes", n_parts)
+    commits.remove(spark, f"{home}/blocks")
+    split = F.col("nodeData.split.featureIndex")
+    seen = (spark.read.schema(f"{NODE_SCHEMA}, part int").parquet(f"{home}/nodes").groupBy("part", "treeID", split.alias("slot"))
+            .agg(F.sum(F.col("nodeData.gain") * F.col("nodeData.rawCount")).alias("gain"), F.count(F.lit(1)).alias("nodes")).collect())
+    gains, n_nodes = np.zeros((n_parts, max(b - a for a, b in zip(firsts, firsts[1:], strict=False)), layout.width)), np.zeros(n_parts, int)
+    for r in seen:
+        n_nodes[r["part"]] += r["nodes"]
+        if r["slot"] >= 0:
+            gains[r["part"], r["treeID"], r["slot"]] = r["gain"]
+    each = gains.sum(axis=2, keepdims=True)
+    importances = np.divide(gains, each, out=np.zeros_like(gains), where=each > 0).sum(axis=(0, 1))
+    importances /= importances.sum() or 1.0
+    spec = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
+                                 featureSubsetStrategy=feature_share, subsamplingRate=row_share, seed=seed, maxMemoryInMB=HISTOGRAM_MB)
+    sizes = [b - a for a, b in zip(firsts, firsts[1:], strict=False)]
+    _as_models(spec, layout.width, home, sizes)
+    parts = [Part(f"{home}/part-{i:05d}", size, int(n)) for i, (size, n) in enumerate(zip(sizes, n_nodes, strict=True))]
+    return Forest(before, parts, importances, layout, depth)
+
+
+def _write_parts(nodes: DataFrame, path: str, n_parts: int) -> None:
+    """Write a folder a part.  A task's rows come part by part: a writer for each, so that they need not be sorted."""
+    conf, name = nodes.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, str(n_parts))
+    try:
+        nodes.write.option("parquet.block.size", ROW_GROUP).partitionBy("part").parquet(path)
+    finally:
+        conf.set(name, before)
+
+
+def _as_models(spec: RandomForestRegressor, width: int, home: str, sizes: Sequence[int]) -> None:
+    """Make every folder of nodes a saved model of ``spec``: the metadata are those of a forest of one leaf, saved by Spark."""
+    spark = SparkSession.active()
+    ml, gateway = spark._jvm.org.apache.spark.ml, spark.sparkContext._gateway
+    one = gateway.new_array(ml.regression.DecisionTreeRegressionModel, 1)
+    estimator = spec._to_java()
+    extra = ml.param.ParamMap()
+    one[0] = estimator.copyValues(hg.Tree(0).model(spark, width), extra)
+    estimator.copyValues(ml.regression.RandomForestRegressionModel(spec.uid, one, width), extra).write().overwrite().save(f"{home}/one")
+    meta = json.loads(spark.read.text(f"{home}/one/metadata").first()[0])
+    tree, = spark.read.parquet(f"{home}/one/treesMetadata").collect()
+    names = list(tree.asDict())
+    rows = [(i, k, tree[1], tree[2]) for i, size in enumerate(sizes) for k in range(size)]
+    spark.createDataFrame(rows, f"part int, {names[0]} int, {names[1]} string, {names[2]} double").coalesce(1).write.partitionBy("part").parquet(f"{home}/trees")
+    for i, size in enumerate(sizes):
+        meta["paramMap"]["numTrees"] = meta["numTrees"] = size
+        path = f"{home}/part-{i:05d}"
+        commits.commit_text(spark, f"{path}/metadata/part-00000", json.dumps(meta) + "\n")
+        commits.move(spark, f"{home}/nodes/part={i}", f"{path}/data")
+        commits.move(spark, f"{home}/trees/part={i}", f"{path}/treesMetadata")

@@ -237,12 +237,17 @@ class Tree:
         return jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel(build(1), width)
 
 
-def drawn(draw: np.ndarray, share: float, key: int) -> np.ndarray:
-    """The rows a tree takes: each with probability ``share``, the same in every pass over them."""
+def hashed(draw: np.ndarray, key: int) -> np.ndarray:
+    """Even numbers of 32 bits from the rows' draws and a tree's key."""
     h = (draw ^ np.uint32(key)) * np.uint32(0x9E3779B1)
     h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA77)
     h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE3D)
-    return (h ^ (h >> np.uint32(16))) < share * 2.0 ** 32
+    return h ^ (h >> np.uint32(16))
+
+
+def drawn(draw: np.ndarray, share: float, key: int) -> np.ndarray:
+    """The rows a tree takes: each with probability ``share``, the same in every pass over them."""
+    return hashed(draw, key) < share * 2.0 ** 32
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

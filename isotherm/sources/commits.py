@@ -66,3 +66,11 @@ def commit_text(spark: SparkSession, path: str, text: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     p, fs = _at(spark, path)
     fs.delete(p, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a written folder to ``to``, which must not exist."""
+    (p, fs), (q, _) = _at(spark, path), _at(spark, to)
+    fs.mkdirs(q.getParent())
+    if fs.exists(q) or not fs.rename(p, q):
+        raise OSError(f"{path} could not be renamed to {to}")
