@@ -15,7 +15,7 @@ import json
 import math
 import uuid
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
 
 from isotherm.llm.common import ship
 from isotherm.operators import growth
@@ -41,8 +42,8 @@ HISTOGRAM_MB = 128
 CELLS = 65_536
 #: Nodes that leave a task at once.
 BATCH = 50_000
-#: Tasks for each core that grow trees; each has all rows.
-TASKS = 2
+#: Tasks for each core that grow trees; each has all rows, if they are no more than ``LOCAL_ROWS`` (a task holds about 150 bytes each).
+TASKS, LOCAL_ROWS = 2, 4_000_000
 #: Bytes of a row group while a task's writers for several parts are open.
 ROW_GROUP = 8 * 1024 * 1024
 
@@ -53,8 +54,6 @@ _NODE = pa.struct([("id", pa.int32()), ("prediction", pa.float64()), ("impurity"
 NODE_SCHEMA = ("treeID int, nodeData struct<id: int, prediction: double, impurity: double, impurityStats: array<double>, rawCount: bigint, "
                "gain: double, leftChild: int, rightChild: int, split: struct<featureIndex: int, "
                "leftCategoriesOrThreshold: array<double>, numCategories: int>>")
-#: A node while rows are walked: the next node (a leaf's is itself, one less where its test holds) by column, mask and limit.
-_WALK = np.dtype([("left", np.uint32), ("column", np.uint16), ("mask", np.uint8), ("limit", np.uint8)])
 
 
 @dataclass(frozen=True)
@@ -106,7 +105,8 @@ class Forest:
                     trees = piece.value
                     piece.__dict__.pop("_value", None)  # the next piece takes its place in memory
                     for i in range(0, len(codes), hg.CHUNK):
-                        out[i:i + hg.CHUNK] += _walk(trees, codes[i:i + hg.CHUNK], depth)
+                        for walk, value in trees:
+                            out[i:i + hg.CHUNK] += value[growth.descend(walk, codes[i:i + hg.CHUNK], depth)]
                 for part in np.split(out / total, ends[:-1]):
                     yield pa.array(part)
                 held.clear()
@@ -123,38 +123,13 @@ class Forest:
         return self.before.transform(df).withColumn("prediction", udf(vector_to_array("features")))
 
 
-def _walk(trees: list[tuple[np.ndarray, np.ndarray]], codes: np.ndarray, depth: int) -> np.ndarray:
-    """The sum of all trees' values for every row of ``codes`` (a row's bytes)."""
-    flat, row, out = codes.ravel(), np.arange(len(codes)) * codes.shape[1], np.zeros(len(codes))
-    for walk, value in trees:
-        packed, at = walk.view(np.uint64), np.zeros(len(codes), np.int64)
-        for _ in range(depth):
-            p = packed[at]
-            column, mask, limit = (p >> np.uint64(32)) & np.uint64(0xFFFF), (p >> np.uint64(48)) & np.uint64(0xFF), p >> np.uint64(56)
-            code = flat[row + column.astype(np.int64)] if len(flat) else np.zeros(len(codes), np.uint8)
-            at = (p & np.uint64(0xFFFFFFFF)).astype(np.int64) + ((code & mask.astype(np.uint8)) > limit.astype(np.uint8))
-        out += value[at]
-    return out
-
-
 def _load(spark: SparkSession, paths: Sequence[str], layout: hg.Layout) -> dict[str, list[tuple[np.ndarray, np.ndarray]]]:
     """Saved trees as arrays, by the last name of their part's path; tasks pack the nodes."""
-    place = {slot: i for i, slot in enumerate(layout.ranged)}
-    flag = {slot: i for i, slot in enumerate(layout.flags)}
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, left, slot = (b.column(c).to_numpy() for c in ("id", "left", "slot"))
             threshold, value = (b.column(c).to_numpy(zero_copy_only=False) for c in ("threshold", "value"))
-            walk = np.zeros(len(b), _WALK)
-            walk["left"], walk["limit"] = np.where(left < 0, ids, left), 255
-            for s in np.unique(slot[left >= 0]).tolist():
-                mine = np.flatnonzero((slot == s) & (left >= 0))
-                if s in place:
-                    walk["column"][mine], walk["mask"][mine] = place[s], 255
-                    walk["limit"][mine] = np.searchsorted(layout.cuts[place[s]], threshold[mine])
-                else:
-                    walk["column"][mine], walk["mask"][mine], walk["limit"][mine] = len(place) + flag[s] // 8, 1 << flag[s] % 8, 0
+            walk = growth.walk_of(layout, ids, left, slot, threshold)
             tree, path = b.column("tree").to_numpy(), b.column("path").to_pylist()
             starts = [i for i in range(len(b)) if not i or tree[i] != tree[i - 1] or ids[i] != ids[i - 1] + 1 or path[i] != path[i - 1]]
             for i, j in zip(starts, [*starts[1:], len(b)], strict=True):
@@ -172,7 +147,7 @@ def _load(spark: SparkSession, paths: Sequence[str], layout: hg.Layout) -> dict[
     out: dict = {}
     for (path, _), pieces in sorted(found.items()):
         pieces.sort(key=lambda x: x[0])
-        out.setdefault(path, []).append((np.frombuffer(b"".join(x[1] for x in pieces), _WALK), np.frombuffer(b"".join(x[2] for x in pieces))))
+        out.setdefault(path, []).append((np.frombuffer(b"".join(x[1] for x in pieces), growth.WALK), np.frombuffer(b"".join(x[2] for x in pieces))))
     return out
 
 
@@ -197,8 +172,8 @@ def features_of_a_node(strategy: str, width: int, trees: int) -> int:
     return math.ceil(float(strategy) * width)
 
 
-def _nodes(part: int, tree: int, grown: growth.Nodes, start: float) -> Iterator[pa.RecordBatch]:
-    """A tree's nodes as Spark saves them; its labels were taken relative to ``start``."""
+def _nodes(keys: dict[str, int], grown: growth.Nodes, start: float) -> Iterator[pa.RecordBatch]:
+    """Nodes as Spark saves them, behind the columns ``keys``; the labels were taken relative to ``start``."""
     inner = grown.left >= 0
     mean = grown.s / grown.n
     stats = np.column_stack([grown.n, grown.s + grown.n * start, grown.q + 2 * start * grown.s + grown.n * start ** 2])
@@ -214,20 +189,36 @@ def _nodes(part: int, tree: int, grown: growth.Nodes, start: float) -> Iterator[
              pa.ListArray.from_arrays(pa.array(np.arange(0, 3 * m + 1, 3), pa.int32()), pa.array(stats[of].ravel())),
              pa.array(grown.n[of].astype(np.int64)), pa.array(grown.gain[of]), pa.array(grown.left[of], pa.int32()),
              pa.array(np.where(here, grown.left[of] + 1, -1), pa.int32()), split], fields=list(_NODE))
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, part), pa.int32()), pa.array(np.full(m, tree), pa.int32()), node],
-                                         names=["part", "treeID", "nodeData"])
+        yield pa.RecordBatch.from_arrays([*[pa.array(np.full(m, v), pa.int32()) for v in keys.values()], node], names=[*keys, "nodeData"])
 
 
-def _table(batches: Sequence[pa.RecordBatch], layout: hg.Layout) -> growth.Rows:
-    """All rows of the blocks, in an order that does not depend on the shuffle's."""
-    codes, draws, labels = [], [], []
-    for b in batches:
-        draws.append(hg._flat(b.column("draw"), np.uint32))
-        labels.append(hg._flat(b.column("residual"), float))
-        codes.append(hg._flat(b.column("bins"), np.uint8).reshape(len(draws[-1]), layout.size))
-    draw, y, encoded = np.concatenate(draws), np.concatenate(labels), np.concatenate(codes)
-    order = np.lexsort((y, draw))
-    return growth.rows_of(layout, encoded[order], y[order], draw[order])
+def _in_order(blocks: Sequence[pa.RecordBatch]) -> pa.Table:
+    """The blocks in an order that does not depend on the shuffle's."""
+    table = pa.Table.from_batches(blocks)
+    return table.sort_by([("draw", "ascending"), ("residual", "ascending")])
+
+
+def _chunks(table: pa.Table, layout: hg.Layout) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for bins, draw, residual in hg._chunks(table.to_batches(max_chunksize=1024), layout.size):
+        yield bins, residual, draw
+
+
+@dataclass(frozen=True)
+class _Plan:
+    """What a forest's trees are grown by: the binned rows (their labels relative to ``start``) and the trees of every part."""
+    blocks: DataFrame
+    layout: hg.Layout
+    start: float
+    firsts: list[int]
+    depth: int
+    min_leaf: int
+    n_allowed: int
+    row_share: float
+    seed: int
+
+    def part_of(self) -> list[tuple[int, int]]:
+        """Part and number in it of every tree."""
+        return [(i, k - a) for i, (a, b) in enumerate(zip(self.firsts, self.firsts[1:], strict=False)) for k in range(a, b)]
 
 
 def fit_forest(vectors: DataFrame, target: str, before: PipelineModel, trees: int = 100, depth: int = 18, min_leaf: int = 5,
@@ -244,32 +235,17 @@ def fit_forest(vectors: DataFrame, target: str, before: PipelineModel, trees: in
     blocks = spark.read.schema("bins binary, draw binary, residual binary").parquet(f"{home}/blocks")
     n_parts = math.ceil(trees / trees_in_part(layout.rows, depth, min_leaf, nodes))
     firsts = [trees * i // n_parts for i in range(n_parts + 1)]
-    tasks = min(n_parts, TASKS * spark.sparkContext.defaultParallelism)
-    n_allowed = features_of_a_node(feature_share, layout.width, trees)
-
-    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, owners = [], set()
-        for b in batches:
-            if len(b):
-                owners.update(b.column("task").unique().to_pylist())
-                mine.append(b)
-        if not mine:
-            return
-        task, = owners
-        table = _table(mine, layout)
-        mine.clear()
-        for part in range(n_parts * task // tasks, n_parts * (task + 1) // tasks):
-            for tree in range(firsts[part], firsts[part + 1]):
-                grown = growth.grow(table, layout, np.random.default_rng([seed, tree]), row_share, depth, min_leaf, n_allowed, CELLS)
-                yield from _nodes(part, tree - firsts[part], grown, start)
-
-    dealt = blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))).repartitionById(tasks, "task")
-    _write_parts(dealt.mapInArrow(grow, f"part int, {NODE_SCHEMA}"), f"{home}/nodes", n_parts)
+    plan = _Plan(blocks, layout, start, firsts, depth, min_leaf, features_of_a_node(feature_share, layout.width, trees), row_share, seed)
+    if layout.rows <= LOCAL_ROWS:
+        _write_parts(_whole_trees(plan), f"{home}/nodes", n_parts)
+    else:
+        _write_split_trees(plan, home)
     commits.remove(spark, f"{home}/blocks")
     split = F.col("nodeData.split.featureIndex")
     seen = (spark.read.schema(f"{NODE_SCHEMA}, part int").parquet(f"{home}/nodes").groupBy("part", "treeID", split.alias("slot"))
             .agg(F.sum(F.col("nodeData.gain") * F.col("nodeData.rawCount")).alias("gain"), F.count(F.lit(1)).alias("nodes")).collect())
-    gains, n_nodes = np.zeros((n_parts, max(b - a for a, b in zip(firsts, firsts[1:], strict=False)), layout.width)), np.zeros(n_parts, int)
+    sizes = [b - a for a, b in zip(firsts, firsts[1:], strict=False)]
+    gains, n_nodes = np.zeros((n_parts, max(sizes), layout.width)), np.zeros(n_parts, int)
     for r in seen:
         n_nodes[r["part"]] += r["nodes"]
         if r["slot"] >= 0:
@@ -279,12 +255,198 @@ def fit_forest(vectors: DataFrame, target: str, before: PipelineModel, trees: in
     importances /= importances.sum() or 1.0
     spec = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
                                  featureSubsetStrategy=feature_share, subsamplingRate=row_share, seed=seed, maxMemoryInMB=HISTOGRAM_MB)
-    sizes = [b - a for a, b in zip(firsts, firsts[1:], strict=False)]
-    _as_models(spec, layout.width, home, sizes)
+    _as_models(spark, spec, layout.width, home, sizes)
     parts = [Part(f"{home}/part-{i:05d}", size, int(n)) for i, (size, n) in enumerate(zip(sizes, n_nodes, strict=True))]
     return Forest(before, parts, importances, layout, depth)
 
 
+def _whole_trees(plan: _Plan) -> DataFrame:
+    """Nodes of all trees: every task has all rows and grows its share of the parts."""
+    spark, n_parts, of_tree = plan.blocks.sparkSession, len(plan.firsts) - 1, plan.part_of()
+    tasks = min(n_parts, TASKS * spark.sparkContext.defaultParallelism)
+    layout, start, firsts, depth, min_leaf, n_allowed, share, seed = (getattr(plan, f.name) for f in fields(plan)[1:])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = [b for b in batches if len(b)]
+        if not mine:
+            return
+        task, = {v for b in mine for v in b.column("task").unique().to_pylist()}
+        table = _in_order(mine)
+        mine.clear()
+        rows = growth.rows_of(layout, lambda: _chunks(table, layout))
+        del table
+        for tree in range(firsts[n_parts * task // tasks], firsts[n_parts * (task + 1) // tasks]):
+            w = growth.weights(rows.draw, share, growth.tree_key(seed, tree))
+            grown = growth.grow(rows, w, layout, np.random.default_rng([seed, tree]), depth, min_leaf, n_allowed, CELLS)
+            part, number = of_tree[tree]
+            yield from _nodes({"part": part, "treeID": number}, grown, start)
+
+    dealt = plan.blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))).repartitionById(tasks, "task")
+    return dealt.mapInArrow(run, f"part int, {NODE_SCHEMA}")
+
+
+class _Top:
+    """The first nodes of a tree while all tasks grow them: numbered in order of the levels, children next to each other."""
+
+    def __init__(self):
+        self.left, self.slot, self.threshold, self.gain = [-1], [-1], [0.0], [-1.0]
+        self.stats, self.level = [None], [0]
+
+    def walk(self, layout: hg.Layout) -> np.ndarray:
+        return growth.walk_of(layout, np.arange(len(self.left)), *map(np.array, (self.left, self.slot, self.threshold)))
+
+    def split(self, node: int, r) -> list[tuple[int, float]]:
+        """Enter a split; the children and their drawn rows."""
+        self.left[node], self.slot[node], self.threshold[node], self.gain[node] = len(self.left), r["slot"], r["threshold"], r["gain"]
+        self.stats[node] = r["n"], r["s"], r["q"]
+        for more, value in ((self.left, -1), (self.slot, -1), (self.threshold, 0.0), (self.gain, -1.0), (self.stats, None), (self.level, self.level[node] + 1)):
+            more += [value, value]
+        return [(self.left[node], r["left_n"]), (self.left[node] + 1, r["n"] - r["left_n"])]
+
+
+def _grow_tops(plan: _Plan, rows_left: int) -> list[_Top]:
+    """The trees down to nodes of at most ``rows_left`` drawn rows, all of a level's nodes at once: tasks add up their rows
+    by node and candidate range, the sums are merged by node and the best split comes back."""
+    layout, start, firsts, depth, min_leaf, n_allowed, share, seed = (getattr(plan, f.name) for f in fields(plan)[1:])
+    tops = [_Top() for _ in range(firsts[-1])]
+    pending = [(tree, 0) for tree in range(firsts[-1])]
+    cells = len(layout.flags) + sum(hg.COARSE + 1 for _ in layout.ranged)
+    at_once = max(1, HISTOGRAM_MB * 2 ** 20 // (2 * 8 * (cells + 2)))
+
+    def candidates(tree: int) -> growth.Candidates:
+        return growth.Candidates(layout, np.random.default_rng([seed, tree]))
+
+    def level(nodes: list[tuple[int, int]]) -> DataFrame:
+        walks = {tree: (tops[tree].walk(layout), max(tops[tree].level)) for tree, _ in nodes}
+        of_tree = {tree: np.array([k for t, k in nodes if t == tree]) for tree in walks}
+
+        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ways = {tree: candidates(tree) for tree in walks}
+            total = {tree: np.zeros((3, len(k))) for tree, k in of_tree.items()}
+            sums = {tree: [np.zeros((2, len(k), r)) for r in [*ways[tree].ranges, len(layout.flags)]] for tree, k in of_tree.items()}
+            for codes, draw, y in hg._chunks(batches, layout.size):
+                rows = growth.rows_of(layout, lambda: iter([(codes, y, draw)]))  # noqa: B023
+                for tree, (walk, steps) in walks.items():
+                    w = growth.weights(draw, share, growth.tree_key(seed, tree))
+                    node = growth.descend(walk, codes, steps)
+                    place = np.full(len(walk), -1)
+                    place[of_tree[tree]] = np.arange(len(of_tree[tree]))
+                    here = np.flatnonzero((w > 0) & (place[node] >= 0))
+                    node, w, label = place[node[here]], w[here], y[here]
+                    for j, x in enumerate((w, w * label, w * label * label)):
+                        total[tree][j] += np.bincount(node, x, total[tree].shape[1])
+                    at = np.array([g[b[here]] for g, b in zip(ways[tree].groups, rows.bins, strict=True)]).reshape(-1, len(here))
+                    for to, found in zip(sums[tree], ways[tree].sums(at, rows.sets[:, here], node, len(of_tree[tree]), w, w * label), strict=True):
+                        to += np.array(found)
+            part = TaskContext.get().partitionId()
+            for tree, k in of_tree.items():
+                found = [np.concatenate([total[tree][:, i], *[x[:, i].ravel() for x in sums[tree]]]).tobytes() for i in range(len(k))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), tree), pa.int32()), pa.array(k, pa.int32()),
+                                                  pa.array(np.full(len(k), part), pa.int32()), pa.array(found, pa.binary())], names=["tree", "node", "part", "sums"])
+
+        def merge(key: tuple, parts: pa.Table) -> pa.Table:
+            tree, node = (k.as_py() for k in key)
+            flat = np.sum([np.frombuffer(v.as_buffer()) for v in parts.sort_by("part").column("sums")], axis=0)
+            (n, s, q), ways = flat[:3], candidates(tree)
+            widths = [*ways.ranges, len(layout.flags)]
+            each = np.split(flat[3:], np.cumsum([2 * r for r in widths])[:-1])
+            best = growth.Chosen(np.array([n]), np.array([s]))
+            pairs = [tuple(x.reshape(2, 1, r)) for x, r in zip(each, widths, strict=True)]
+            allowed = growth.draw_features(np.random.default_rng([seed, tree, 2, node]), 1, layout.width, n_allowed)
+            ways.choose(best, iter(pairs), min_leaf, allowed)
+            row = {"tree": tree, "node": node, "slot": None, "threshold": None, "gain": None, "n": n, "s": s, "q": q, "left_n": None}
+            if best.wins(np.array([q]))[0]:
+                of, at = int(best.of[0]), int(best.at[0])
+                slot, threshold = ways.split(of, at)
+                below = n - pairs[-1][0][0, of - len(ways.ranges)] if of >= len(ways.ranges) else pairs[of][0][0, :at + 1].sum()
+                row |= {"slot": slot, "threshold": float(threshold), "gain": float(best.gain()[0]), "left_n": float(below)}
+            return pa.Table.from_pylist([row], schema=pa.schema([(c, pa.int32() if c in ("tree", "node", "slot") else pa.float64()) for c in row]))
+
+        return (plan.blocks.mapInArrow(add_up, "tree int, node int, part int, sums binary").groupBy("tree", "node")
+                .applyInArrow(merge, "tree int, node int, slot int, threshold double, gain double, n double, s double, q double, left_n double"))
+
+    while pending:
+        found = [r for i in range(0, len(pending), at_once) for r in level(pending[i:i + at_once]).collect()]
+        pending = []
+        for r in sorted(found, key=lambda r: (r["tree"], r["node"])):
+            if r["slot"] is not None:
+                top = tops[r["tree"]]
+                pending += [(r["tree"], k) for k, n in top.split(r["node"], r) if n > rows_left and top.level[k] < depth]
+    return tops
+
+
+def _write_split_trees(plan: _Plan, home: str) -> None:
+    """Trees of more rows than a task may hold: all tasks grow their first nodes, then the rows of every node so reached go to one task,
+    which grows the rest; some trees at a time."""
+    spark = plan.blocks.sparkSession
+    layout, start, firsts, depth, min_leaf, n_allowed, share, seed = (getattr(plan, f.name) for f in fields(plan)[1:])
+    tops, of_tree = _grow_tops(plan, LOCAL_ROWS), plan.part_of()
+    leaves = [[k for k, x in enumerate(top.left) if x < 0] for top in tops]
+    tasks = TASKS * spark.sparkContext.defaultParallelism
+    batch: list[int] = []
+    for tree in range(len(tops)):
+        batch.append(tree)
+        if tree + 1 < len(tops) and sum(len(leaves[t]) for t in batch) + len(leaves[tree + 1]) <= tasks:
+            continue
+        walks = {t: (tops[t].walk(layout), max(tops[t].level)) for t in batch}
+        first, levels = {}, {}
+        for t in batch:
+            first[t] = len(levels)
+            levels |= {first[t] + i: (t, k, tops[t].level[k]) for i, k in enumerate(leaves[t])}
+
+        def route(batches: Iterator[pa.RecordBatch], walks=walks, first=first) -> Iterator[pa.RecordBatch]:
+            for codes, draw, y in hg._chunks(batches, layout.size):
+                for t, (walk, steps) in walks.items():
+                    w, node = growth.weights(draw, share, growth.tree_key(seed, t)).astype(np.uint8), growth.descend(walk, codes, steps)
+                    for i, k in enumerate(leaves[t]):
+                        here = np.flatnonzero((w > 0) & (node == k))
+                        if len(here):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([first[t] + i], pa.int32()), *[pa.array([x[here].tobytes()], pa.binary()) for x in (codes, draw, y, w)]],
+                                names=["task", "bins", "draw", "residual", "w"])
+
+        def run(batches: Iterator[pa.RecordBatch], levels=levels) -> Iterator[pa.RecordBatch]:
+            mine = [b for b in batches if len(b)]
+            if not mine:
+                return
+            task, = {v for b in mine for v in b.column("task").unique().to_pylist()}
+            tree, node, level = levels[task]
+            table = _in_order(mine)
+            mine.clear()
+            rows = growth.rows_of(layout, lambda: _chunks(table, layout))
+            w = np.concatenate([hg._flat(b.column("w"), np.uint8) for b in table.to_batches()]).astype(float)
+            del table
+            grown = growth.grow(rows, w, layout, np.random.default_rng([seed, tree, node] if node else [seed, tree]), depth - level, min_leaf, n_allowed, CELLS)
+            yield from _nodes({"tree": tree, "top": node}, grown, start)
+
+        dealt = plan.blocks.mapInArrow(route, "task int, bins binary, draw binary, residual binary, w binary").repartitionById(len(levels), "task")
+        dealt.mapInArrow(run, f"tree int, top int, {NODE_SCHEMA.split(', ', 1)[1]}").write.mode("append").parquet(f"{home}/grown")
+        batch = []
+    # numbers within the tree: those of the first nodes stay, the others follow them
+    grown = spark.read.schema(f"tree int, top int, {NODE_SCHEMA.split(', ', 1)[1]}").parquet(f"{home}/grown")
+    size = {(r["tree"], r["top"]): r["n"] for r in grown.groupBy("tree", "top").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bases, heads = [], []
+    for tree, top in enumerate(tops):
+        part, number = of_tree[tree]
+        base = len(top.left) - 1
+        for k in leaves[tree]:
+            bases.append((tree, k, part, number, base))
+            base += size[tree, k] - 1
+        for k in (k for k, x in enumerate(top.left) if x >= 0):
+            one = growth.Nodes(*(np.array([v]) for v in (top.left[k], top.slot[k], top.threshold[k], top.gain[k], *top.stats[k])))
+            node, = next(_nodes({}, one, start)).column("nodeData").to_pylist()
+            heads.append((part, number, node | {"id": k}))
+    node = F.col("nodeData")
+    moved = lambda c: F.when(c >= 0, c + F.col("base")).otherwise(c)
+    # a row for every first node without children: few
+    numbered = grown.join(F.broadcast(spark.createDataFrame(bases, "tree int, top int, part int, treeID int, base int")), ["tree", "top"]).select(
+        "part", "treeID", node.withField("id", F.when(node.id == 0, F.col("top")).otherwise(node.id + F.col("base")))
+        .withField("leftChild", moved(node.leftChild)).withField("rightChild", moved(node.rightChild)).alias("nodeData"))
+    whole = numbered.unionByName(spark.createDataFrame(heads, f"part int, {NODE_SCHEMA}"))
+    _write_parts(whole, f"{home}/nodes", len(firsts) - 1)
+    commits.remove(spark, f"{home}/grown")
+
+
 def _write_parts(nodes: DataFrame, path: str, n_parts: int) -> None:
     """Write a folder a part.  A task's rows come part by part: a writer for each, so that they need not be sorted."""
     conf, name = nodes.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
@@ -296,9 +458,8 @@ def _write_parts(nodes: DataFrame, path: str, n_parts: int) -> None:
         conf.set(name, before)
 
 
-def _as_models(spec: RandomForestRegressor, width: int, home: str, sizes: Sequence[int]) -> None:
+def _as_models(spark: SparkSession, spec: RandomForestRegressor, width: int, home: str, sizes: Sequence[int]) -> None:
     """Make every folder of nodes a saved model of ``spec``: the metadata are those of a forest of one leaf, saved by Spark."""
-    spark = SparkSession.active()
     ml, gateway = spark._jvm.org.apache.spark.ml, spark.sparkContext._gateway
     one = gateway.new_array(ml.regression.DecisionTreeRegressionModel, 1)
     estimator = spec._to_java()

@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import functions as F
 
 from isotherm.operators import forest as fo
@@ -12,6 +13,10 @@ from isotherm.operators import histograms as hg
 from isotherm.operators import modeling as ml
 
 
+def rows_of(layout, x, y, draw):
+    return gr.rows_of(layout, lambda: ((layout.encode(x[i:i + 700]), y[i:i + 700], draw[i:i + 700]) for i in range(0, len(y), 700)))
+
+
 @pytest.fixture(scope="module")
 def table():
     rng = np.random.default_rng(3)
@@ -20,16 +25,14 @@ def table():
     y = np.where(x[:, 0] > 8, 3.0, -1.0) * x[:, 1] + 2 * x[:, 5] - x[:, 13] + rng.normal(0, 0.3, n)
     cuts = tuple(hg.cut_points(x[:, i], x[:, i].min(), x[:, i].max()) for i in (0, 1))
     layout = hg.Layout(n, 14, (0, 1), cuts, tuple(range(3, 14)), np.full(11, 0.5))
-    return x, y, layout, gr.rows_of(layout, layout.encode(x), y, rng.integers(0, 2 ** 32, n, dtype=np.uint32))
+    return x, y, layout, rows_of(layout, x, y, rng.integers(0, 2 ** 32, n, dtype=np.uint32))
 
 
 def test_splits_equal_an_exhaustive_search(table):
     x, y, layout, rows = table
-    tree = gr.grow(rows, layout, np.random.default_rng(1), 1.0, 5, 40, 14, 1 << 16)
-    rng = np.random.default_rng(1)
-    layout.groups(rng)
-    times = gr.weights(rows.draw, 1.0, int(rng.integers(2 ** 32))).astype(int)
-    at, seen = {0: np.repeat(np.arange(len(y)), times)}, 0
+    times = gr.weights(rows.draw, 1.0, 77)
+    tree = gr.grow(rows, times, layout, np.random.default_rng(1), 5, 40, 14, 1 << 16)
+    at, seen = {0: np.repeat(np.arange(len(y)), times.astype(int))}, 0
     for i in range(len(tree.left)):
         r = at[i]
         assert len(r) == tree.n[i] >= 40
@@ -49,7 +52,8 @@ def test_splits_equal_an_exhaustive_search(table):
 
 def test_nodes_are_the_same_however_many_are_handled_at_once(table):
     _, _, layout, rows = table
-    one, many = (gr.grow(rows, layout, np.random.default_rng(2), 1.0, 9, 3, 8, cells) for cells in (1, 1 << 16))
+    w = gr.weights(rows.draw, 1.0, 77)
+    one, many = (gr.grow(rows, w, layout, np.random.default_rng(2), 9, 3, 8, cells) for cells in (1, 1 << 16))
     assert len(one.left) > 200
     for a, b in zip(vars(one).values(), vars(many).values(), strict=True):
         assert np.array_equal(a, b)
@@ -81,3 +85,25 @@ def test_a_forest_takes_a_few_jobs_whatever_its_depth(spark):
     assert len(jobs) < 30
     got = ml.metrics(model.transform(df), "y").first()
     assert got.n == 3000 and got.r2 > 0.6
+
+
+def test_trees_of_more_rows_than_a_task_holds_are_the_same_trees(spark, table, monkeypatch):
+    x, y, _, _ = table
+    df = spark.createDataFrame(pd.DataFrame({"k": np.arange(len(y)), "x": list(x), "y": y}))
+    df = df.select("k", array_to_vector(F.col("x")).alias("features"), "y").repartition(4).localCheckpoint()
+
+    def fitted():
+        model = fo.fit_forest(df, "y", ml.PipelineModel([]), trees=3, depth=7, min_leaf=4, feature_share="all", nodes=300)
+        scores = {r.k: r.prediction for r in model.transform(df).select("k", "prediction").collect()}
+        return model, scores
+
+    whole, scores = fitted()
+    monkeypatch.setattr(fo, "LOCAL_ROWS", 400)
+    monkeypatch.setattr(fo, "HISTOGRAM_MB", 0)  # a node at a time
+    split, same = fitted()
+    assert [p.nodes for p in split.parts] == [p.nodes for p in whole.parts] and sum(p.nodes for p in whole.parts) > 100
+    assert max(abs(same[k] - v) for k, v in scores.items()) < 1e-9
+    assert np.allclose(whole.featureImportances.toArray(), split.featureImportances.toArray())
+    trees = [t for p in split.parts for t in RandomForestRegressionModel.load(p.path).trees]
+    for r in df.where("k < 20").collect():
+        assert abs(same[r.k] - np.mean([t.predict(r.features) for t in trees])) < 1e-9
