@@ -275,6 +275,7 @@ def _whole_trees(plan: _Plan) -> DataFrame:
         mine.clear()
         rows = growth.rows_of(layout, lambda: _chunks(table, layout))
         del table
+        pa.default_memory_pool().release_unused()
         for tree in range(firsts[n_parts * task // tasks], firsts[n_parts * (task + 1) // tasks]):
             w = growth.weights(rows.draw, share, growth.tree_key(seed, tree))
             grown = growth.grow(rows, w, layout, np.random.default_rng([seed, tree]), depth, min_leaf, n_allowed, CELLS)
@@ -416,6 +417,7 @@ def _write_split_trees(plan: _Plan, home: str) -> None:
             rows = growth.rows_of(layout, lambda: _chunks(table, layout))
             w = np.concatenate([hg._flat(b.column("w"), np.uint8) for b in table.to_batches()]).astype(float)
             del table
+            pa.default_memory_pool().release_unused()
             grown = growth.grow(rows, w, layout, np.random.default_rng([seed, tree, node] if node else [seed, tree]), depth - level, min_leaf, n_allowed, CELLS)
             yield from _nodes({"tree": tree, "top": node}, grown, start)
 

@@ -168,6 +168,7 @@ def grow(rows: Rows, w: np.ndarray, layout: Layout, rng: np.random.Generator, de
         at[i] = candidates.groups[i][rows.bins[i][taken]]
     sets, w = rows.sets[:, taken], w[taken]
     wy = w * rows.y[taken]
+    del taken
     step = max(1, cells // max([len(layout.flags) + 1, *candidates.ranges]))
     ends, ids = np.array([0, len(w)]), np.array([0])
     n, s, q = np.array([w.sum()]), np.array([wy.sum()]), np.array([(wy * wy / w).sum()])
@@ -215,7 +216,9 @@ def grow(rows: Rows, w: np.ndarray, layout: Layout, rng: np.random.Generator, de
         sizes = np.bincount(child[order], minlength=many)
         ids = np.concatenate([np.flatnonzero(open_[0::2]) * 2, np.flatnonzero(open_[1::2]) * 2 + 1])
         ends = np.append(0, np.cumsum(sizes[ids]))
-        at, sets, w, wy = at[:, order], sets[:, order], w[order], wy[order]
+        del of, place, right, to, child, inside  # before the rows are copied
+        at = at[:, order]
+        sets, w, wy = sets[:, order], w[order], wy[order]
     return Nodes(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
